@@ -93,10 +93,12 @@ def summary_metadata(ex: DataFrame, su: DataFrame, model: str | None = None) ->
     )
 
 
-def document_stats(ex: DataFrame, page_break: str = V.PAGE_BREAK) -> DataFrame:
-    """Characters and approximate pages of each text."""
+def document_stats(ex: DataFrame, breaks: dict[str, str] | None = None) -> DataFrame:
+    """Characters of each text and its parts by each named break, in one pass."""
+    text = F.col("extracted_text")
+    parts = {"page_count": V.PAGE_BREAK} if breaks is None else breaks
     return ex.select(
         "extraction_id",
-        F.char_length("extracted_text").alias("n_chars"),
-        page_count(F.col("extracted_text"), page_break).alias("page_count"),
+        F.char_length(text).alias("n_chars"),
+        *[page_count(text, mark).alias(name) for name, mark in parts.items()],
     )

@@ -34,7 +34,11 @@ def latency_percentiles(
     counts = usage.filter(F.col("latency_ms").isNotNull()).groupBy("agent_id", "latency_ms").agg(
         F.count("*").alias("n")
     )
-    bucketed = counts.withColumn("bucket", F.floor(F.col("latency_ms") / width))
+    # Stating what the join below implies keeps its two inputs the same plan,
+    # so the counted values are read once.
+    bucketed = counts.withColumn("bucket", F.floor(F.col("latency_ms") / width)).filter(
+        F.col("bucket").isNotNull() & F.col("agent_id").isNotNull()
+    )
     before = Window.partitionBy("agent_id").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     ranges = bucketed.groupBy("agent_id", "bucket").agg(F.sum("n").alias("range_n")).withColumns(
         {
@@ -53,9 +57,7 @@ def latency_percentiles(
         .distinct()
     )
     upto = Window.partitionBy("agent_id", "bucket").orderBy("latency_ms")
-    ranked = bucketed.join(wanted.select("agent_id", "bucket").distinct(), ["agent_id", "bucket"], "left_semi").withColumn(
-        "upto", F.sum("n").over(upto)
-    )
+    ranked = bucketed.withColumn("upto", F.sum("n").over(upto))
     at_rank = ranked.join(wanted, ["agent_id", "bucket"]).filter(
         (F.col("below") + F.col("upto") > F.col("rank")) & (F.col("below") + F.col("upto") - F.col("n") <= F.col("rank"))
     )

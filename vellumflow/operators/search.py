@@ -8,15 +8,20 @@ larger one meets the corpus block by block through an equi-join of block ids.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from vellumflow import vocabulary as V
 from vellumflow.functions.text import fill, preview
 
+# Executors need not have this package: the task functions travel by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MAX_SHIPPED_QUERIES = 4096
 MAX_SHIPPED_BYTES = 256 << 20
 TIE_PLACES = 9  # scores equal to this many places are a tie
@@ -82,10 +87,11 @@ def _blocked(corpus: DataFrame, queries: DataFrame, k: int, schema: T.StructType
     return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(score, schema)
 
 
-def _pick(candidates: DataFrame, k: int) -> DataFrame:
+def _ranked(candidates: DataFrame, k: int) -> DataFrame:
     """Rank candidates per query; the group limit trims each task first."""
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
-    return candidates.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    best = candidates.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return best.select("query_id", "rank", "vec_id", F.round("score", 6).alias("score"))
 
 
 def topk(
@@ -104,13 +110,15 @@ def topk(
         candidates = corpus.sparkSession.createDataFrame([], schema)
     elif len(rows) <= max_shipped and len(rows) * len(rows["embedding"][0]) * 8 <= MAX_SHIPPED_BYTES:
         candidates = _shipped(corpus, rows["query_id"].to_numpy(), np.stack(rows["embedding"]), k, schema)
+        # At most k rows per shipped query, so a later join may broadcast them.
+        return F.broadcast(_ranked(candidates, k))
     else:
         n_queries, n_corpus = queries.count(), corpus.count()
         candidates = _blocked(
             corpus, queries, k, schema,
             query_blocks=max(1, -(-n_queries // block_rows)), corpus_blocks=max(1, -(-n_corpus // block_rows)),
         )
-    return _pick(candidates, k).select("query_id", "rank", "vec_id", F.round("score", 6).alias("score"))
+    return _ranked(candidates, k)
 
 
 def label_centroids(vectors: DataFrame, label: str = "label") -> DataFrame:
@@ -124,12 +132,11 @@ def label_centroids(vectors: DataFrame, label: str = "label") -> DataFrame:
 
 
 def knowledge_topk(knowledge: DataFrame, queries: DataFrame, k: int = 3, chars: int = 200) -> DataFrame:
-    """Top literature hits with title and the start of their text; texts are
-    fetched for the winners only."""
+    """Top literature hits with title and the start of their text; the text is
+    cut before it meets the hits."""
     hits = topk(knowledge, queries, k)
-    return hits.join(knowledge.select("vec_id", "title", "content", "source"), "vec_id").select(
-        "query_id", "rank", "vec_id", "score", "title", preview(F.col("content"), chars).alias("preview"), "source"
-    )
+    shown = knowledge.select("vec_id", "title", preview(F.col("content"), chars).alias("preview"), "source")
+    return shown.join(hits, "vec_id").select("query_id", "rank", "vec_id", "score", "title", "preview", "source")
 
 
 def knowledge_replies(hits: DataFrame) -> DataFrame:
@@ -154,7 +161,7 @@ def product_line(name: str = "product_name", category: str = "category", price:
 
 def product_topk(products: DataFrame, queries: DataFrame, k: int = 3) -> DataFrame:
     hits = topk(products, queries, k)
-    return hits.join(products.select("vec_id", "product_name", "category", "price"), "vec_id").select(
+    return products.select("vec_id", "product_name", "category", "price").join(hits, "vec_id").select(
         "query_id", "rank", "vec_id", product_line().alias("line")
     )
 

@@ -14,17 +14,23 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from vellumflow import vocabulary as V
 from vellumflow.functions.times import instant, micros_between, seconds_between
 
-SLICE = "minute"
+SLICE_SECONDS = 60
+EPOCH = datetime(1970, 1, 1)
 
 
-def event_gaps(ev: DataFrame, key: str = "triggered_by", slice_unit: str = SLICE) -> DataFrame:
+def _slice(ts: Column, seconds: int) -> Column:
+    """Number of the time slice; grows with ``ts`` in every time zone."""
+    return F.floor(seconds_between(ts, instant(EPOCH)) / seconds)
+
+
+def event_gaps(ev: DataFrame, key: str = "triggered_by", slice_seconds: int = SLICE_SECONDS) -> DataFrame:
     """Time since the previous event of the same key; NULL for the first.
 
     Inside a slice ``lag`` answers directly. The first event of a slice needs the
     last event of the previous non-empty slice: those first rows alone, one per
     slice, go through the second window.
     """
-    rows = ev.select("event_id", key, "timestamp").withColumn("_slice", F.date_trunc(slice_unit, "timestamp"))
+    rows = ev.select("event_id", key, "timestamp").withColumn("_slice", _slice(F.col("timestamp"), slice_seconds))
     ordered = Window.partitionBy(key, "_slice").orderBy("timestamp", "event_id")
     whole = Window.partitionBy(key, "_slice")
     inner = rows.withColumns(
@@ -46,7 +52,7 @@ def event_gaps(ev: DataFrame, key: str = "triggered_by", slice_unit: str = SLICE
     )
 
 
-def stage_durations(ev: DataFrame, slice_unit: str = SLICE) -> DataFrame:
+def stage_durations(ev: DataFrame, slice_seconds: int = SLICE_SECONDS) -> DataFrame:
     """Per run: first start, first terminal event after it, and the duration.
 
     Run 0 stands for unrelated failures and is left out.
@@ -56,7 +62,7 @@ def stage_durations(ev: DataFrame, slice_unit: str = SLICE) -> DataFrame:
     keys = ["run_id", "agent"]
     rows = ev.filter((F.col("run_id") != V.NO_RUN) & (kind.endswith("Started") | terminal)).select(
         *keys,
-        F.date_trunc(slice_unit, "timestamp").alias("_slice"),
+        _slice(F.col("timestamp"), slice_seconds).alias("_slice"),
         F.when(kind.endswith("Started"), F.col("timestamp")).alias("_start"),
         F.when(terminal, F.col("timestamp")).alias("_end"),
     )
@@ -66,17 +72,19 @@ def stage_durations(ev: DataFrame, slice_unit: str = SLICE) -> DataFrame:
     after = F.when(F.col("_end") >= F.col("_slice_start"), F.col("_end"))
     slices = marked.groupBy(*keys, "_slice").agg(
         F.min("_slice_start").alias("_slice_start"),
+        F.min(F.when(F.col("_slice_start").isNotNull(), F.col("_slice"))).alias("_start_slice"),
         F.min(after).alias("_end_after"),
         F.min("_end").alias("_first_end"),
     )
     # Across slices: the run starts in its first slice with a start; it ends
     # there or at the first terminal event of a later slice.
     across = Window.partitionBy(*keys)
-    started = F.min("_slice_start").over(across)
-    candidates = slices.withColumn("_started", started).withColumn(
+    candidates = slices.withColumns(
+        {"_started": F.min("_slice_start").over(across), "_from": F.min("_start_slice").over(across)}
+    ).withColumn(
         "_candidate",
-        F.when(F.col("_slice_start") == F.col("_started"), F.col("_end_after")).when(
-            F.col("_slice") > F.col("_started"), F.col("_first_end")
+        F.when(F.col("_slice") == F.col("_from"), F.col("_end_after")).when(
+            F.col("_slice") > F.col("_from"), F.col("_first_end")
         ),
     )
     runs = candidates.groupBy(*keys).agg(

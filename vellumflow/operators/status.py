@@ -72,10 +72,15 @@ def run_progress(requested: DataFrame, ev: DataFrame, agent: V.Agent = V.EXTRACT
     )
 
 
+def completed_runs(ev: DataFrame, agent: V.Agent = V.EXTRACTION) -> DataFrame:
+    """All runs whose newest event of the agent is its completion."""
+    newest = latest_of_agent(ev, agent, ["event_type"])
+    return newest.filter(F.col("event_type") == agent.completed).select("run_id")
+
+
 def ready_runs(runs: DataFrame, ev: DataFrame, agent: V.Agent = V.EXTRACTION) -> DataFrame:
-    """The runs whose newest event of the agent is its completion."""
-    done = latest_of_agent(ev, agent, ["event_type"]).filter(F.col("event_type") == agent.completed)
-    return runs.join(done, "run_id", "left_semi")
+    """The given runs that are completed."""
+    return runs.join(completed_runs(ev, agent), "run_id", "left_semi")
 
 
 def blocked_runs(runs: DataFrame, ev: DataFrame, agent: V.Agent = V.EXTRACTION) -> DataFrame:

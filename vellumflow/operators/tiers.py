@@ -13,9 +13,11 @@ from vellumflow.operators.latest import newest_per
 
 def cold_status(ev: DataFrame) -> DataFrame:
     """Newest event of each run, keyed like the hot store by text run id."""
-    newest = newest_per(ev, ["run_id"], "timestamp", "event_id", ["status", "timestamp", "sp_used"])
+    # Cast first: grouping then leaves the rows where the join needs them.
+    keyed = ev.withColumn("run_id", F.col("run_id").cast("string"))
+    newest = newest_per(keyed, ["run_id"], "timestamp", "event_id", ["status", "timestamp", "sp_used"])
     return newest.select(
-        F.col("run_id").cast("string").alias("run_id"),
+        "run_id",
         F.col("status").alias("cold_status"),
         F.col("timestamp").alias("cold_updated_at"),
         F.col("sp_used").alias("cold_sp_used"),

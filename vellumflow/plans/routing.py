@@ -7,7 +7,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vellumflow import vocabulary as V
-from vellumflow.functions.text import chat_choices, classify_intent, document_path, fill
+from vellumflow.functions.text import (
+    chat_choices, classify_intent, classify_refresh, document_path, fill, volume_path, volume_reply,
+)
 from vellumflow.functions.times import instant, whole_minutes
 from vellumflow.operators.latest import newest_per, pending_workflow
 from vellumflow.operators.workflow import decide, with_run_status
@@ -98,6 +100,36 @@ def route(
     return joined.select("event_id", "user_id", kind.alias("route"), "action", "path", reply.alias("reply"))
 
 
+def route_volume(messages: DataFrame, new_run: Column) -> DataFrame:
+    """The short form of routing: extract requests by volume path, else help."""
+    content = F.col("content")
+    path = volume_path(content)
+    reply = (
+        F.when(path.isNotNull(), fill(V.MSG_VOLUME_STARTED, path=path, run_id=new_run))
+        .when(volume_reply(content).isNotNull(), volume_reply(content))
+        .otherwise(V.MSG_VOLUME_HELP)
+    )
+    return messages.select("event_id", "user_id", path.alias("path"), reply.alias("reply"))
+
+
+def route_catalog(messages: DataFrame, refresh_run: Column, products: DataFrame | None = None) -> DataFrame:
+    """Catalog questions: a refresh request starts a job, anything else is a
+    product search. ``products`` holds ready replies as (event_id, reply)."""
+    content = F.col("content")
+    target = classify_refresh(content)
+    asked = messages.withColumn("target", target)
+    if products is None:
+        asked = asked.withColumn("found", F.lit(None).cast("string"))
+    else:
+        asked = asked.join(products.select("event_id", F.col("reply").alias("found")), "event_id", "left")
+    reply = (
+        F.when(F.coalesce(content, F.lit("")) == "", V.MSG_NO_QUESTION)
+        .when(F.col("target") == "refresh", fill(V.MSG_REFRESH, run_id=refresh_run))
+        .otherwise(F.coalesce(F.col("found"), F.lit(V.MSG_NO_PRODUCTS)))
+    )
+    return asked.select("event_id", "user_id", "target", reply.alias("reply"))
+
+
 def chat_response(replies: DataFrame) -> DataFrame:
     """Chat response body and a content-derived id for each reply."""
     return replies.select(

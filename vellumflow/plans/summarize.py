@@ -14,7 +14,7 @@ from vellumflow.functions.text import compose_id, leading_sentences
 from vellumflow.functions.times import instant
 from vellumflow.operators.events import make_events
 from vellumflow.operators.latest import latest_extraction
-from vellumflow.operators.status import ready_runs
+from vellumflow.operators.status import completed_runs
 
 Summarizer = Callable[[str], str]
 DEFAULT_MODEL = "leading_sentences"
@@ -67,8 +67,7 @@ def summarize_ready(
     Gate, newest extraction per run, then the native summary; runs without a
     stored extraction give no row, empty texts a NULL ratio.
     """
-    runs = ex.select(F.col("extraction_run_id").alias("run_id")).distinct()
-    ready = ready_runs(runs, ev, V.EXTRACTION).select(F.col("run_id").alias("extraction_run_id"))
+    ready = completed_runs(ev, V.EXTRACTION).select(F.col("run_id").alias("extraction_run_id"))
     source = latest_extraction(ex, ready).filter("found")
     rows = source.withColumns(
         {

@@ -73,9 +73,9 @@ def upload_events(manifest: DataFrame, as_of: datetime | None = None) -> DataFra
     )
 
 
-def saved_reply(files: DataFrame, folder: str) -> DataFrame:
-    """The confirmation shown for each stored file."""
-    text = F.concat(
-        F.lit("✅ Summary saved!\n\nFile: "), F.col("file_name"), F.lit(f"\nLocation: {folder}/"), F.col("file_name")
-    )
-    return files.select("file_name", text.alias("message"))
+def storage_replies(stored: DataFrame, folder: str) -> DataFrame:
+    """The outcome text of each stored file; ``error`` NULL means it was saved."""
+    path = F.concat(F.lit(folder.rstrip("/") + "/"), F.col("file_name"))
+    saved = fill(V.MSG_SAVED, name=F.col("file_name"), path=path)
+    reply = F.when(F.col("error").isNull(), saved).otherwise(fill(V.MSG_NOT_SAVED, error=F.col("error")))
+    return stored.select("file_name", reply.alias("message"))

@@ -403,6 +403,9 @@ SELECT state_id, user_id, document_path, extraction_run_id, summarization_run_id
 FROM conversation_state""",
 )
 ORACLE["summary_files"] = with_views("summaries", RENDERED)
+ORACLE["storage_replies"] = with_views("summaries", f""", f AS ({RENDERED})
+SELECT file_name, CASE WHEN length(content) > 500 THEN {filled(V.MSG_NOT_SAVED, error="'file too large'")}
+                       ELSE {filled(V.MSG_SAVED, name='file_name', path="concat('/summaries/', file_name)")} END AS message FROM f""")
 ORACLE["upload_manifest"] = with_views("summaries job_events", MANIFEST + " SELECT * FROM manifest")
 ORACLE["archive_old_jobs"] = with_views("job_status", f"""
 SELECT *, CASE WHEN status IN ('SUCCESS', 'FAILED') AND updated_at < {AS_OF} - INTERVAL '7' DAY
@@ -694,6 +697,16 @@ SELECT event_id, left(content, 20) AS preview, replace(content, '''', '''''') AS
        concat('extract_', event_id) AS composed_id, concat('user', user_id) AS user_name,
        strftime(ts, '%Y%m%d_%H%M%S') AS stamp, ts AS parsed_ts FROM messages""")
 ORACLE["route_messages"] = with_views("messages conversation_state job_events", ROUTED + " SELECT * FROM routed")
+ORACLE["route_volume"] = with_views("messages", f"""
+SELECT event_id, user_id, {VOLUME_PATH} AS path,
+       CASE WHEN {VOLUME_PATH} IS NOT NULL THEN {filled(V.MSG_VOLUME_STARTED, path=VOLUME_PATH, run_id='event_id * 10 + 1')}
+            WHEN contains(lower(content), 'extract') THEN {text(V.MSG_NO_VOLUME_PATH)} ELSE {text(V.MSG_VOLUME_HELP)} END AS reply
+FROM messages""")
+REFRESH = contains_any("content", V.REFRESH_WORDS)
+ORACLE["route_catalog"] = with_views("messages", f"""
+SELECT event_id, user_id, CASE WHEN {REFRESH} THEN 'refresh' ELSE 'search' END AS target,
+       CASE WHEN {REFRESH} THEN {filled(V.MSG_REFRESH, run_id='event_id * 10 + 9')} ELSE {text(V.MSG_NO_PRODUCTS)} END AS reply
+FROM messages""")
 ORACLE["chat_response"] = with_views("messages conversation_state job_events", ROUTED + """
 SELECT event_id, concat('response-', md5(concat(event_id, '|', reply))) AS id, 1 AS n_choices, 0 AS choice_index,
        'assistant' AS role, reply AS content, 'stop' AS finish_reason FROM routed""")

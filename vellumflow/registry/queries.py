@@ -143,6 +143,13 @@ def summary_files(t: Derived) -> DataFrame:
     return upload.render_summaries(_patients(t), AS_OF)
 
 
+@query
+def storage_replies(t: Derived) -> DataFrame:
+    error = F.when(F.char_length("content") > 500, "file too large")
+    rendered = upload.render_summaries(_patients(t), AS_OF).withColumn("error", error)
+    return upload.storage_replies(rendered, "/summaries")
+
+
 @query
 def upload_manifest(t: Derived) -> DataFrame:
     return upload.upload_manifest(t.job_events(), t.summaries(), SITE)
@@ -329,9 +336,7 @@ def recent_extractions(t: Derived) -> DataFrame:
 
 @query
 def document_stats(t: Derived) -> DataFrame:
-    ex = t.extracted_documents()
-    by_line = lineage.document_stats(ex, "\n").select("extraction_id", F.col("page_count").alias("line_count"))
-    return lineage.document_stats(ex).join(by_line, "extraction_id")
+    return lineage.document_stats(t.extracted_documents(), {"page_count": V.PAGE_BREAK, "line_count": "\n"})
 
 
 @query
@@ -598,6 +603,16 @@ def chat_response(t: Derived) -> DataFrame:
     )
 
 
+@query
+def route_volume(t: Derived) -> DataFrame:
+    return routing.route_volume(t.messages(), F.col("event_id") * 10 + 1)
+
+
+@query
+def route_catalog(t: Derived) -> DataFrame:
+    return routing.route_catalog(t.messages(), F.col("event_id") * 10 + 9)
+
+
 # --- whole batches ------------------------------------------------------------------------
 
 

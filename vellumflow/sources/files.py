@@ -56,14 +56,19 @@ def get_summaries(files: DataFrame, wanted: DataFrame) -> DataFrame:
     )
 
 
-def write_text_files(rendered: DataFrame, folder: str) -> str:
+def write_text_files(rendered: DataFrame, folder: str, tasks: int | None = None) -> str:
     """Write (file_name, content) rows, each as its own text file.
 
-    Rows stay in the partition that made them. The line writer ends the file
-    with a line end, so one trailing line end of the content is dropped first.
+    Creating files costs far more than moving their text, so rows are spread
+    over at least as many tasks as there are cores. The line writer ends the
+    file with a line end, so one trailing line end of the content is dropped
+    first. File names must be unique.
     """
+    spark = rendered.sparkSession
+    tasks = tasks or max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     (
         rendered.select("file_name", F.regexp_replace("content", r"\n\z", "").alias("value"))
+        .repartition(tasks, "file_name")
         .write.mode("append")
         .partitionBy("file_name")
         .text(folder)

@@ -162,6 +162,15 @@ MSG_GENERAL = """I'm the Oncology Document Processing Assistant. I can help you:
 📚 **Search knowledge:** "Tell me about treatment protocols"
 
 What would you like to do?"""
+MSG_VOLUME_STARTED = "✅ Extraction started for {path}\n🔗 Run ID: {run_id}"
+MSG_VOLUME_HELP = "I can help you extract oncology documents. Say 'Extract /Volumes/.../file.pdf' to start."
+MSG_REFRESH = """✅ Data refresh triggered successfully!
+
+Job is running in the background (Run ID: {run_id})
+Please retry your question in 2-3 minutes once the data is refreshed."""
+MSG_NO_QUESTION = "I didn't receive a question."
+MSG_SAVED = "✅ Summary saved!\n\nFile: {name}\nLocation: {path}"
+MSG_NOT_SAVED = "❌ Save failed: {error}"
 KNOWLEDGE_REPLY = """📚 **Knowledge Base Results:**
 
 {results}
