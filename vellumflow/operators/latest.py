@@ -43,6 +43,12 @@ def latest_summary(su: DataFrame) -> DataFrame:
     return newest_per(su, ["summarization_run_id"], "summarized_at", "summary_id", ["summary_text"])
 
 
+def summary_for_run(requested: DataFrame, su: DataFrame) -> DataFrame:
+    """Newest summary text of each requested run, NULL for a miss."""
+    wanted = requested.select("summarization_run_id").filter(F.col("summarization_run_id").isNotNull()).distinct()
+    return wanted.join(latest_summary(su), "summarization_run_id", "left")
+
+
 def latest_extraction(ex: DataFrame, requested: DataFrame) -> DataFrame:
     """Newest extraction of each requested run; ``found`` is false for a miss.
 

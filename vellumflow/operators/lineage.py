@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from vellumflow import vocabulary as V
 from vellumflow.functions.details import encode, field, ratio
 from vellumflow.functions.text import page_count
+from vellumflow.operators.joins import lookup
 from vellumflow.operators.latest import newest_per
 from vellumflow.operators.status import latest_of_agent, status_of
 
@@ -44,19 +45,17 @@ def document_lineage(ex: DataFrame, su: DataFrame, ev: DataFrame) -> DataFrame:
         ["summary_id", "summarization_run_id", "summarized_at"],
     )
     # One row per run first; the wide side is joined once, last.
-    chain = summaries.join(summarization, "summarization_run_id", "left").join(uploads, "summarization_run_id", "left")
+    fates = summarization.join(uploads, "summarization_run_id", "full_outer")
+    chain = lookup(summaries, fates, ["summarization_run_id"])
     runs = extraction.join(chain, "extraction_run_id", "full_outer")
-    return (
-        ex.select("extraction_id", "extraction_run_id", "document_path", "extracted_at")
-        .join(runs, "extraction_run_id", "left")
-        .select(
-            "extraction_id", "document_path", "extraction_run_id",
-            F.when(F.col("_e").isNotNull(), status_of(F.col("_e"), V.EXTRACTION)).alias("extraction_status"),
-            "summary_id", "summarization_run_id",
-            F.when(F.col("_s").isNotNull(), status_of(F.col("_s"), V.SUMMARIZATION)).alias("summarization_status"),
-            F.when(F.col("_u").isNotNull(), status_of(F.col("_u"), V.UPLOAD)).alias("upload_status"),
-            "uploaded_at",
-        )
+    documents = ex.select("extraction_id", "extraction_run_id", "document_path")
+    return lookup(documents, runs, ["extraction_run_id"]).select(
+        "extraction_id", "document_path", "extraction_run_id",
+        F.when(F.col("_e").isNotNull(), status_of(F.col("_e"), V.EXTRACTION)).alias("extraction_status"),
+        "summary_id", "summarization_run_id",
+        F.when(F.col("_s").isNotNull(), status_of(F.col("_s"), V.SUMMARIZATION)).alias("summarization_status"),
+        F.when(F.col("_u").isNotNull(), status_of(F.col("_u"), V.UPLOAD)).alias("upload_status"),
+        "uploaded_at",
     )
 
 
@@ -68,11 +67,11 @@ def summary_metadata(ex: DataFrame, su: DataFrame, model: str | None = None) ->
         ["extraction_run_id"], "extracted_at", "extraction_id",
         ["document_path", "page_count", "original_length"],
     )
-    rows = su.select(
+    lengths = su.select(
         "summary_id", "summarization_run_id", "extraction_run_id",
         F.char_length("summary_text").alias("summary_length"),
-    ).join(source, "extraction_run_id", "left")
-    rows = rows.withColumns(
+    )
+    rows = lookup(lengths, source, ["extraction_run_id"]).withColumns(
         {
             "compression_ratio": ratio(F.col("original_length"), F.col("summary_length")),
             "summary_share": ratio(F.col("summary_length"), F.col("original_length")),

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from vellumflow import vocabulary as V
 from vellumflow.functions.text import fill
 from vellumflow.functions.times import instant, view_minutes, whole_minutes
+from vellumflow.operators.joins import lookup
 from vellumflow.operators.latest import newest_per
 
 
@@ -35,7 +36,7 @@ def run_status(
     budget_min: int | None = None,
     as_of: datetime | None = None,
 ) -> DataFrame:
-    """Status, message and progress of each requested ``run_id``."""
+    """Status, message and progress of each requested ``run_id`` (one row per run)."""
     budget = budget_min or agent.budget_minutes or 0
     newest = latest_of_agent(ev, agent, ["event_type", "details", "timestamp"])
     joined = requested.select("run_id").join(newest, "run_id", "left")
@@ -101,12 +102,14 @@ def blocked_runs(runs: DataFrame, ev: DataFrame, agent: V.Agent = V.EXTRACTION)
 
 def events_for_run(ev: DataFrame, requested: DataFrame) -> DataFrame:
     """All events of the requested (run_id, agent) pairs."""
-    return ev.join(requested.select("run_id", "agent"), ["run_id", "agent"], "left_semi")
+    return lookup(ev, requested.select("run_id", "agent"), ["run_id", "agent"], "left_semi")
 
 
 def audit_trail(ev: DataFrame, users: DataFrame | None = None) -> DataFrame:
     """The history of each user, in time order."""
-    rows = ev if users is None else ev.join(users.select(F.col("user_id").alias("triggered_by")), "triggered_by", "left_semi")
+    rows = ev
+    if users is not None:
+        rows = lookup(ev, users.select(F.col("user_id").alias("triggered_by")), ["triggered_by"], "left_semi")
     return rows.select(
         "triggered_by", "timestamp", "event_type", "run_id", "agent", "sp_used", "status", "event_id"
     ).orderBy("triggered_by", "timestamp", "event_id")
@@ -128,7 +131,7 @@ def user_active_jobs(hot: DataFrame, users: DataFrame | None = None) -> DataFram
     """Jobs of each user that are still pending or running."""
     jobs = hot.filter(F.col("status").isin(*V.ACTIVE_JOB_STATUSES))
     if users is not None:
-        jobs = jobs.join(users.select("user_id"), "user_id", "left_semi")
+        jobs = lookup(jobs, users.select("user_id"), ["user_id"], "left_semi")
     return jobs.select("user_id", "run_id", "status", "job_type", "updated_at")
 
 
@@ -136,5 +139,5 @@ def conversation_jobs(hot: DataFrame, conversations: DataFrame | None = None) ->
     """Jobs that belong to a conversation."""
     jobs = hot.filter(F.col("conversation_id").isNotNull())
     if conversations is not None:
-        jobs = jobs.join(conversations.select("conversation_id"), "conversation_id", "left_semi")
+        jobs = lookup(jobs, conversations.select("conversation_id"), ["conversation_id"], "left_semi")
     return jobs.select("conversation_id", "run_id", "user_id", "job_type", "status", "updated_at")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from vellumflow import vocabulary as V
 from vellumflow.functions.times import instant
+from vellumflow.operators.joins import lookup
 from vellumflow.operators.latest import latest_event
 from vellumflow.operators.status import status_of
 
@@ -33,16 +34,12 @@ def with_run_status(st: DataFrame, ev: DataFrame) -> DataFrame:
     agent = F.when(_stage() == V.EXTRACTING, V.EXTRACTION.name).when(
         _stage() == V.SUMMARIZING, V.SUMMARIZATION.name
     )
-    # Rows that wait for nothing get a NULL agent, which matches no event, and a
-    # spread-out run id, which keeps them from meeting in one shuffle partition.
-    waiting = st.withColumns(
-        {"run_id": F.coalesce(run, F.xxhash64("state_id")), "agent": F.when(run.isNotNull(), agent)}
-    )
+    waiting = st.withColumns({"run_id": run, "agent": agent})
     jobs = ev.filter(F.col("agent").isin(V.EXTRACTION.name, V.SUMMARIZATION.name) & (F.col("run_id") != V.NO_RUN))
     newest = latest_event(jobs.select("run_id", "agent", "event_type", "timestamp", "event_id")).select(
         "run_id", "agent", "event_type", F.col("timestamp").alias("event_at")
     )
-    joined = waiting.join(newest, ["run_id", "agent"], "left")
+    joined = lookup(waiting, newest, ["run_id", "agent"], spread_by="state_id")
     status = F.when(_stage() == V.EXTRACTING, status_of(F.col("event_type"), V.EXTRACTION)).when(
         _stage() == V.SUMMARIZING, status_of(F.col("event_type"), V.SUMMARIZATION)
     )
@@ -95,7 +92,7 @@ def update_stage(st: DataFrame, changes: DataFrame) -> DataFrame:
         "user_id", F.col("stage").alias("_stage"), F.col("summarization_run_id").alias("_run")
     )
     hit = (F.col("status") == V.IN_PROGRESS) & F.col("_stage").isNotNull()
-    return st.join(change, "user_id", "left").withColumns(
+    return lookup(st, change, ["user_id"]).withColumns(
         {
             "current_stage": F.when(hit, F.col("_stage")).otherwise(_stage()),
             "summarization_run_id": F.when(hit, F.coalesce("_run", "summarization_run_id")).otherwise(
@@ -109,6 +106,6 @@ def clear_state(st: DataFrame, users: DataFrame) -> DataFrame:
     """Close the in-progress rows of the given users; the whole new state table."""
     marked = users.select("user_id").distinct().withColumn("_clear", F.lit(True))
     hit = (F.col("status") == V.IN_PROGRESS) & F.col("_clear")
-    return st.join(marked, "user_id", "left").withColumn(
+    return lookup(st, marked, ["user_id"]).withColumn(
         "status", F.when(hit, V.WF_COMPLETED).otherwise(F.col("status"))
     ).select(*STATE_COLUMNS)

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from vellumflow import vocabulary as V
 from vellumflow.functions.details import field
 from vellumflow.functions.text import stable_id
+from vellumflow.operators.joins import lookup
 from vellumflow.operators.lineage import upload_outcomes
 from vellumflow.operators.workflow import STATE_COLUMNS
 
@@ -42,11 +43,8 @@ def workflow_state_from_events(ev: DataFrame) -> DataFrame:
         newest(summarization, "event_type", "run_id").alias("s"),
     )
     uploads = upload_outcomes(ev).select("summarization_run_id", F.col("event_type").alias("u"))
-    state = (
-        folded.filter(F.col("e").isNotNull())
-        .withColumn("summarization_run_id", F.col("s.run_id"))
-        .join(uploads, "summarization_run_id", "left")
-    )
+    begun = folded.filter(F.col("e").isNotNull()).withColumn("summarization_run_id", F.col("s.run_id"))
+    state = lookup(begun, uploads, ["summarization_run_id"], spread_by="workflow")
     s_type = F.col("s.event_type")
     summarized = s_type == V.SUMMARIZATION.completed
     stage = (

@@ -11,6 +11,7 @@ from vellumflow.functions.text import (
     chat_choices, classify_intent, classify_refresh, document_path, fill, volume_path, volume_reply,
 )
 from vellumflow.functions.times import instant, whole_minutes
+from vellumflow.operators.joins import lookup
 from vellumflow.operators.latest import newest_per, pending_workflow
 from vellumflow.operators.workflow import decide, with_run_status
 
@@ -81,7 +82,7 @@ def route(
         asked = asked.join(knowledge.select("event_id", F.col("reply").alias("found")), "event_id", "left")
     else:
         asked = asked.withColumn("found", F.lit(None).cast("string"))
-    joined = asked.join(answers, "user_id", "left")
+    joined = lookup(asked, answers, ["user_id"], spread_by="event_id")
     empty = content.isNull() | (content == "")
     started = fill(
         V.MSG_STARTED, path=F.col("path"), run_id=new_run, eta=F.lit(V.EXTRACTION.budget_minutes),

@@ -531,7 +531,7 @@ SELECT thread_id, checkpoint_ns, CAST(json_extract_string(checkpoint, '$.ts') AS
 FROM checkpoints ORDER BY 3 DESC, 1 DESC LIMIT 10""")
 ORACLE["latest_summary"] = with_views("summaries", f" SELECT summarization_run_id, summary_text FROM {LAST_SUMMARY} x")
 ORACLE["summary_for_run"] = with_views("summaries conversation_state", f"""
-SELECT w.summarization_run_id, x.summary_text FROM conversation_state w
+SELECT w.summarization_run_id, x.summary_text FROM (SELECT DISTINCT summarization_run_id FROM conversation_state) w
 LEFT JOIN {LAST_SUMMARY} x ON w.summarization_run_id = x.summarization_run_id
 WHERE w.summarization_run_id IS NOT NULL""")
 ORACLE["extraction_for_run"] = with_views("extracted_documents conversation_state", f"""

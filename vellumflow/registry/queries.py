@@ -310,8 +310,7 @@ def latest_summary(t: Derived) -> DataFrame:
 
 @query
 def summary_for_run(t: Derived) -> DataFrame:
-    wanted = t.conversation_state().select("summarization_run_id").filter(F.col("summarization_run_id").isNotNull())
-    return wanted.join(latest.latest_summary(t.summaries()), "summarization_run_id", "left")
+    return latest.summary_for_run(t.conversation_state(), t.summaries())
 
 
 @query

@@ -2,6 +2,7 @@
 
 One row is one file. Files written by :func:`write_text_files` carry their name
 in a ``file_name=`` folder; files from elsewhere keep their own base name.
+Spark's file sources skip files of zero bytes; the text sink writes none.
 """
 
 from __future__ import annotations
