@@ -38,7 +38,7 @@ def test_no_cross_join_and_no_python(spark, sf, name):
 )
 def test_newest_row_is_reduced_before_the_shuffle(spark, sf, name):
     text = plan(QUERIES[name](spark, sf))
-    assert "partial_max_by" in text
+    assert "partial_max(struct(" in text or "partial_max_by" in text
 
 
 @pytest.mark.parametrize("name", ["document_lineage", "key_violations", "blocked_runs", "ready_for_summarization"])

@@ -100,7 +100,7 @@ def compose_id(prefix: str, run_id: Column) -> Column:
 def stable_id(*parts: Column) -> Column:
     """UUID-shaped id derived from its key, so a retried task repeats it."""
     digest = F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]))
-    return F.regexp_replace(digest, r"^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    return F.concat_ws("-", *[F.substr(digest, F.lit(at), F.lit(n)) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
 
 
 def leading_sentences(text: Column, n: int = 3) -> Column:

@@ -23,6 +23,11 @@ def seconds_between(later: Column, earlier: Column) -> Column:
     return (later - earlier).cast("interval second").cast("decimal(20,6)")
 
 
+def whole_seconds(later: Column, earlier: Column) -> Column:
+    """Elapsed seconds without the fraction."""
+    return (later - earlier).cast("interval second").cast("long")
+
+
 def micros_between(later: Column, earlier: Column) -> Column:
     return (seconds_between(later, earlier) * 1_000_000).cast("long")
 

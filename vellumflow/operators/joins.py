@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 NULL_LANES = 1024
 LANE = "_lane"
 
 
+def stand_in(run: Column, spread_by: str) -> Column:
+    """The run id, or for NULL a negative number that differs by row: it matches
+    no run, and rows without a run do not meet in one shuffle partition."""
+    return F.coalesce(run, -1 - F.pmod(F.xxhash64(spread_by), F.lit(1 << 40)))
+
+
 def lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "left", spread_by: str | None = None) -> DataFrame:
     """Join ``left`` to ``right``, which has at most one row per key.
 

@@ -17,10 +17,17 @@ from vellumflow.functions.times import instant
 
 
 def newest_per(df: DataFrame, keys: list[str], by: str, tie: str, columns: list[str] | None = None) -> DataFrame:
-    """The row with the greatest ``(by, tie)`` of each key; NULL ``by`` loses."""
+    """The row with the greatest ``(by, tie)`` of each key; NULL ``by`` loses.
+
+    The other columns follow in the compared struct, so even rows that agree in
+    both give the same result on every run.
+    """
     rest = [c for c in (columns or df.columns) if c not in keys]
-    best = F.max_by(F.struct(*rest), F.struct(by, tie)).alias("_newest")
-    return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"_newest.{c}").alias(c) for c in rest])
+    ordered = list(dict.fromkeys([by, tie, *rest]))
+    best = F.max(F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(ordered)])).alias("_newest")
+    return df.groupBy(*keys).agg(best).select(
+        *keys, *[F.col(f"_newest._{ordered.index(c)}").alias(c) for c in rest]
+    )
 
 
 def job_status_latest(ev: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ def upload_outcomes(ev: DataFrame) -> DataFrame:
         "summarization_run_id", field(F.col("details"), "summarization_run_id", "long")
     )
     return newest_per(
-        uploads.filter(F.col("summarization_run_id").isNotNull()),
+        uploads.filter(F.col("summarization_run_id") > V.NO_RUN),
         ["summarization_run_id"], "timestamp", "event_id", ["event_type", "timestamp"],
     )
 

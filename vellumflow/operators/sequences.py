@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from vellumflow import vocabulary as V
-from vellumflow.functions.times import instant, micros_between, seconds_between
+from vellumflow.functions.times import instant, micros_between, seconds_between, whole_seconds
 
 SLICE_SECONDS = 60
 EPOCH = datetime(1970, 1, 1)
@@ -20,7 +20,7 @@ EPOCH = datetime(1970, 1, 1)
 
 def _slice(ts: Column, seconds: int) -> Column:
     """Number of the time slice; grows with ``ts`` in every time zone."""
-    return F.floor(seconds_between(ts, instant(EPOCH)) / seconds)
+    return F.floor(whole_seconds(ts, instant(EPOCH)) / seconds)
 
 
 def event_gaps(ev: DataFrame, key: str = "triggered_by", slice_seconds: int = SLICE_SECONDS) -> DataFrame:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from vellumflow import vocabulary as V
 from vellumflow.functions.details import field
 from vellumflow.functions.text import stable_id
-from vellumflow.operators.joins import lookup
+from vellumflow.operators.joins import stand_in
 from vellumflow.operators.lineage import upload_outcomes
 from vellumflow.operators.workflow import STATE_COLUMNS
 
@@ -19,32 +19,36 @@ def workflow_state_from_events(ev: DataFrame) -> DataFrame:
     run fold into one row per workflow in a single aggregation; uploads, which
     name only their summarization run, join that row.
     """
-    extraction = F.col("agent") == V.EXTRACTION.name
+    extraction = (F.col("agent") == V.EXTRACTION.name) & (F.col("run_id") != V.NO_RUN)
     summarization = F.col("agent") == V.SUMMARIZATION.name
     source = F.when(extraction, F.col("run_id")).when(
         summarization, field(F.col("details"), "extraction_run_id", "long")
     )
-    order = F.struct("timestamp", "event_id")
-
-    def newest(of: Column, *cols: str) -> Column:
-        return F.max_by(F.struct(*cols), F.when(of, order))
-
-    rows = (
-        ev.filter(extraction | summarization)
-        .withColumn("workflow", source)
-        .filter(F.col("workflow").isNotNull() & (F.col("workflow") != V.NO_RUN))
-        .withColumn("path", F.when(extraction, field(F.col("details"), "document_path")))
+    # Groups without an extraction event, among them those without a key, are
+    # dropped after the aggregation: a filter on the key would parse the JSON
+    # once more per row. Both agents' events compare by time, then id.
+    rows = ev.filter(extraction | summarization).select(
+        source.alias("workflow"),
+        F.when(extraction, F.struct("timestamp", "event_id", "event_type", "triggered_by")).alias("e"),
+        F.when(summarization, F.struct("timestamp", "event_id", "event_type", "run_id")).alias("s"),
+        F.when(extraction, field(F.col("details"), "document_path")).alias("path"),
     )
-    folded = rows.groupBy("workflow").agg(
-        F.min_by("triggered_by", F.when(extraction, order)).alias("user_id"),
-        F.min(F.when(extraction, F.col("timestamp"))).alias("triggered_at"),
-        F.max("path").alias("document_path"),
-        newest(extraction, "event_type").getField("event_type").alias("e"),
-        newest(summarization, "event_type", "run_id").alias("s"),
+    folded = (
+        rows.groupBy("workflow")
+        .agg(F.min("e").alias("first"), F.max("e").alias("last"), F.max("s").alias("s"), F.max("path").alias("document_path"))
+        .select(
+            "workflow", "document_path", "s",
+            F.col("first.triggered_by").alias("user_id"),
+            F.col("first.timestamp").alias("triggered_at"),
+            F.col("last.event_type").alias("e"),
+        )
     )
     uploads = upload_outcomes(ev).select("summarization_run_id", F.col("event_type").alias("u"))
-    begun = folded.filter(F.col("e").isNotNull()).withColumn("summarization_run_id", F.col("s.run_id"))
-    state = lookup(begun, uploads, ["summarization_run_id"], spread_by="workflow")
+    # Both sides have one row per run, so only missing runs could pile up.
+    begun = folded.filter(F.col("e").isNotNull()).withColumn("run", stand_in(F.col("s.run_id"), "workflow"))
+    state = begun.join(uploads.withColumnRenamed("summarization_run_id", "run"), "run", "left").withColumn(
+        "summarization_run_id", F.col("s.run_id")
+    )
     s_type = F.col("s.event_type")
     summarized = s_type == V.SUMMARIZATION.completed
     stage = (

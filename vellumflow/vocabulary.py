@@ -74,6 +74,9 @@ PII_PATTERNS = {
     "phone": r"\+[0-9]{1,3} \([0-9]{3}\) [0-9]{3}-[0-9]{4}",
 }
 
+# A character that every match of the pattern contains.
+PII_MARKS = {"ssn": "-", "email": "@", "phone": "+"}
+
 # The file written for a summary.
 SUMMARY_FILE_PREFIX = "oncology_summary_"
 SUMMARY_TITLE = "ONCOLOGY SUMMARY - Patient "
