@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vellumflow import vocabulary as V
 from vellumflow.operators.governance import key_violations
-from vellumflow.plans import extract, summarize, upload
+from vellumflow.plans import extract, projection, summarize, upload
 from vellumflow.schemas import EXTRACTED_DOCUMENTS, JOB_EVENTS
 from vellumflow.sources import files
 from vellumflow.sources.store import TableStore, named_table, rows_to_frame
@@ -93,13 +93,57 @@ def test_run_extract_stores_text_and_events(spark, tmp_path):
     assert rows(pages, "run_id", "n") == [(1, "2"), (2, "1"), (3, "1")]
 
 
+def test_whole_chain_and_its_repetition(spark, tmp_path):
+    """Extract, summarize with a model that fails once, upload; twice."""
+    source = tmp_path / "in"
+    source.mkdir()
+    folder_of(source, run_1="First. Second.", run_2="bad text", run_3="Third.")
+    store = TableStore(spark, str(tmp_path / "tables"))
+    out = str(tmp_path / "out")
+    run = F.regexp_extract("document_path", r"run_([0-9]+)", 1).cast("long")
+
+    def load():
+        def model(text):
+            if "bad" in text:
+                raise ValueError("refused")
+            return text.upper()
+
+        return model
+
+    for _ in range(2):
+        extract.run_extract(spark, store, str(source), run, F.lit("u"), NOW, suffix=".txt", prefix="file:")
+        summarize.run_summarize(spark, store, F.col("extraction_run_id") + 100, F.lit("u"), NOW, load, "upper")
+    upload.run_upload(spark, store, out, "https://s", NOW)
+    assert rows(store.read("summaries"), "summary_id", "summary_text") == [
+        ("summary_101", "FIRST. SECOND."), ("summary_103", "THIRD.")
+    ]
+    assert rows(store.read("job_events"), "run_id", "event_type", "status") == sorted(
+        [(i, "ExtractionJobCompleted", "SUCCESS") for i in (1, 2, 3)]
+        + [(101, "SummarizationJobCompleted", "SUCCESS"), (102, "SummarizationJobFailed", "FAILED")]
+        + [(103, "SummarizationJobCompleted", "SUCCESS")]
+        + [(0, "SharePointUploadCompleted", "COMPLETED")] * 2,
+        key=repr,
+    )
+    assert [r.file_name for r in files.list_summaries(spark, out).collect()] == [
+        "oncology_summary_103_20240102_120000.txt", "oncology_summary_101_20240102_120000.txt"
+    ]
+    state = projection.workflow_state_from_events(store.read("job_events"))
+    assert rows(state, "extraction_run_id", "current_stage", "status") == [
+        (1, "completed", "completed"), (2, "summarizing", "failed"), (3, "completed", "completed")
+    ]
+
+
 def test_repeating_a_job_repeats_its_event_ids(spark, tmp_path):
     runs = spark.createDataFrame([(1, "u", "/a")], "run_id long, triggered_by string, document_path string")
     store = TableStore(spark, str(tmp_path))
+    assert not store.exists("job_events")
     for _ in range(2):
         store.append("job_events", extract.start_events(runs, NOW))
     assert rows(key_violations({"job_events": (store.read("job_events"), "event_id")}), "n") == [(2,)]
     assert store.read("job_events").dropDuplicates(["event_id"]).count() == 1
+    store.append_new("job_events", extract.start_events(runs.withColumn("run_id", F.lit(2)), NOW))
+    store.append_new("job_events", extract.start_events(runs, NOW))
+    assert rows(store.read("job_events"), "run_id") == [(1,), (1,), (2,)]
 
 
 def documents(spark, *texts):

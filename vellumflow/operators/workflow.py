@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from vellumflow import vocabulary as V
 from vellumflow.functions.times import instant
 from vellumflow.operators.joins import lookup
-from vellumflow.operators.latest import latest_event
+from vellumflow.operators.latest import latest_event, pending_workflow
 from vellumflow.operators.status import status_of
 
 STATE_COLUMNS = [
@@ -85,23 +85,41 @@ def advance(st: DataFrame, ev: DataFrame, as_of: datetime | None = None, hours:
 def update_stage(st: DataFrame, changes: DataFrame) -> DataFrame:
     """Apply one change per user to all of the user's in-progress rows.
 
-    ``changes``: user_id (unique), stage, summarization_run_id (NULL keeps the
-    old one). The result is the whole new state table.
+    ``changes``: user_id (unique), stage, summarization_run_id and optionally
+    status; NULL keeps the old value. The result is the whole new state table.
     """
-    change = changes.select(
-        "user_id", F.col("stage").alias("_stage"), F.col("summarization_run_id").alias("_run")
-    )
-    hit = (F.col("status") == V.IN_PROGRESS) & F.col("_stage").isNotNull()
+    new = {"current_stage": "stage", "summarization_run_id": "summarization_run_id", "status": "status"}
+    new = {column: source for column, source in new.items() if source in changes.columns}
+    change = changes.select("user_id", *[F.col(source).alias(f"_{column}") for column, source in new.items()])
+    is_open = F.col("status") == V.IN_PROGRESS
     return lookup(st, change, ["user_id"]).withColumns(
-        {
-            "current_stage": F.when(hit, F.col("_stage")).otherwise(_stage()),
-            "summarization_run_id": F.when(hit, F.coalesce("_run", "summarization_run_id")).otherwise(
-                F.col("summarization_run_id")
-            ),
-        }
+        {c: F.when(is_open, F.coalesce(f"_{c}", c)).otherwise(F.col(c)) for c in new}
     ).select(*STATE_COLUMNS)
 
 
+def step_changes(decided: DataFrame, next_run: Column) -> DataFrame:
+    """What a step of each user's pending workflow changes in the state table.
+
+    ``decided`` has one row per user; ``next_run`` is the run id given to the
+    summarization job that the step starts.
+    """
+    action = F.col("action")
+    return decided.filter(action.isin("start_summarization", "upload", "clear")).select(
+        "user_id",
+        F.when(action != "clear", F.col("next_stage")).alias("stage"),
+        F.when(action == "start_summarization", next_run).cast("long").alias("summarization_run_id"),
+        F.when(action == "clear", V.WF_COMPLETED).alias("status"),
+    )
+
+
+def advance_state(
+    st: DataFrame, ev: DataFrame, next_run: Column, as_of: datetime | None = None, hours: int = 2
+) -> DataFrame:
+    """The state table after every user's pending workflow took its next step."""
+    pending = pending_workflow(st, as_of, hours).withColumn("status", F.lit(V.IN_PROGRESS))
+    return update_stage(st, step_changes(decide(with_run_status(pending, ev)), next_run))
+
+
 def clear_state(st: DataFrame, users: DataFrame) -> DataFrame:
     """Close the in-progress rows of the given users; the whole new state table."""
     marked = users.select("user_id").distinct().withColumn("_clear", F.lit(True))

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 from datetime import datetime
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from vellumflow import vocabulary as V
 from vellumflow.functions.details import encode, ratio
@@ -15,23 +15,26 @@ from vellumflow.functions.times import instant
 from vellumflow.operators.events import make_events
 from vellumflow.operators.latest import latest_extraction
 from vellumflow.operators.status import completed_runs
+from vellumflow.session import scratch
+from vellumflow.sources.store import TableStore
 
 Summarizer = Callable[[str], str]
 DEFAULT_MODEL = "leading_sentences"
 
 
-def summarize(ex: DataFrame, load: Callable[[], Summarizer] | None = None, sentences: int = 3) -> DataFrame:
-    """(extraction_id, summary_text, error) of each text.
+def with_summary(rows: DataFrame, load: Callable[[], Summarizer] | None = None, sentences: int = 3) -> DataFrame:
+    """Add summary_text and error to rows with ``extracted_text``.
 
     ``load`` builds the caller's model once per task; a text it fails on gets
     the error instead of a summary. Without a model the leading sentences stand
     in, as a native expression.
     """
     if load is None:
-        return ex.select(
-            "extraction_id",
-            leading_sentences(F.col("extracted_text"), sentences).alias("summary_text"),
-            F.lit(None).cast("string").alias("error"),
+        return rows.withColumns(
+            {
+                "summary_text": leading_sentences(F.col("extracted_text"), sentences),
+                "error": F.lit(None).cast("string"),
+            }
         )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -45,51 +48,40 @@ def summarize(ex: DataFrame, load: Callable[[], Summarizer] | None = None, sente
 
         for pdf in batches:
             done = [attempt(t) for t in pdf["extracted_text"]]
-            yield pd.DataFrame(
-                {
-                    "extraction_id": pdf["extraction_id"],
-                    "summary_text": pd.Series([d[0] for d in done], index=pdf.index, dtype=object),
-                    "error": pd.Series([d[1] for d in done], index=pdf.index, dtype=object),
-                }
+            yield pdf.assign(
+                summary_text=pd.Series([d[0] for d in done], index=pdf.index, dtype=object),
+                error=pd.Series([d[1] for d in done], index=pdf.index, dtype=object),
             )
 
-    return ex.select("extraction_id", "extracted_text").mapInPandas(
-        run, "extraction_id string, summary_text string, error string"
-    )
+    schema = T.StructType([*rows.schema.fields, *T.StructType.fromDDL("summary_text string, error string").fields])
+    return rows.mapInPandas(run, schema)
 
 
-def summarize_ready(
-    ev: DataFrame, ex: DataFrame, summarization_run: Column, as_of: datetime | None = None,
-    sentences: int = 3, model: str = DEFAULT_MODEL,
-) -> DataFrame:
-    """Summary rows for every run that passed the extraction gate.
+def summarize(ex: DataFrame, load: Callable[[], Summarizer] | None = None, sentences: int = 3) -> DataFrame:
+    """(extraction_id, summary_text, error) of each text."""
+    rows = ex.select("extraction_id", "extracted_text")
+    return with_summary(rows, load, sentences).select("extraction_id", "summary_text", "error")
 
-    Gate, newest extraction per run, then the native summary; runs without a
-    stored extraction give no row, empty texts a NULL ratio.
-    """
+
+def ready_extractions(ev: DataFrame, ex: DataFrame) -> DataFrame:
+    """The newest extraction of every run that passed the extraction gate."""
     ready = completed_runs(ev, V.EXTRACTION).select(F.col("run_id").alias("extraction_run_id"))
-    source = latest_extraction(ex, ready).filter("found")
-    rows = source.withColumns(
-        {
-            "summarization_run_id": summarization_run,
-            "summary_text": leading_sentences(F.col("extracted_text"), sentences),
-        }
-    ).withColumns(
-        {
-            "original_length": F.char_length("extracted_text"),
-            "summary_length": F.char_length("summary_text"),
-        }
-    )
+    return latest_extraction(ex, ready).filter("found").drop("found")
+
+
+def summary_rows(summarized: DataFrame, as_of: datetime | None = None, model: str = DEFAULT_MODEL) -> DataFrame:
+    """Rows of the summary table; empty summaries have a NULL ratio."""
+    original, short = F.char_length("extracted_text"), F.char_length("summary_text")
     metadata = encode(
         document_path=F.col("document_path"),
         extraction_run_id=F.col("extraction_run_id"),
         pages_summarized=F.col("page_count"),
-        original_length=F.col("original_length"),
-        summary_length=F.col("summary_length"),
-        compression_ratio=ratio(F.col("original_length"), F.col("summary_length")),
+        original_length=original,
+        summary_length=short,
+        compression_ratio=ratio(original, short),
         model_used=F.lit(model),
     )
-    return rows.select(
+    return summarized.filter(F.col("error").isNull()).select(
         compose_id("summary_", F.col("summarization_run_id")).alias("summary_id"),
         "summarization_run_id",
         "extraction_run_id",
@@ -100,6 +92,15 @@ def summarize_ready(
     )
 
 
+def summarize_ready(
+    ev: DataFrame, ex: DataFrame, summarization_run: Column, as_of: datetime | None = None,
+    sentences: int = 3, model: str = DEFAULT_MODEL,
+) -> DataFrame:
+    """Native summary rows for every run that passed the extraction gate."""
+    ready = ready_extractions(ev, ex).withColumn("summarization_run_id", summarization_run)
+    return summary_rows(with_summary(ready, None, sentences), as_of, model)
+
+
 def completion_events(su: DataFrame, triggered_by: Column, as_of: datetime | None = None, model: str = DEFAULT_MODEL) -> DataFrame:
     """One completion event per stored summary."""
     facts = su.select(
@@ -115,3 +116,34 @@ def completion_events(su: DataFrame, triggered_by: Column, as_of: datetime | Non
         facts, V.SUMMARIZATION.completed, V.SUMMARIZATION, "SUCCESS", as_of,
         ["extraction_run_id", "summary_length", "compression_ratio", "model_used", "summary_id"],
     )
+
+
+def failure_events(summarized: DataFrame, triggered_by: Column, as_of: datetime | None = None) -> DataFrame:
+    """One failure event per text the model could not summarize."""
+    failed = summarized.filter(F.col("error").isNotNull()).select(
+        F.col("summarization_run_id").alias("run_id"),
+        triggered_by.alias("triggered_by"),
+        "extraction_run_id",
+        "error",
+    )
+    return make_events(failed, V.SUMMARIZATION.failed, V.SUMMARIZATION, "FAILED", as_of, ["extraction_run_id", "error"])
+
+
+def run_summarize(
+    spark: SparkSession, store: TableStore, summarization_run: Column, triggered_by: Column, as_of: datetime,
+    load: Callable[[], Summarizer] | None = None, model: str = DEFAULT_MODEL,
+) -> DataFrame:
+    """Summarize every ready run and append summaries and their events.
+
+    Model calls are costly and may not repeat, so their results are written to
+    the shared work folder once; both tables are filled from there.
+    """
+    ready = ready_extractions(store.read("job_events"), store.read("extracted_documents"))
+    path = scratch(spark, "summarized")
+    with_summary(ready.withColumn("summarization_run_id", summarization_run), load).write.parquet(path)
+    summarized = spark.read.parquet(path)
+    su = summary_rows(summarized, as_of, model)
+    store.append_new("summaries", su)
+    done = completion_events(su, triggered_by, as_of, model)
+    store.append_new("job_events", done.unionByName(failure_events(summarized, triggered_by, as_of)))
+    return summarized

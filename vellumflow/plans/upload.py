@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vellumflow import vocabulary as V
+from vellumflow.functions.details import field
 from vellumflow.functions.text import fill
 from vellumflow.functions.times import compact_format, instant, iso_format
 from vellumflow.operators.events import make_events
 from vellumflow.operators.latest import newest_per
 from vellumflow.operators.status import latest_of_agent
+from vellumflow.sources.files import write_text_files
+from vellumflow.sources.store import TableStore
 
 
 def render_summaries(su: DataFrame, as_of: datetime | None = None) -> DataFrame:
@@ -79,3 +82,26 @@ def storage_replies(stored: DataFrame, folder: str) -> DataFrame:
     saved = fill(V.MSG_SAVED, name=F.col("file_name"), path=path)
     reply = F.when(F.col("error").isNull(), saved).otherwise(fill(V.MSG_NOT_SAVED, error=F.col("error")))
     return stored.select("file_name", reply.alias("message"))
+
+
+def run_upload(spark: SparkSession, store: TableStore, folder: str, site_url: str, as_of: datetime) -> DataFrame:
+    """Write the file of every publishable summary and append the events.
+
+    Files come first: an event exists only for a file that was written. The
+    patient id is the part of the document path after ``patient_``.
+    """
+    ev, su = store.read("job_events"), store.read("summaries")
+    manifest = upload_manifest(ev, su, site_url)
+    good = manifest.filter(F.col("event_type") == V.UPLOAD.completed).select("summarization_run_id")
+    newest = newest_per(
+        su, ["summarization_run_id"], "summarized_at", "summary_id",
+        ["extraction_run_id", "summary_text", "document_metadata"],
+    )
+    path = field(F.col("document_metadata"), "document_path")
+    patient = F.nullif(F.regexp_extract(path, r"patient_([^/.]+)", 1), F.lit(""))
+    rows = newest.join(good, "summarization_run_id", "left_semi").withColumn(
+        "patient_id", F.coalesce(patient, F.col("summarization_run_id").cast("string"))
+    )
+    write_text_files(render_summaries(rows, as_of), folder)
+    store.append_new("job_events", upload_events(manifest, as_of))
+    return manifest

@@ -490,6 +490,17 @@ SELECT state_id, current_stage, run_status, action,
        CASE action WHEN 'clear' THEN 'completed' ELSE status END AS next_status
 FROM d""",
 )
+ORACLE["advance_state"] = with_views(
+    "conversation_state job_events", f", w AS {pending(744)}" + steps("w") + """
+SELECT s.state_id, s.user_id, s.document_path, s.extraction_run_id,
+       CASE WHEN s.status = 'in_progress' AND action = 'start_summarization' THEN d.extraction_run_id + 1
+            ELSE s.summarization_run_id END AS summarization_run_id,
+       CASE WHEN s.status = 'in_progress' AND action = 'start_summarization' THEN 'summarizing'
+            WHEN s.status = 'in_progress' AND action = 'upload' THEN 'completed' ELSE s.current_stage END AS current_stage,
+       s.triggered_at,
+       CASE WHEN s.status = 'in_progress' AND action = 'clear' THEN 'completed' ELSE s.status END AS status
+FROM conversation_state s LEFT JOIN d ON s.user_id = d.user_id""",
+)
 ORACLE["workflow_state_from_events"] = with_views("linked_events", f"""
 , e AS (SELECT run_id, min(timestamp) AS triggered_at, arg_max(event_type, timestamp) AS e,
                arg_min(triggered_by, timestamp) AS user_id, max(json_extract_string(details, '$.document_path')) AS document_path

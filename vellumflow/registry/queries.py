@@ -271,6 +271,13 @@ def workflow_advance(t: Derived) -> DataFrame:
     return workflow.advance(t.conversation_state(), t.job_events(), AS_OF, WHOLE_LOG_HOURS)
 
 
+@query
+def advance_state(t: Derived) -> DataFrame:
+    return workflow.advance_state(
+        t.conversation_state(), t.job_events(), F.col("extraction_run_id") + 1, AS_OF, WHOLE_LOG_HOURS
+    )
+
+
 @query
 def workflow_state_from_events(t: Derived) -> DataFrame:
     return projection.workflow_state_from_events(t.linked_events())

@@ -8,9 +8,9 @@ snapshot folds the changes together now and then.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.utils import AnalysisException
 
 from vellumflow.operators.latest import newest_per
 
@@ -43,7 +43,7 @@ def _folder(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+        if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 

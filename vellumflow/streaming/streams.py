@@ -75,19 +75,27 @@ def triggered_action(event_type: Column) -> Column:
     )
 
 
+SALTS = 32
+
+
 def stage_trigger(ev: DataFrame, watermark: str | None = None) -> DataFrame:
     """The next action of each run, once per run and action.
 
     Without a watermark the seen runs stay in the state store for good; with one
-    they are forgotten after it.
+    they are forgotten after it. A first, salted pass spreads the repeats of a
+    busy run over many state partitions and lets at most one per salt through.
     """
     source = ev if watermark is None else with_event_time(ev, watermark)
     actions = source.withColumn("action", triggered_action(F.col("event_type"))).filter(
         F.col("action").isNotNull() & (F.col("run_id") != V.NO_RUN)
     )
     keys = ["run_id", "agent", "action"]
-    once = actions.dropDuplicates(keys) if watermark is None else actions.dropDuplicatesWithinWatermark(keys)
-    return once.select(*keys)
+
+    def once(rows: DataFrame, by: list[str]) -> DataFrame:
+        return rows.dropDuplicates(by) if watermark is None else rows.dropDuplicatesWithinWatermark(by)
+
+    salted = actions.withColumn("salt", F.pmod(F.xxhash64("event_id"), F.lit(SALTS)))
+    return once(once(salted, [*keys, "salt"]), keys).select(*keys)
 
 
 def stalled_sessions(ev: DataFrame, agent: V.Agent, watermark: str = "1 day") -> DataFrame:
