@@ -14,7 +14,7 @@ from vellumflow.sources.store import TableStore
 QUERIES = entry_point.queries()
 PYTHON_ALLOWED = {"knowledge_topk", "knowledge_reply", "product_topk"}
 # Building these writes files or runs a stream first.
-EAGER = {"read_documents", "list_summaries", "get_summary", "synced_status", "dedup_events", "live_volume", "stage_trigger"}
+EAGER = {"read_documents", "list_summaries", "get_summary", "synced_status", "dedup_events", "live_volume", "stage_trigger", "silent_runs"}
 
 
 def plan(df):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from string import Formatter
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from vellumflow import vocabulary as V
 
@@ -89,6 +89,12 @@ def user_of_address(address: Column) -> Column:
     return F.substring_index(address, "@", 1)
 
 
+def paths_like(df: DataFrame, path: str, like: str, contains: str = "", suffix: str = "") -> DataFrame:
+    """Rows whose path matches a LIKE pattern, a substring and a suffix."""
+    p = F.col(path)
+    return df.filter(p.like(like) & p.contains(contains) & p.endswith(suffix))
+
+
 def base_name(path: Column) -> Column:
     return F.element_at(F.split(path, "/"), -1)
 

@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
@@ -28,14 +29,14 @@ TIE_PLACES = 9  # scores equal to this many places are a tie
 
 
 def _unit(rows) -> np.ndarray:
-    m = np.stack([np.asarray(r, dtype=np.float64) for r in rows])
+    m = (rows if isinstance(rows, np.ndarray) and rows.ndim == 2 else np.stack(list(rows))).astype(np.float64)
     norms = np.linalg.norm(m, axis=1, keepdims=True)
     return m / np.where(norms == 0, 1.0, norms)
 
 
-def _best(query_ids: np.ndarray, unit_queries: np.ndarray, ids: np.ndarray, vectors, k: int) -> pd.DataFrame:
+def _best(query_ids: np.ndarray, unit_queries: np.ndarray, ids: np.ndarray, unit_vectors: np.ndarray, k: int) -> pd.DataFrame:
     """k best ids per query; ties prefer the smaller id."""
-    scores = np.round(unit_queries @ _unit(vectors).T, TIE_PLACES)
+    scores = np.round(unit_queries @ unit_vectors.T, TIE_PLACES)
     k = min(k, scores.shape[1])
     cut = np.partition(scores, -k, axis=1)[:, -k]
     q, c = np.nonzero(scores >= cut[:, None])
@@ -60,13 +61,15 @@ def _candidate_schema(queries: DataFrame, corpus: DataFrame) -> T.StructType:
 def _shipped(corpus: DataFrame, ids: np.ndarray, matrix: np.ndarray, k: int, schema: T.StructType) -> DataFrame:
     shared = corpus.sparkSession.sparkContext.broadcast((ids, _unit(matrix)))
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, unit_queries = shared.value
-        for pdf in batches:
-            if len(pdf):
-                yield _best(query_ids, unit_queries, pdf["vec_id"].to_numpy(), pdf["embedding"], k)
+        for batch in batches:
+            if batch.num_rows:
+                vectors = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                best = _best(query_ids, unit_queries, batch.column(0).to_numpy(), _unit(vectors), k)
+                yield pa.RecordBatch.from_pandas(best, preserve_index=False)
 
-    return corpus.select("vec_id", "embedding").mapInPandas(score, schema)
+    return corpus.select("vec_id", "embedding").mapInArrow(score, schema)
 
 
 def _blocked(corpus: DataFrame, queries: DataFrame, k: int, schema: T.StructType, query_blocks: int, corpus_blocks: int) -> DataFrame:
@@ -82,7 +85,7 @@ def _blocked(corpus: DataFrame, queries: DataFrame, k: int, schema: T.StructType
     def score(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
         if not len(q) or not len(c):
             return pd.DataFrame({f.name: [] for f in schema.fields})
-        return _best(q["query_id"].to_numpy(), _unit(q["q"]), c["vec_id"].to_numpy(), c["embedding"], k)
+        return _best(q["query_id"].to_numpy(), _unit(q["q"]), c["vec_id"].to_numpy(), _unit(c["embedding"]), k)
 
     return left.groupBy("qb", "cb").cogroup(right.groupBy("qb", "cb")).applyInPandas(score, schema)
 
@@ -104,7 +107,8 @@ def topk(
     """The ``k`` nearest corpus rows (vec_id, embedding) of each query
     (query_id, embedding): query_id, rank, vec_id, score."""
     schema = _candidate_schema(queries, corpus)
-    queries = queries.select("query_id", "embedding")
+    queries = queries.select("query_id", "embedding").filter(F.col("embedding").isNotNull())
+    corpus = corpus.filter(F.col("embedding").isNotNull())
     rows = queries.limit(max_shipped + 1).toPandas()
     if not len(rows):
         candidates = corpus.sparkSession.createDataFrame([], schema)

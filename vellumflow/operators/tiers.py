@@ -24,6 +24,32 @@ def cold_status(ev: DataFrame) -> DataFrame:
     )
 
 
+HOT_COLUMNS = [
+    "run_id", "user_id", "conversation_id", "job_type", "agent", "status", "sp_used", "created_at", "updated_at"
+]
+
+
+def upsert_status(hot: DataFrame, changes: DataFrame) -> DataFrame:
+    """The hot store after inserts and updates, as a whole new table.
+
+    The newest ``updated_at`` of a run wins; a change that is not given a value
+    keeps the old one, and ``created_at`` stays the earliest.
+    """
+    both = hot.select(*HOT_COLUMNS).unionByName(changes.select(*HOT_COLUMNS))
+    order = F.struct("updated_at", "status")
+
+    def newest(column: str) -> Column:
+        return F.max_by(column, F.when(F.col(column).isNotNull(), order)).alias(column)
+
+    kept = [c for c in HOT_COLUMNS if c not in ("run_id", "created_at")]
+    return both.groupBy("run_id").agg(*[newest(c) for c in kept], F.min("created_at").alias("created_at")).select(*HOT_COLUMNS)
+
+
+def delete_status(hot: DataFrame, run_ids: DataFrame) -> DataFrame:
+    """The hot store without the given runs."""
+    return hot.join(run_ids.select(F.col("run_id").cast("string").alias("run_id")), "run_id", "left_anti")
+
+
 def _hot(hot: DataFrame) -> DataFrame:
     return hot.select(
         "run_id", "status", "updated_at", "sp_used", F.lit(True).alias("in_hot")

@@ -752,6 +752,33 @@ SELECT date_trunc('hour', timestamp) AS window_start, agent, COUNT(*) AS events,
        CAST(SUM(CASE WHEN event_type LIKE '%Failed' THEN 1 ELSE 0 END) AS BIGINT) AS failed,
        round(SUM(CASE WHEN event_type LIKE '%Failed' THEN 1 ELSE 0 END) / CAST(COUNT(*) AS DOUBLE), 6) AS error_rate
 FROM job_events GROUP BY 1, 2""")
+ORACLE["silent_runs"] = with_views("job_events", """
+, mine AS (SELECT * FROM job_events WHERE agent = 'extraction_agent')
+, gaps AS (SELECT *, timestamp >= LAG(timestamp) OVER (PARTITION BY run_id ORDER BY timestamp) + INTERVAL 60 MINUTE AS fresh FROM mine)
+, numbered AS (SELECT *, SUM(CASE WHEN fresh THEN 1 ELSE 0 END) OVER (PARTITION BY run_id ORDER BY timestamp) AS session FROM gaps)
+, sessions AS (SELECT run_id, MAX(timestamp) + INTERVAL 60 MINUTE AS gave_up_at,
+                      MAX(CASE WHEN event_type LIKE '%Started' THEN timestamp END) AS started_at,
+                      MAX(CASE WHEN event_type NOT LIKE '%Started' THEN timestamp END) AS ended_at
+               FROM numbered GROUP BY run_id, session)
+SELECT run_id, started_at, gave_up_at FROM sessions
+WHERE started_at IS NOT NULL AND (ended_at IS NULL OR ended_at < started_at)
+  AND gave_up_at <= (SELECT date_trunc('millisecond', MAX(timestamp)) FROM mine) - INTERVAL 1 DAY""")
+ORACLE["paths_of_collection"] = with_views("extracted_documents", """
+SELECT extraction_id, document_path FROM extracted_documents
+WHERE document_path LIKE '%/source_pdfs/%' AND contains(document_path, 'patient_1')""")
+HOT_CHANGES = """
+, changes AS (
+  SELECT run_id, user_id, NULL AS conversation_id, job_type, agent, 'SUCCESS' AS status, sp_used,
+         updated_at AS created_at, TIMESTAMP '2024-01-31 00:00:00' AS updated_at FROM job_status WHERE agent <> 'sharepoint_agent'
+  UNION ALL
+  SELECT run_id, user_id, conversation_id, job_type, agent, 'PENDING', sp_used, created_at, created_at - INTERVAL 1 DAY FROM job_status)
+"""
+ORACLE["hot_upsert"] = with_views("job_status", HOT_CHANGES + """
+SELECT h.run_id, h.user_id, h.conversation_id, h.job_type, h.agent, coalesce(c.status, h.status) AS status, h.sp_used,
+       h.created_at, coalesce(c.updated_at, h.updated_at) AS updated_at
+FROM job_status h LEFT JOIN changes c ON h.run_id = c.run_id AND c.status = 'SUCCESS'""")
+ORACLE["hot_delete"] = with_views("job_status", f"""
+SELECT * FROM job_status WHERE NOT (status IN ('SUCCESS', 'FAILED') AND updated_at < {AS_OF} - INTERVAL '7' DAY)""")
 ORACLE["stage_trigger"] = with_views("job_events", """
 SELECT DISTINCT run_id, agent, CASE event_type WHEN 'ExtractionJobCompleted' THEN 'start_summarization'
                                                WHEN 'SummarizationJobCompleted' THEN 'upload' ELSE 'clear' END AS action

@@ -291,6 +291,30 @@ def job_status_lookup(t: Derived) -> DataFrame:
     return tiers.lookup_status(_extraction_runs(t), t.job_status(), t.job_events())
 
 
+@query
+def hot_upsert(t: Derived) -> DataFrame:
+    store = t.job_status()
+    changes_ = (
+        store.filter(F.col("agent") != V.UPLOAD.name)
+        .withColumns(
+            {
+                "status": F.lit("SUCCESS"),
+                "conversation_id": F.lit(None).cast("string"),
+                "created_at": F.col("updated_at"),
+                "updated_at": F.lit("2024-01-31 00:00:00").cast(NTZ),
+            }
+        )
+    )
+    late = store.withColumns({"status": F.lit("PENDING"), "updated_at": F.col("created_at") - F.expr("INTERVAL 1 DAY")})
+    return tiers.upsert_status(store, changes_.unionByName(late))
+
+
+@query
+def hot_delete(t: Derived) -> DataFrame:
+    finished, _ = tiers.split_archive(t.job_status(), AS_OF, days=7)
+    return tiers.delete_status(t.job_status(), finished)
+
+
 @query
 def unified_status(t: Derived) -> DataFrame:
     return tiers.unified_status(t.job_status(), t.job_events())
@@ -680,6 +704,22 @@ def live_volume(t: Derived) -> DataFrame:
     )
 
 
+@query
+def silent_runs(t: Derived) -> DataFrame:
+    target = scratch(t.spark, "silent")
+    silent = streams.stalled_sessions(_stream(t), V.EXTRACTION, "1 day")
+    streams.append_to(silent, f"{target}/runs", f"{target}/checkpoint").awaitTermination()
+    rows = t.spark.read.parquet(f"{target}/runs")
+    return rows.select("run_id", *[F.col(c).cast(NTZ).alias(c) for c in ("started_at", "gave_up_at")])
+
+
+@query
+def paths_of_collection(t: Derived) -> DataFrame:
+    return X.paths_like(t.extracted_documents(), "document_path", "%/source_pdfs/%", contains="patient_1").select(
+        "extraction_id", "document_path"
+    )
+
+
 @query
 def stage_trigger(t: Derived) -> DataFrame:
     target = scratch(t.spark, "actions")

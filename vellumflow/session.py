@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -47,6 +47,11 @@ def local_session(app: str = "vellumflow", cores: str | int = 8, memory: str = "
     return tune(spark)
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="vellumflow-")
+
+
 def work_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -59,8 +64,7 @@ def work_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    folder = os.environ.setdefault("VELLUMFLOW_LOCAL_WORK", tempfile.mkdtemp(prefix="vellumflow-"))
-    return folder
+    return _local_folder()
 
 
 def scratch(spark: SparkSession, name: str) -> str:
