@@ -51,11 +51,26 @@ def test_replayed_batch_and_snapshot(spark, log, cuts, tmp_path):
     # The whole input again, from a lost checkpoint: the same folders, the same rows.
     changes.sync(stream(spark, log, cuts["many"]), ["run_id"], "timestamp", target, f"{target}/cp2").awaitTermination()
     assert rows(changes.replica(spark, target, ["run_id"], "timestamp"), *STATUS) == once
-    base = changes.compact(spark, target, ["run_id"], "timestamp", f"{target}/base")
-    changes.write_batch(spark.read.parquet(base).limit(0), 0, target)
-    assert rows(changes.replica(spark, target, ["run_id"], "timestamp", snapshot=base), *STATUS) == once
-    assert rows(changes.replica(spark, target, ["run_id"], "timestamp", snapshot=f"{target}/none"), "run_id") == [(r[0],) for r in rows(
-        changes.replica(spark, target, ["run_id"], "timestamp"), "run_id")]
+
+
+def test_snapshots(spark, log, cuts, tmp_path):
+    target = str(tmp_path / "t")
+    changes.sync(stream(spark, log, cuts["shuffled"]), ["run_id"], "timestamp", target, f"{target}/cp").awaitTermination()
+    whole = rows(changes.replica(spark, target, ["run_id"], "timestamp"), *STATUS)
+    assert changes.compact(spark, target, ["run_id"], "timestamp") == 7
+    current = changes.replica(spark, target, ["run_id"], "timestamp")
+    assert rows(current, *STATUS) == whole
+    # Folded batches are no longer read.
+    current.collect()
+    plan = current._jdf.queryExecution().executedPlan().toString()
+    assert "(batch_id#" in plan and "PartitionFilters: [isnotnull(batch_id" in plan
+    later = log.filter("run_id = 0 or event_id = '0'").limit(1).withColumn("timestamp", F.lit("2030-01-01").cast("timestamp_ntz")).withColumn("status", F.lit("LATE"))
+    changes.write_batch(later, 8, target)
+    (run,) = [r.run_id for r in later.collect()]
+    assert changes.compact(spark, target, ["run_id"], "timestamp") == 8
+    got = changes.replica(spark, target, ["run_id"], "timestamp")
+    assert rows(got.filter(F.col("run_id") == run), "status") == [("LATE",)]
+    assert rows(got.filter(F.col("run_id") != run), *STATUS) == [r for r in whole if r[0] != run]
 
 
 @pytest.mark.parametrize("cut", ["one", "shuffled"])

@@ -31,4 +31,5 @@ def lookup(left: DataFrame, right: DataFrame, on: list[str], how: str = "left",
     # Always 0, but not a constant to the optimizer, which would drop the lane.
     zero = F.pmod(F.xxhash64(*on), F.lit(1))
     lane = zero if spread_by is None else F.when(keyed, zero).otherwise(1 + F.pmod(F.xxhash64(spread_by), F.lit(NULL_LANES)))
-    return left.withColumn(LANE, lane).join(right.withColumn(LANE, zero), [*on, LANE], how).drop(LANE)
+    joined = left.withColumn(LANE, lane).join(right.withColumn(LANE, zero), [*on, LANE], how).drop(LANE)
+    return joined.select(*left.columns, *[c for c in joined.columns if c not in left.columns])

@@ -21,9 +21,13 @@ class Derived:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        """A raw table; its footer is read once."""
+        if name not in self._raw:
+            self._raw[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        return self._raw[name]
 
     @staticmethod
     def as_job_events(events: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ snapshot folds the changes together now and then.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vellumflow.operators.latest import newest_per
@@ -39,25 +39,35 @@ def sync(
     )
 
 
-def _folder(spark: SparkSession, path: str) -> DataFrame | None:
+def _snapshots(spark: SparkSession, target: str) -> DataFrame | None:
     try:
-        return spark.read.parquet(path)
+        return spark.read.parquet(f"{target}/snapshots")
     except AnalysisException as e:
         if e.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
 
 
-def replica(spark: SparkSession, target: str, key: list[str], sequence: str, tie: str = "event_id", snapshot: str | None = None) -> DataFrame:
-    """Current rows: the snapshot, if given, and the changes, newest per key."""
-    rows = spark.read.parquet(f"{target}/changes").drop("batch_id")
-    if snapshot is not None:
-        base = _folder(spark, snapshot)
-        rows = rows if base is None else rows.unionByName(base)
+def replica(spark: SparkSession, target: str, key: list[str], sequence: str, tie: str = "event_id") -> DataFrame:
+    """Current rows: the newest snapshot, if any, and the batches after it,
+    newest per key. Folders of older batches and snapshots are not read."""
+    rows = spark.read.parquet(f"{target}/changes")
+    snapshots = _snapshots(spark, target)
+    if snapshots is None:
+        rows = rows.drop("batch_id")
+    else:
+        upto = snapshots.agg(F.max("upto")).first()[0]
+        rows = rows.filter(F.col("batch_id") > upto).drop("batch_id")
+        rows = rows.unionByName(snapshots.filter(F.col("upto") == upto).drop("upto"))
     return newest_per(rows, key, sequence, tie)
 
 
-def compact(spark: SparkSession, target: str, key: list[str], sequence: str, into: str, tie: str = "event_id", base: str | None = None) -> str:
-    """Write the current rows as a new snapshot at ``into``."""
-    replica(spark, target, key, sequence, tie, base).write.mode("overwrite").parquet(into)
-    return into
+def compact(spark: SparkSession, target: str, key: list[str], sequence: str, tie: str = "event_id") -> int:
+    """Fold all batches so far into a snapshot; returns the last batch in it.
+
+    A snapshot becomes visible when its job commits, so a failed one is as if
+    it never ran.
+    """
+    upto = spark.read.parquet(f"{target}/changes").agg(F.max("batch_id")).first()[0]
+    replica(spark, target, key, sequence, tie).write.mode("overwrite").parquet(f"{target}/snapshots/upto={upto}")
+    return upto
