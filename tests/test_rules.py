@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import timedelta, timezone
 
 import pytest
 from conftest import at, rows
@@ -341,10 +341,18 @@ def test_all_missing_inputs_are_reported(spark):
 
 
 def test_first_broken_path_rule(spark):
-    df = spark.createDataFrame([("/source_pdfs/a.pdf",), ("/other/a.pdf",), ("/other/a.txt",)], "document_path string")
-    assert [r.reason for r in governance.validate_paths(df).collect()] == [None, V.BAD_PREFIX, V.BAD_SUFFIX]
+    df = spark.createDataFrame([("/source_pdfs/a.pdf",), ("/other/a.pdf",), ("/other/a.txt",), (None,)], "document_path string")
+    assert [r.reason for r in governance.validate_paths(df).collect()] == [None, V.BAD_PREFIX, V.BAD_SUFFIX, V.BAD_SUFFIX]
     good, bad = governance.split_paths(df)
-    assert (good.count(), bad.count()) == (1, 2)
+    assert (good.count(), bad.count()) == (1, 3)
+
+
+def test_instant_with_a_zone(spark):
+    zoned = NOW.replace(tzinfo=timezone(timedelta(hours=2)))
+    got = spark.range(1).select(
+        times.instant(zoned, timedelta(hours=1)).cast("string"), times.instant(NOW, timedelta(hours=1)).cast("string")
+    ).first()
+    assert tuple(got) == ("2024-01-02 09:00:00", "2024-01-02 11:00:00")
 
 
 def test_null_and_repeated_keys(spark):

@@ -43,6 +43,14 @@ def test_equals_brute_force(spark, max_shipped, k):
     assert got(df) == brute(corpus, queries, k)
 
 
+@pytest.mark.parametrize("max_shipped", [100, 0], ids=["shipped", "blocked"])
+def test_scores_in_small_portions(spark, monkeypatch, max_shipped):
+    monkeypatch.setattr(search, "MAX_SCORES", 20)
+    corpus, queries = data(40), data(7, seed=2)
+    df = search.topk(vectors(spark, "vec_id", corpus), vectors(spark, "query_id", queries), 3, max_shipped, block_rows=9)
+    assert got(df) == brute(corpus, queries, 3)
+
+
 @pytest.mark.parametrize("max_shipped", [100, 0], ids=["shipped", "blocked"])
 def test_copies_tie_by_id_and_zero_vectors_score_zero(spark, max_shipped):
     corpus = [(i, [1, 2, 3, 4]) for i in (9, 4, 7, 1, 8)] + [(2, [0, 0, 0, 0]), (3, [4, 3, 2, 1])]

@@ -11,10 +11,12 @@ def instant(as_of: datetime | None, minus: timedelta = timedelta()) -> Column:
     """``as_of - minus``; ``None`` means the current time.
 
     A given ``as_of`` becomes a constant, so comparisons against it reach the
-    parquet scan.
+    parquet scan. One without a zone is in session time.
     """
     if as_of is None:
         return F.current_timestamp() - F.lit(minus)
+    if as_of.tzinfo is not None:
+        return F.lit(as_of - minus)
     return F.lit((as_of - minus).isoformat(sep=" ")).cast("timestamp_ntz")
 
 

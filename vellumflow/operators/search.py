@@ -25,6 +25,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MAX_SHIPPED_QUERIES = 4096
 MAX_SHIPPED_BYTES = 256 << 20
+MAX_SCORES = 4_000_000  # scores a task holds at once
 TIE_PLACES = 9  # scores equal to this many places are a tie
 
 
@@ -35,6 +36,16 @@ def _unit(rows) -> np.ndarray:
 
 
 def _best(query_ids: np.ndarray, unit_queries: np.ndarray, ids: np.ndarray, unit_vectors: np.ndarray, k: int) -> pd.DataFrame:
+    """k best ids per query, a bounded number of scores at a time."""
+    step = max(1, MAX_SCORES // len(ids))
+    blocks = range(0, len(query_ids), step)
+    return pd.concat(
+        [_best_of(query_ids[i : i + step], unit_queries[i : i + step], ids, unit_vectors, k) for i in blocks],
+        ignore_index=True,
+    )
+
+
+def _best_of(query_ids: np.ndarray, unit_queries: np.ndarray, ids: np.ndarray, unit_vectors: np.ndarray, k: int) -> pd.DataFrame:
     """k best ids per query; ties prefer the smaller id."""
     scores = np.round(unit_queries @ unit_vectors.T, TIE_PLACES)
     k = min(k, scores.shape[1])

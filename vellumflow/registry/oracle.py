@@ -184,7 +184,7 @@ def events_select(
     source: str, kind: str, agent: V.Agent, run: str, status: str, details: str, triggered_by: str = "triggered_by"
 ) -> str:
     return f"""
-SELECT {uuid_of('run', 'kind', AS_OF, 'details')} AS event_id, kind AS event_type, run AS run_id,
+SELECT {uuid_of('run', 'kind', AS_OF, 'triggered_by', 'details')} AS event_id, kind AS event_type, run AS run_id,
        '{agent.name}' AS agent, '{agent.principal}' AS sp_used, triggered_by, {AS_OF} AS timestamp, status, details
 FROM (SELECT {kind} AS kind, CAST({run} AS BIGINT) AS run, {status} AS status,
              {triggered_by} AS triggered_by, {details} AS details FROM {source}) z"""
