@@ -417,3 +417,18 @@ def test_conform_casts_and_fills(spark):
     got = conform(df, SCHEMAS["extracted_documents"])
     assert got.columns == SCHEMAS["extracted_documents"].fieldNames()
     assert dict(got.dtypes)["page_count"] == "int"
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_sequences_ignore_the_session_zone(spark, conf, zone):
+    """Wall-clock times around a clock change keep their order and distance."""
+    conf(spark__sql__session__timeZone=zone)
+    moments = ["2024-03-10 01:59:59", "2024-03-10 02:30:10", "2024-03-10 02:30:50", "2024-03-10 03:00:00", "2024-03-10 03:30:20"]
+    kinds = ["Started", "Started", "Failed", "Completed", "Started"]
+    log = spark.createDataFrame(
+        [(str(i), f"ExtractionJob{k}", 1, E, "u", m) for i, (k, m) in enumerate(zip(kinds, moments))],
+        "event_id string, event_type string, run_id long, agent string, triggered_by string, timestamp string",
+    ).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    gaps = sequences.event_gaps(log).orderBy("event_id").collect()
+    assert [r.gap_seconds for r in gaps] == [None, 1811.0, 40.0, 1750.0, 1820.0]
+    assert [r.duration_seconds for r in sequences.stage_durations(log).collect()] == [1851.0]

@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from vellumflow import vocabulary as V
 from vellumflow.functions.text import normalized
 
 
+def _truncated(unit: str, column: str, kind: T.DataType) -> Column:
+    """Start of the hour or day, in the type of the column."""
+    return F.date_trunc(unit, column).cast(kind)
+
+
 def request_volume(ev: DataFrame) -> DataFrame:
     """Requests per hour and per day; days are summed from the hours."""
-    hours = ev.groupBy(F.date_trunc("hour", "timestamp").alias("hour")).agg(F.count("*").alias("n"))
+    kind = ev.schema["timestamp"].dataType
+    hours = ev.groupBy(_truncated("hour", "timestamp", kind).alias("hour")).agg(F.count("*").alias("n"))
     grains = F.array(
         F.struct(F.lit("hour").alias("grain"), F.col("hour").alias("bucket_start")),
-        F.struct(F.lit("day").alias("grain"), F.date_trunc("day", "hour").alias("bucket_start")),
+        F.struct(F.lit("day").alias("grain"), _truncated("day", "hour", kind).alias("bucket_start")),
     )
     return (
         hours.select(F.explode(grains).alias("g"), "n")
@@ -136,7 +142,8 @@ def security_events(ev: DataFrame, sigmas: float = 3.0) -> DataFrame:
 
     Works on hourly counts, which grow with time and principals, not events.
     """
-    hours = ev.groupBy("sp_used", F.date_trunc("hour", "timestamp").alias("hour")).agg(
+    hour = _truncated("hour", "timestamp", ev.schema["timestamp"].dataType)
+    hours = ev.groupBy("sp_used", hour.alias("hour")).agg(
         F.count("*").alias("n"),
         F.sum(F.col("event_type").endswith("Failed").cast("long")).alias("failed"),
     )

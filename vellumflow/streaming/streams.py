@@ -9,7 +9,9 @@ from vellumflow import vocabulary as V
 from vellumflow.streaming.changes import AVAILABLE_NOW, write_batch
 
 
-def event_stream(spark: SparkSession, folder: str, schema: T.StructType, glob: str = "*.parquet", files_per_batch: int | None = None) -> DataFrame:
+def event_stream(
+    spark: SparkSession, folder: str, schema: T.StructType, glob: str = "*.parquet", files_per_batch: int | None = None
+) -> DataFrame:
     """A parquet folder as a change stream."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", glob)
     if files_per_batch:
