@@ -14,6 +14,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # operators.joins.lookup needs joins to shuffle by all of their keys.
+    "spark.sql.requireAllClusterKeysForCoPartition": "true",
     "spark.sql.session.timeZone": "UTC",
     # Sessions of a busy key are merged before the shuffle.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
