@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vellumflow.llm import byte_bpe, token_records
+from vellumflow.llm import (
+    byte_bpe, line_rules, parity_join, phrase_index, preference, sharding, site_bayes, suffix_dedup, token_records, url_filter,
+)
 from vellumflow.session import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +19,8 @@ ORACLE: dict[str, str] = {}
 BYTE_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
+SHARDS, SEED = 24, 20240101
+RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 
 
 def query(build: Query) -> Query:
@@ -29,6 +33,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_index.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), scratch(spark, "index"))
+
+
+@query
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    records = table(spark, sf_dir, "documents").select(
+        "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")
+    )
+    out = sharding.shuffle_into_shards(records, SHARDS, scratch(spark, "shards"), "doc_id", SEED)
+    return out.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+
+
 @query
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -40,3 +59,84 @@ def op4_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "records")
     parts = token_records.write(table(spark, sf_dir, "documents"), WORD_TOKENIZER, END_ID, folder)
     return token_records.digests(parts, folder)
+
+
+@query
+def op5_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parity_join.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    # The list: URLs of pages that the labels call toxic.
+    toxic = table(spark, sf_dir, "labels").where("toxic = 1").select(F.col("doc_id").alias("page_id")).distinct()
+    listed = pages.join(toxic, "page_id", "left_semi").select("url")
+    return url_filter.judge(pages, listed, RULES).select("page_id", "host", "path", "rule", "verdict", "canonical", "listed")
+
+
+ORACLE["op7_url_filter"] = r"""
+WITH read AS (
+  SELECT page_id, url,
+         translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path,
+         array_to_string(list_sort(list_filter(
+           string_split(regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*[^?#]*\?([^#]*)', 1, 's'), '&'),
+           lambda p: p <> '' AND NOT starts_with(p, 'utm_') AND NOT starts_with(p, 'ref='))), '&') AS query
+  FROM pages),
+named AS (
+  SELECT page_id, host, path,
+         CASE WHEN host <> '' THEN concat(regexp_replace(regexp_replace(host, ':(80|443)$', ''), '\.$', ''), regexp_replace(path, '/+$', ''),
+                                          CASE WHEN query <> '' THEN concat('?', query) ELSE '' END) END AS canonical
+  FROM read),
+listed AS (SELECT DISTINCT canonical FROM named WHERE page_id IN (SELECT doc_id FROM labels WHERE toxic = 1)),
+ruled AS (
+  SELECT *,
+         CASE WHEN host LIKE '%.example.org' OR host = 'example.org' THEN
+                CASE WHEN starts_with(path, '/en/1') THEN 'example.org/en/1' WHEN starts_with(path, '/es/') THEN 'example.org/es/'
+                     WHEN starts_with(path, '/') THEN 'org/' END
+              WHEN host LIKE '%.org' OR host = 'org' THEN CASE WHEN starts_with(path, '/') THEN 'org/' END
+              WHEN host LIKE '%.com' OR host = 'com' THEN
+                CASE WHEN starts_with(path, '/fr/') THEN 'com/fr/' WHEN starts_with(path, '/de/') THEN 'com/de/' END END AS rule,
+         coalesce(canonical IN (SELECT canonical FROM listed WHERE canonical IS NOT NULL), false) AS listed
+  FROM named)
+SELECT page_id, host, path, rule, canonical, listed,
+       CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' WHEN listed THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled""".replace("\\\\", "\\")
+
+
+@query
+def op8_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    # The rejected side of a conversation has the last reply of the next one in place of its own.
+    last = turns.where("role = 'assistant'").groupBy("conv_id").agg(F.max(F.struct("turn", "text")).alias("last"))
+    other = last.select((F.col("conv_id") - 1).alias("conv_id"), F.col("last.text").alias("reply"))
+    pairs = last.join(other, "conv_id").select("conv_id", F.col("last.turn").alias("at"), "reply")
+    swapped = turns.join(pairs, "conv_id").where("turn <= at").select(
+        (-1 - F.col("conv_id")).alias("conv_id"), "turn", "role", F.when(F.col("turn") == F.col("at"), F.col("reply")).otherwise(F.col("text")).alias("text")
+    )
+    wanted = pairs.select(F.col("conv_id").alias("chosen_id"), (-1 - F.col("conv_id")).alias("rejected_id"))
+    formatted = preference.format_pairs(turns.unionByName(swapped), wanted)
+    trained = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return formatted.select(
+        F.col("chosen_id").alias("conv_id"), "n_common", *[F.sha2(c, 256).alias(f"{c}_sha256") for c in ("prompt", "chosen", "rejected")],
+        *[trained(F.col(f"{c}_mask")).alias(f"{c}_trained") for c in ("chosen", "rejected")],
+    )
+
+
+@query
+def op9_site_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    judged = site_bayes.classify(docs, table(spark, sf_dir, "labels"), scratch(spark, "sites"))
+    return judged.select("doc_id", "junk_evidence", "toxic_evidence", "site_log_odds", "bad_log_odds", "accepted")
+
+
+@query
+def op10_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_rules.clean(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lost_chars")
