@@ -6,12 +6,13 @@ import pytest
 from oracle_compare import compare
 
 import __spark_entry__ as entry_point
-
-QUERIES, ORACLE = entry_point.queries(), entry_point.oracle_sql()
+from vellumflow.registry.oracle import ORACLE
+from vellumflow.registry.queries import QUERIES
 
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLE) <= set(entry_point.oracle_sql())
 
 
 def test_entry(spark):
