@@ -322,7 +322,7 @@ def join(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
         # Keys go on while their classes are in several components and some have not been centres.
         state = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("rank").alias("last"))
         state = state.where((F.col("low") < F.col("high")) & (F.col("last") > centres - 1)).select("key")
-        named = _kept(named.join(state, "key", "left_semi"), "named")
+        named = _kept(lookup(named, state, ["key"], "inner"), "named")
         if named.isEmpty():
             break
     named = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
