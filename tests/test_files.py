@@ -53,7 +53,7 @@ def test_rendered_files_round_trip(spark, tmp_path):
     rule = "=" * 80
     assert got.split("\n") == [
         rule, "ONCOLOGY SUMMARY - Patient 1", rule, "Generated: 2024-01-02T12:00:00", "Extraction Run ID: 11",
-        "Summarization Run ID: 12", rule, "", "line one", "line two", "",
+        "Summarization Run ID: 12", rule, "", "line one", "line two",
     ]
 
 
@@ -113,7 +113,10 @@ def test_whole_chain_and_its_repetition(spark, tmp_path):
     for _ in range(2):
         extract.run_extract(spark, store, str(source), run, F.lit("u"), NOW, suffix=".txt", prefix="file:")
         summarize.run_summarize(spark, store, F.col("extraction_run_id") + 100, F.lit("u"), NOW, load, "upper")
-    upload.run_upload(spark, store, out, "https://s", NOW)
+        upload.run_upload(spark, store, out, "https://s", NOW)
+    # A later run finds nothing left to publish.
+    later = upload.run_upload(spark, store, out, "https://s", at("2024-01-05 12:00:00"))
+    assert rows(later, "summarization_run_id", "event_type") == [(102, None)]  # failed, so not ready
     assert rows(store.read("summaries"), "summary_id", "summary_text") == [
         ("summary_101", "FIRST. SECOND."), ("summary_103", "THIRD.")
     ]
@@ -182,3 +185,42 @@ def test_summaries_pass_the_gate(spark, make_log):
     done = summarize.completion_events(su, F.lit("u"), NOW)
     ratios = done.select("run_id", F.get_json_object("details", "$.compression_ratio").alias("c"))
     assert rows(ratios, "run_id", "c") == [(101, "1.0"), (103, None)]
+
+
+NAMES = ["plain.txt", "my doc.txt", "a:b.txt", "100%.txt", "x=y+z.txt", "ünï.txt"]
+
+
+def test_names_and_bytes_survive(spark, tmp_path):
+    contents = {n: c for n, c in zip(NAMES, ["p", "p\n", "", "two\nlines\n\n", "ü", "\n"])}
+    rendered = spark.createDataFrame(list(contents.items()), "file_name string, content string")
+    where = files.write_text_files(rendered, str(tmp_path / "out"))
+    assert {(r.file_name, r.size) for r in files.list_summaries(spark, where).collect()} == {(n, len(c.encode())) for n, c in contents.items()}
+    got = files.get_summaries(files.read_documents(spark, where), rendered)
+    assert {(r.file_name, r.status, r.content) for r in got.collect()} == {(n, "success", c) for n, c in contents.items()}
+    files.write_text_files(rendered.filter("file_name = 'a:b.txt'").withColumn("content", F.lit("new")), where)
+    got = files.get_summaries(files.read_documents(spark, where), rendered)
+    assert {r.file_name: r.content for r in got.collect()} == {**contents, "a:b.txt": "new"}
+
+
+def test_foreign_files_of_zero_bytes_and_odd_names(spark, tmp_path):
+    (tmp_path / "empty.txt").write_bytes(b"")
+    (tmp_path / "patient one.txt").write_bytes(b"x\n")
+    got = {r.document_path.rsplit("/", 1)[1]: r.extracted_text for r in files.read_documents(spark, str(tmp_path)).collect()}
+    assert got == {"empty.txt": "", "patient one.txt": "x\n"}
+    assert {(r.file_name, r.size) for r in files.list_summaries(spark, str(tmp_path)).collect()} == {("empty.txt", 0), ("patient one.txt", 2)}
+
+
+def test_appends_keep_one_row_per_key_and_prune_days(spark, tmp_path, make_log):
+    store = TableStore(spark, str(tmp_path))
+    log = make_log(*[(str(k), "ExtractionJobStarted", k, "extraction_agent", "u", f"2024-01-{k + 1:02d} 10:00:00") for k in range(9)])
+    for _ in range(2):
+        store.append_new("job_events", log.unionByName(log))
+    assert store.read("job_events").count() == 9
+    few = store.read("job_events", at("2024-01-03 00:00:00"), at("2024-01-04 23:00:00"))
+    assert few.count() == 2
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+    prompts = spark.createDataFrame([("p", 1, "a"), ("p", 2, "b"), ("p", 2, "b")], "prompt_id string, version int, content string")
+    for _ in range(2):
+        store.append_new("prompts", prompts)
+    assert store.read("prompts").count() == 2

@@ -82,3 +82,20 @@ def test_replies(spark):
 def test_centroids(spark):
     df = spark.createDataFrame([(1, [1.0, 3.0]), (1, [3.0, 5.0]), (2, [0.0, 1.0])], "label int, embedding array<float>")
     assert rows(search.label_centroids(df), "query_id", "embedding") == [(1, [2.0, 4.0]), (2, [0.0, 1.0])]
+
+
+@pytest.mark.parametrize("max_shipped", [100, 0], ids=["shipped", "blocked"])
+def test_vectors_that_are_not_finite_are_left_out(spark, max_shipped):
+    corpus = data(6)
+    bad = [(20, [float("nan")] * 8), (21, None), (22, [None] + [1.0] * 7), (23, [float("inf")] * 8)]
+    frame = spark.createDataFrame([(i, None if v is None else [None if x is None else float(x) for x in v]) for i, v in [*corpus, *bad]], "vec_id long, embedding array<float>")
+    queries = data(2, seed=3)
+    asked = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in queries] + [(9, None), (10, [float("nan")] * 8)], "query_id long, embedding array<float>")
+    assert got(search.topk(frame.repartition(3), asked, 3, max_shipped, block_rows=2)) == brute(corpus, queries, 3)
+
+
+@pytest.mark.parametrize("max_shipped", [100, 0], ids=["shipped", "blocked"])
+def test_vectors_of_another_width_are_an_error(spark, max_shipped):
+    corpus = vectors(spark, "vec_id", [(1, [1, 0, 0]), (2, [0.5])])
+    with pytest.raises(Exception, match="not 3 elements"):
+        search.topk(corpus, vectors(spark, "query_id", [(1, [1, 0, 0])]), 3, max_shipped, block_rows=2).collect()

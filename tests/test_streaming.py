@@ -94,15 +94,43 @@ def test_volume_equals_batch(spark, log, cuts, tmp_path, cut):
     assert rows(got, *cols) == rows(want, *cols)
 
 
-@pytest.mark.parametrize(("cut", "watermark"), [("many", None), ("shuffled", None), ("many", "60 days")])
-def test_action_once_per_run(spark, log, cuts, tmp_path, cut, watermark):
+@pytest.mark.parametrize("cut", ["many", "shuffled"])
+def test_action_once_per_run(spark, log, cuts, tmp_path, cut):
     target = str(tmp_path / "t")
-    streams.append_to(streams.stage_trigger(stream(spark, log, cuts[cut]), watermark), target, f"{target}-cp").awaitTermination()
-    want = log.select("run_id", "agent", streams.triggered_action(F.col("event_type")).alias("action")).distinct().filter("action is not null")
+    streams.append_to(streams.stage_trigger(stream(spark, log, cuts[cut]), "60 days"), target, f"{target}-cp").awaitTermination()
+    want = log.filter("agent <> 'sharepoint_agent'").select("run_id", "agent", streams.triggered_action(F.col("event_type")).alias("action")).distinct().filter("action is not null")
     cols = ["run_id", "agent", "action"]
     assert rows(spark.read.parquet(target), *cols) == rows(want, *cols)
 
 
+def test_uploads_clear_the_run_they_name(spark, make_log, tmp_path):
+    log = make_log(
+        ("1", "SharePointUploadCompleted", 0, "sharepoint_agent", "u", "2024-01-01 00:00:00", '{"summarization_run_id":12}'),
+        ("2", "SharePointUploadFailed", 0, "sharepoint_agent", "u", "2024-01-01 00:01:00", '{"summarization_run_id":22}'),
+        ("3", "SharePointUploadFailed", 0, "sharepoint_agent", "u", "2024-01-01 00:02:00"),
+    )
+    log.coalesce(1).write.parquet(str(tmp_path / "in"))
+    target = str(tmp_path / "t")
+    actions = streams.stage_trigger(stream(spark, log, str(tmp_path / "in")))
+    streams.append_to(actions, target, f"{target}-cp").awaitTermination()
+    assert rows(spark.read.parquet(target), "run_id", "action") == [(12, "clear"), (22, "clear")]
+
+
+def test_silent_runs_up_to_the_newest_event(spark, make_log, tmp_path):
+    log = make_log(
+        ("1", "ExtractionJobStarted", 1, "extraction_agent", "u", "2024-01-01 00:00:00"),
+        ("2", "ExtractionJobStarted", 2, "extraction_agent", "u", "2024-01-03 00:00:00"),
+        ("3", "ExtractionJobStarted", 3, "extraction_agent", "u", "2024-01-03 05:30:00"),
+        ("4", "ExtractionJobCompleted", 4, "extraction_agent", "u", "2024-01-03 06:00:00"),
+    )
+    log.coalesce(1).write.parquet(str(tmp_path / "in"))
+    target = str(tmp_path / "t")
+    live = streams.stalled_sessions(stream(spark, log, str(tmp_path / "in")), V.EXTRACTION, "1 day")
+    streams.append_to(live, target, f"{target}-cp").awaitTermination()
+    assert rows(spark.read.parquet(target), "run_id") == [(1,)]
+    assert rows(streams.stalled_since(log, V.EXTRACTION, "1 day"), "run_id") == [(2,)]
+
+
 def test_silent_runs(spark, make_log, tmp_path):
     log = make_log(
         ("1", "ExtractionJobStarted", 1, "extraction_agent", "u", "2024-01-01 00:00:00"),

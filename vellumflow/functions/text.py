@@ -104,8 +104,10 @@ def compose_id(prefix: str, run_id: Column) -> Column:
 
 
 def stable_id(*parts: Column) -> Column:
-    """UUID-shaped id derived from its key, so a retried task repeats it."""
-    digest = F.md5(F.concat_ws("|", *[p.cast("string") for p in parts]))
+    """UUID-shaped id derived from its key, so a retried task repeats it. Each part is
+    preceded by its length (none for NULL), so different keys never read the same."""
+    sized = [F.concat(F.coalesce(F.char_length(p.cast("string")).cast("string"), F.lit("")), F.lit(":"), F.coalesce(p.cast("string"), F.lit(""))) for p in parts]
+    digest = F.md5(F.concat(*sized))
     return F.concat_ws("-", *[F.substr(digest, F.lit(at), F.lit(n)) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
 
 

@@ -59,6 +59,23 @@ def _best_of(query_ids: np.ndarray, unit_queries: np.ndarray, ids: np.ndarray, u
     return pd.DataFrame({"query_id": query_ids[q], "vec_id": ids[c], "score": scores[q, c]})
 
 
+def _trimmed(found: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The k best of each query."""
+    order = np.lexsort((found["vec_id"].to_numpy(), -found["score"].to_numpy(), found["query_id"].to_numpy()))
+    found = found.iloc[order]
+    return found[found.groupby("query_id").cumcount() < k].reset_index(drop=True)
+
+
+def _usable(vectors: DataFrame, width: int) -> DataFrame:
+    """Rows with a vector of finite numbers; a NULL vector, and one with a NULL, NaN or
+    infinite element, is left out, and one of another width is an error."""
+    v = F.col("embedding")
+    finite = F.forall(v, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))  # NaN is above all numbers
+    wrong = F.raise_error(F.concat(F.lit(f"a vector has not {width} elements but "), F.size(v).cast("string")))
+    checked = vectors.filter(v.isNotNull()).withColumn("embedding", F.when(F.size(v) == width, v).otherwise(wrong))
+    return checked.filter(finite)
+
+
 def _candidate_schema(queries: DataFrame, corpus: DataFrame) -> T.StructType:
     return T.StructType(
         [
@@ -74,11 +91,14 @@ def _shipped(corpus: DataFrame, ids: np.ndarray, matrix: np.ndarray, k: int, sch
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         query_ids, unit_queries = shared.value
+        best = None
         for batch in batches:
             if batch.num_rows:
                 vectors = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-                best = _best(query_ids, unit_queries, batch.column(0).to_numpy(), _unit(vectors), k)
-                yield pa.RecordBatch.from_pandas(best, preserve_index=False)
+                found = _best(query_ids, unit_queries, batch.column(0).to_numpy(), _unit(vectors), k)
+                best = found if best is None else _trimmed(pd.concat([best, found], ignore_index=True), k)
+        if best is not None:
+            yield pa.RecordBatch.from_pandas(best, preserve_index=False)
 
     return corpus.select("vec_id", "embedding").mapInArrow(score, schema)
 
@@ -118,15 +138,17 @@ def topk(
     """The ``k`` nearest corpus rows (vec_id, embedding) of each query
     (query_id, embedding): query_id, rank, vec_id, score."""
     schema = _candidate_schema(queries, corpus)
-    queries = queries.select("query_id", "embedding").filter(F.col("embedding").isNotNull())
-    corpus = corpus.filter(F.col("embedding").isNotNull())
-    rows = queries.limit(max_shipped + 1).toPandas()
+    queries = queries.select("query_id", "embedding")
+    first = queries.filter(F.size("embedding") >= 0).select(F.size("embedding").alias("width")).first()
+    width = first["width"] if first else 0
+    queries, corpus = _usable(queries, width), _usable(corpus, width)
+    # The bytes that may be fetched are known from the width before anything is.
+    fetched = min(max_shipped, MAX_SHIPPED_BYTES // max(1, 8 * width))
+    rows = queries.limit(fetched + 1).toPandas()
     if not len(rows):
         candidates = corpus.sparkSession.createDataFrame([], schema)
-    elif len(rows) <= max_shipped and len(rows) * len(rows["embedding"][0]) * 8 <= MAX_SHIPPED_BYTES:
+    elif len(rows) <= fetched:
         candidates = _shipped(corpus, rows["query_id"].to_numpy(), np.stack(rows["embedding"]), k, schema)
-        # At most k rows per shipped query, so a later join may broadcast them.
-        return F.broadcast(_ranked(candidates, k))
     else:
         n_queries, n_corpus = queries.count(), corpus.count()
         candidates = _blocked(

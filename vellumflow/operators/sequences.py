@@ -27,25 +27,18 @@ def event_gaps(ev: DataFrame, key: str = "triggered_by", slice_seconds: int = SL
     """Time since the previous event of the same key; NULL for the first.
 
     Inside a slice ``lag`` answers directly. The first event of a slice needs the
-    last event of the previous non-empty slice: those first rows alone, one per
-    slice, go through the second window.
+    last event of the previous non-empty slice: an aggregate with one row per slice
+    goes through a second window and is joined back by slice, which is how the
+    events are partitioned already.
     """
     rows = ev.select("event_id", key, "timestamp").withColumn("_slice", _slice(F.col("timestamp"), slice_seconds))
     ordered = Window.partitionBy(key, "_slice").orderBy("timestamp", "event_id")
-    whole = Window.partitionBy(key, "_slice")
-    inner = rows.withColumns(
-        {
-            "_prev": F.lag("timestamp").over(ordered),
-            "_last": F.max("timestamp").over(whole),
-            "_rn": F.row_number().over(ordered),
-        }
-    )
-    first = F.col("_rn") == 1
-    # Firsts of one key share a group (one row per slice); the rest stay spread.
-    lane = F.when(~first, F.col("_slice"))
-    across = Window.partitionBy(key, "_lane").orderBy("_slice", "_rn")
-    linked = inner.withColumn("_lane", lane).withColumn("_carried", F.lag("_last").over(across))
-    prev = F.when(first, F.col("_carried")).otherwise(F.col("_prev"))
+    inner = rows.withColumn("_prev", F.lag("timestamp").over(ordered))
+    ends = rows.groupBy(key, "_slice").agg(F.max("timestamp").alias("_last"))
+    across = Window.partitionBy(key).orderBy("_slice")
+    carried = ends.select(F.col(key).alias("_key"), F.col("_slice").alias("_at"), F.lag("_last").over(across).alias("_carried"))
+    linked = inner.join(carried, F.col(key).eqNullSafe(F.col("_key")) & F.col("_slice").eqNullSafe(F.col("_at")), "left")
+    prev = F.coalesce("_prev", "_carried")
     return linked.withColumn("prev_timestamp", prev).select(
         "event_id", key, "timestamp", "prev_timestamp",
         (micros_between(F.col("timestamp"), F.col("prev_timestamp")) / 1_000_000).alias("gap_seconds"),

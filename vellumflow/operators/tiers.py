@@ -33,10 +33,12 @@ def upsert_status(hot: DataFrame, changes: DataFrame) -> DataFrame:
     """The hot store after inserts and updates, as a whole new table.
 
     The newest ``updated_at`` of a run wins; a change that is not given a value
-    keeps the old one, and ``created_at`` stays the earliest.
+    keeps the old one, and ``created_at`` stays the earliest. At equal times a later
+    state wins (pending, running, finished), then the greater other columns.
     """
     both = hot.select(*HOT_COLUMNS).unionByName(changes.select(*HOT_COLUMNS))
-    order = F.struct("updated_at", "status")
+    state = F.when(F.col("status") == "PENDING", 0).when(F.col("status") == "RUNNING", 1).otherwise(2)
+    order = F.struct("updated_at", state, "status", *[c for c in HOT_COLUMNS if c not in ("run_id", "updated_at", "status")])
 
     def newest(column: str) -> Column:
         return F.max_by(column, F.when(F.col(column).isNotNull(), order)).alias(column)

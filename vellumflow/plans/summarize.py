@@ -133,12 +133,16 @@ def run_summarize(
     spark: SparkSession, store: TableStore, summarization_run: Column, triggered_by: Column, as_of: datetime,
     load: Callable[[], Summarizer] | None = None, model: str = DEFAULT_MODEL,
 ) -> DataFrame:
-    """Summarize every ready run and append summaries and their events.
+    """Summarize every ready run that has no summary yet and append summaries and events.
 
-    Model calls are costly and may not repeat, so their results are written to
-    the shared work folder once; both tables are filled from there.
+    Model calls are costly and may not repeat: extractions that are summarized leave
+    before their text is read, and results are written to the shared work folder
+    once; both tables are filled from there.
     """
-    ready = ready_extractions(store.read("job_events"), store.read("extracted_documents"))
+    extracted = store.read("extracted_documents")
+    if store.exists("summaries"):
+        extracted = extracted.join(store.read("summaries").select("extraction_run_id").distinct(), "extraction_run_id", "left_anti")
+    ready = ready_extractions(store.read("job_events"), extracted)
     path = scratch(spark, "summarized")
     with_summary(ready.withColumn("summarization_run_id", summarization_run), load).write.parquet(path)
     summarized = spark.read.parquet(path)

@@ -12,7 +12,9 @@ from vellumflow.functions.text import fill
 from vellumflow.functions.times import compact_format, instant, iso_format
 from vellumflow.operators.events import make_events
 from vellumflow.operators.latest import newest_per
+from vellumflow.operators.lineage import upload_outcomes
 from vellumflow.operators.status import latest_of_agent
+from vellumflow.session import scratch
 from vellumflow.sources.files import write_text_files
 from vellumflow.sources.store import TableStore
 
@@ -85,20 +87,25 @@ def storage_replies(stored: DataFrame, folder: str) -> DataFrame:
 
 
 def run_upload(spark: SparkSession, store: TableStore, folder: str, site_url: str, as_of: datetime) -> DataFrame:
-    """Write the file of every publishable summary and append the events.
+    """Write the file of every publishable summary that is not yet uploaded and append
+    the events; the manifest of these runs.
 
     Files come first: an event exists only for a file that was written. The
-    patient id is the part of the document path after ``patient_``.
+    patient id is the part of the document path after ``patient_``. The manifest is
+    written once, so what follows does not see the events it adds.
     """
     ev, su = store.read("job_events"), store.read("summaries")
-    manifest = upload_manifest(ev, su, site_url)
+    uploaded = upload_outcomes(ev).filter(F.col("event_type") == V.UPLOAD.completed).select("summarization_run_id")
+    path = scratch(spark, "manifest")
+    upload_manifest(ev, su, site_url).join(uploaded, "summarization_run_id", "left_anti").write.parquet(path)
+    manifest = spark.read.parquet(path)
     good = manifest.filter(F.col("event_type") == V.UPLOAD.completed).select("summarization_run_id")
     newest = newest_per(
         su, ["summarization_run_id"], "summarized_at", "summary_id",
         ["extraction_run_id", "summary_text", "document_metadata"],
     )
-    path = field(F.col("document_metadata"), "document_path")
-    patient = F.nullif(F.regexp_extract(path, r"patient_([^/.]+)", 1), F.lit(""))
+    source = field(F.col("document_metadata"), "document_path")
+    patient = F.nullif(F.regexp_extract(source, r"patient_([^/.]+)", 1), F.lit(""))
     rows = newest.join(good, "summarization_run_id", "left_semi").withColumn(
         "patient_id", F.coalesce(patient, F.col("summarization_run_id").cast("string"))
     )

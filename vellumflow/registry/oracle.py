@@ -27,6 +27,13 @@ def filled(template: str, **exprs: str) -> str:
 
 K = "CAST(regexp_extract(props, '[0-9]+', 0) AS INT)"
 
+def lead(column: str) -> str:
+    """The first three sentences of a text column, empty without a sentence end."""
+    return rf"regexp_extract({column}, '^(?:[^.!?]*[.!?]+){{1,3}}', 0)"
+
+
+SHORT = f"trim(CASE WHEN {lead('text')} = '' THEN text ELSE {lead('text')} END)"
+
 # Tables derived from the raw ones, in order of dependency.
 VIEWS = {
     "job_events": f"""
@@ -67,13 +74,13 @@ SELECT CONCAT('extract_', CAST(doc_id AS VARCHAR)) AS extraction_id,
        TIMESTAMP '2024-01-01 00:00:00' + doc_id * INTERVAL '1' MINUTE AS extracted_at,
        'EXTRACTION_SP' AS extracted_by
 FROM documents""",
-    "summaries": """
+    "summaries": f"""
 SELECT CONCAT('summary_', CAST(doc_id AS VARCHAR)) AS summary_id,
        ((doc_id % 150) * 100 + doc_id % 30 + 1) * 10 + 2 AS summarization_run_id,
        ((doc_id % 150) * 100 + doc_id % 30 + 1) * 10 + 1 AS extraction_run_id,
-       left(text, 137) AS summary_text,
-       CONCAT('{"original_length": ', CAST(length(text) AS VARCHAR), ', "summary_length": ',
-              CAST(length(left(text, 137)) AS VARCHAR), '}') AS document_metadata,
+       {SHORT} AS summary_text,
+       CONCAT('{{"original_length": ', CAST(length(text) AS VARCHAR), ', "summary_length": ',
+              CAST(length({SHORT}) AS VARCHAR), '}}') AS document_metadata,
        TIMESTAMP '2024-01-01 00:10:00' + doc_id * INTERVAL '1' MINUTE AS summarized_at,
        'SUMMARIZATION_SP' AS summarized_by
 FROM documents""",
@@ -162,8 +169,8 @@ def elapsed(ts: str) -> str:
 
 
 def uuid_of(*parts: str) -> str:
-    joined = ", ".join(f"CAST({p} AS VARCHAR)" for p in parts)
-    return f"regexp_replace(md5(concat_ws('|', {joined})), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '\\1-\\2-\\3-\\4-\\5')"
+    sized = ", ".join(f"concat(length(CAST({p} AS VARCHAR)), ':', CAST({p} AS VARCHAR))" for p in parts)
+    return f"regexp_replace(md5(concat({sized})), '^(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})$', '\\1-\\2-\\3-\\4-\\5')"
 
 
 def half_up(a: str, b: str) -> str:
@@ -248,7 +255,6 @@ SELECT replace(summary_id, 'summary_', '') AS patient_id,
               summary_text) AS content
 FROM summaries"""
 
-ONE_LINE_END = "concat(regexp_replace({0}, '\\n\\z', ''), chr(10))"
 
 METADATA = f"""
 , m AS (SELECT s.summary_id, s.summarization_run_id, s.extraction_run_id, x.document_path, x.page_count,
@@ -357,15 +363,15 @@ def key_check(name: str, source: str, key: str) -> str:
 
 ORACLE: dict[str, str] = {}
 
-ORACLE["read_documents"] = f"""
-SELECT concat('doc_', doc_id, '.txt') AS file_name, {ONE_LINE_END.format('text')} AS extracted_text FROM documents"""
+ORACLE["read_documents"] = """
+SELECT concat('doc_', doc_id, '.txt') AS file_name, text AS extracted_text FROM documents"""
 ORACLE["list_summaries"] = with_views(
-    "summaries", f", f AS ({RENDERED}) SELECT file_name, CAST(strlen({ONE_LINE_END.format('content')}) AS BIGINT) AS size FROM f"
+    "summaries", f", f AS ({RENDERED}) SELECT file_name, CAST(strlen(content) AS BIGINT) AS size FROM f"
 )
-ORACLE["get_summary"] = f"""
+ORACLE["get_summary"] = """
 SELECT concat('doc_', c_custkey, '.txt') AS file_name,
        CASE WHEN doc_id IS NULL THEN 'failed' ELSE 'success' END AS status,
-       CASE WHEN doc_id IS NOT NULL THEN {ONE_LINE_END.format('text')} END AS content
+       CASE WHEN doc_id IS NOT NULL THEN text END AS content
 FROM customer LEFT JOIN documents ON c_custkey = doc_id"""
 ORACLE["last_message"] = f"""
 SELECT conv_id, role, CASE WHEN coalesce(text, '') = '' THEN {text(V.MSG_EMPTY)} ELSE text END AS content
@@ -534,7 +540,9 @@ SELECT CAST(run_id AS VARCHAR), status, timestamp, sp_used, 'cold' FROM {COLD} c
 WHERE CAST(run_id AS VARCHAR) NOT IN (SELECT run_id FROM job_status)""")
 ORACLE["tier_drift"] = with_views("job_status", f"""
 SELECT h.run_id, h.status, c.status AS cold_status, CASE WHEN c.run_id IS NULL THEN 'missing' ELSE 'differs' END AS drift
-FROM job_status h LEFT JOIN {newest('job_events', 'run_id', 'timestamp', 'event_id', "timestamp < TIMESTAMP '2024-01-25 00:00:00'")} c
+FROM (SELECT run_id, CASE WHEN agent = 'summarization_agent' THEN 'CANCELLED' ELSE status END AS status FROM job_status
+      UNION ALL SELECT concat('9', run_id, '0'), 'PENDING' FROM job_status WHERE agent = 'sharepoint_agent') h
+LEFT JOIN {COLD} c
   ON h.run_id = CAST(c.run_id AS VARCHAR)
 WHERE c.run_id IS NULL OR h.status IS DISTINCT FROM c.status""")
 ORACLE["recent_checkpoints"] = with_views("checkpoints", """
@@ -583,7 +591,7 @@ SELECT summary_id, summarization_run_id, CAST(json_object('document_path', docum
          'pages_summarized', page_count, 'original_length', original_length, 'summary_length', summary_length,
          'compression_ratio', CAST({half_up('original_length', 'summary_length')} AS DOUBLE), 'model_used', 'model-a') AS VARCHAR) AS document_metadata
 FROM m""")
-LEAD = r"regexp_extract(extracted_text, '^(?:[^.!?]*[.!?]+){1,3}', 0)"
+LEAD = lead("extracted_text")
 SUMMARY = f"trim(CASE WHEN {LEAD} = '' THEN extracted_text ELSE {LEAD} END)"
 ORACLE["summarize_documents"] = with_views(
     "extracted_documents",
@@ -762,7 +770,7 @@ ORACLE["silent_runs"] = with_views("job_events", """
                FROM numbered GROUP BY run_id, session)
 SELECT run_id, started_at, gave_up_at FROM sessions
 WHERE started_at IS NOT NULL AND (ended_at IS NULL OR ended_at < started_at)
-  AND gave_up_at <= (SELECT date_trunc('millisecond', MAX(timestamp)) FROM mine) - INTERVAL 1 DAY""")
+  AND gave_up_at <= (SELECT MAX(timestamp) FROM mine)""")
 ORACLE["paths_of_collection"] = with_views("extracted_documents", """
 SELECT extraction_id, document_path FROM extracted_documents
 WHERE document_path LIKE '%/source_pdfs/%' AND contains(document_path, 'patient_1')""")
@@ -779,7 +787,7 @@ SELECT h.run_id, h.user_id, h.conversation_id, h.job_type, h.agent, coalesce(c.s
 FROM job_status h LEFT JOIN changes c ON h.run_id = c.run_id AND c.status = 'SUCCESS'""")
 ORACLE["hot_delete"] = with_views("job_status", f"""
 SELECT * FROM job_status WHERE NOT (status IN ('SUCCESS', 'FAILED') AND updated_at < {AS_OF} - INTERVAL '7' DAY)""")
-ORACLE["stage_trigger"] = with_views("job_events", """
-SELECT DISTINCT run_id, agent, CASE event_type WHEN 'ExtractionJobCompleted' THEN 'start_summarization'
+ORACLE["stage_trigger"] = with_views("linked_events", """
+SELECT DISTINCT CASE WHEN agent = 'sharepoint_agent' THEN CAST(json_extract_string(details, '$.summarization_run_id') AS BIGINT) ELSE run_id END AS run_id, agent, CASE event_type WHEN 'ExtractionJobCompleted' THEN 'start_summarization'
                                                WHEN 'SummarizationJobCompleted' THEN 'upload' ELSE 'clear' END AS action
-FROM job_events WHERE event_type LIKE '%Completed' OR event_type LIKE '%Failed'""")
+FROM linked_events WHERE event_type LIKE '%Completed' OR event_type LIKE '%Failed'""")

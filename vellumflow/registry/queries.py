@@ -20,7 +20,6 @@ from vellumflow.sources.derived import Derived
 from vellumflow.streaming import changes, streams
 
 AS_OF = datetime(2024, 1, 31)
-REPLICATED_UNTIL = "2024-01-25 00:00:00"
 WHOLE_LOG_HOURS = 31 * 24
 WEEK_HOURS = 7 * 24
 SITE = "https://example.test/site"
@@ -322,8 +321,13 @@ def unified_status(t: Derived) -> DataFrame:
 
 @query
 def tier_drift(t: Derived) -> DataFrame:
-    replicated = t.job_events().filter(F.col("timestamp") < F.lit(REPLICATED_UNTIL).cast(NTZ))
-    return tiers.tier_drift(t.job_status(), replicated)
+    # A hot tier that has drifted: summarization runs changed, runs that the log never saw.
+    hot = t.job_status()
+    changed = hot.withColumn("status", F.when(F.col("agent") == V.SUMMARIZATION.name, "CANCELLED").otherwise(F.col("status")))
+    unseen = hot.filter(F.col("agent") == V.UPLOAD.name).withColumns(
+        {"run_id": F.concat(F.lit("9"), "run_id", F.lit("0")), "status": F.lit("PENDING")}
+    )
+    return tiers.tier_drift(changed.unionByName(unseen), t.job_events())
 
 
 @query
@@ -709,7 +713,7 @@ def silent_runs(t: Derived) -> DataFrame:
     target = scratch(t.spark, "silent")
     silent = streams.stalled_sessions(_stream(t), V.EXTRACTION, "1 day")
     streams.append_to(silent, f"{target}/runs", f"{target}/checkpoint").awaitTermination()
-    rows = t.spark.read.parquet(f"{target}/runs")
+    rows = t.spark.read.parquet(f"{target}/runs").unionByName(streams.stalled_since(t.job_events(), V.EXTRACTION, "1 day"))
     return rows.select("run_id", *[F.col(c).cast(NTZ).alias(c) for c in ("started_at", "gave_up_at")])
 
 
@@ -723,5 +727,5 @@ def paths_of_collection(t: Derived) -> DataFrame:
 @query
 def stage_trigger(t: Derived) -> DataFrame:
     target = scratch(t.spark, "actions")
-    streams.append_to(streams.stage_trigger(_stream(t)), f"{target}/actions", f"{target}/checkpoint").awaitTermination()
+    streams.append_to(streams.stage_trigger(Derived.linked(_stream(t)), "31 days"), f"{target}/actions", f"{target}/checkpoint").awaitTermination()
     return t.spark.read.parquet(f"{target}/actions")

@@ -35,13 +35,15 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(app: str = "vellumflow", cores: str | int = 8, memory: str = "8g") -> SparkSession:
-    """A single-JVM session for tests and the bench; clusters bring their own."""
+def local_session(app: str = "vellumflow", cores: str | int = 8, memory: str = "8g", work: str | None = None) -> SparkSession:
+    """A single-JVM session for tests and the bench, with a work folder of its own unless
+    one is given; clusters bring their own."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.driver.memory", memory)
+        .config("spark.checkpoint.dir", work or tempfile.mkdtemp(prefix="vellumflow-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
@@ -52,23 +54,24 @@ def local_session(app: str = "vellumflow", cores: str | int = 8, memory: str = "
 
 
 @cache
-def _local_folder() -> str:
+def _own_folder() -> str:
     return tempfile.mkdtemp(prefix="vellumflow-")
 
 
 def work_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session without the setting gets a folder of its own; a
-    cluster without it is an error, since a driver-local folder is invisible to
-    executors.
+    Only in local mode, where the driver is the executor, may it be unset: the session
+    then gets a folder of its own. On a cluster that is an error, since executors do
+    not see a folder of the driver's.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    return _local_folder()
+    return _own_folder()
 
 
 def scratch(spark: SparkSession, name: str) -> str:

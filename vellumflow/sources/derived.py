@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vellumflow import vocabulary as V
+from vellumflow.functions.text import leading_sentences
 
 
 def _k() -> Column:
@@ -57,9 +58,12 @@ class Derived:
         return self.as_job_events(self.raw("events"))
 
     def linked_events(self) -> DataFrame:
+        return self.linked(self.job_events())
+
+    @staticmethod
+    def linked(ev: DataFrame) -> DataFrame:
         """The event log as the agents write it: runs are linked through
         ``details``, and every upload carries run id 0 (a third of all rows)."""
-        ev = self.job_events()
         upload = F.col("agent") == V.UPLOAD.name
         details = (
             F.when(
@@ -116,7 +120,7 @@ class Derived:
 
     def summaries(self) -> DataFrame:
         doc, text = F.col("doc_id"), F.col("text")
-        body = F.left(text, F.lit(137))
+        body = leading_sentences(text)
         return self.raw("documents").select(
             F.concat(F.lit("summary_"), doc.cast("string")).alias("summary_id"),
             self._run(doc, 2).alias("summarization_run_id"),

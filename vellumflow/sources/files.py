@@ -1,29 +1,56 @@
 """Whole-file text sources, directory listings and the text sink.
 
 One row is one file. Files written by :func:`write_text_files` carry their name
-in a ``file_name=`` folder; files from elsewhere keep their own base name.
-Spark's file sources skip files of zero bytes; the text sink writes none.
+in a ``file_name=`` folder and end with one line end more than their content, which
+readers take off again; files from elsewhere keep their own base name and bytes.
+Spark's file sources skip files of zero bytes; their names come from a listing.
 """
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vellumflow.functions.text import base_name, unix_lines
 
 
+OWN_FILE = r"/file_name=([^/]+)/[^/]+$"
+
+
+def _unescaped(text: Column) -> Column:
+    """Text whose special characters are written as % and two hexadecimal digits."""
+    return F.coalesce(F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))), text)
+
+
 def _file_name(path: Column) -> Column:
-    folder = F.regexp_extract(path, r"/file_name=([^/]+)/[^/]+$", 1)
-    return F.when(folder != "", folder).otherwise(base_name(path))
+    """Name of a file from its plain path; folder names of the sink are escaped."""
+    folder = F.regexp_extract(path, OWN_FILE, 1)
+    return F.when(folder != "", _unescaped(folder)).otherwise(base_name(path))
+
+
+def _empty_files(spark: SparkSession, path: str) -> DataFrame:
+    """(path, modified_at) of the files of zero bytes below a folder, file or glob."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    found = []
+    for root in system.globStatus(place) or []:
+        files = system.listFiles(root.getPath(), True)
+        while files.hasNext():
+            f = files.next()
+            name = f.getPath().getName()
+            if f.getLen() == 0 and not name.startswith(("_", ".")):
+                found.append((f.getPath().toString(), datetime.fromtimestamp(f.getModificationTime() / 1000, timezone.utc)))
+    return spark.createDataFrame(found, "path string, modified_at timestamp")
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Every file under a folder or glob as (document_path, extracted_text)."""
     files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
-    return files.select(
-        F.col("_metadata.file_path").alias("document_path"),
-        unix_lines(F.col("value")).alias("extracted_text"),
-    )
+    plain = _unescaped(F.col("_metadata.file_path"))
+    value = F.when(plain.rlike(OWN_FILE), F.regexp_replace("value", r"\n\z", "")).otherwise(F.col("value"))
+    read = files.select(plain.alias("document_path"), unix_lines(value).alias("extracted_text"))
+    return read.unionByName(_empty_files(spark, path).select(F.col("path").alias("document_path"), F.lit("").alias("extracted_text")))
 
 
 def list_summaries(spark: SparkSession, folder: str, patient_id: str | None = None) -> DataFrame:
@@ -35,10 +62,12 @@ def list_summaries(spark: SparkSession, folder: str, patient_id: str | None = No
         .load(folder)
         .select(
             _file_name(F.col("path")).alias("file_name"),
-            F.col("length").alias("size"),
+            (F.col("length") - F.col("path").rlike(OWN_FILE).cast("int")).alias("size"),
             F.col("modificationTime").alias("modified_at"),
         )
     )
+    empty = _empty_files(spark, folder).where(F.col("path").endswith(".txt"))
+    files = files.unionByName(empty.select(base_name(F.col("path")).alias("file_name"), F.lit(0).cast("long").alias("size"), "modified_at"))
     if patient_id:
         files = files.filter(F.col("file_name").contains(patient_id))
     return files.orderBy(F.col("file_name").desc())
@@ -58,19 +87,20 @@ def get_summaries(files: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def write_text_files(rendered: DataFrame, folder: str, tasks: int | None = None) -> str:
-    """Write (file_name, content) rows, each as its own text file.
+    """Write (file_name, content) rows, each as its own text file; a name that is there
+    already gets the new content.
 
     Creating files costs far more than moving their text, so rows are spread
-    over at least as many tasks as there are cores. The line writer ends the
-    file with a line end, so one trailing line end of the content is dropped
-    first. File names must be unique.
+    over at least as many tasks as there are cores. The line writer ends every
+    file with a line end, which the readers above take off. File names must be unique.
     """
     spark = rendered.sparkSession
     tasks = tasks or max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     (
-        rendered.select("file_name", F.regexp_replace("content", r"\n\z", "").alias("value"))
+        rendered.select("file_name", F.col("content").alias("value"))
         .repartition(tasks, "file_name")
-        .write.mode("append")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("file_name")
         .text(folder)
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from pyspark.sql.streaming import StreamingQuery
 
 from vellumflow import vocabulary as V
+from vellumflow.functions.details import field
 from vellumflow.streaming.changes import AVAILABLE_NOW, write_batch
 
 
@@ -80,21 +81,23 @@ def triggered_action(event_type: Column) -> Column:
 SALTS = 32
 
 
-def stage_trigger(ev: DataFrame, watermark: str | None = None) -> DataFrame:
+def stage_trigger(ev: DataFrame, watermark: str = "7 days") -> DataFrame:
     """The next action of each run, once per run and action.
 
-    Without a watermark the seen runs stay in the state store for good; with one
-    they are forgotten after it. A first, salted pass spreads the repeats of a
-    busy run over many state partitions and lets at most one per salt through.
+    Uploads carry run id 0; their run is the summarization run that their details
+    name. Runs seen are forgotten after the watermark, so state is bounded. A first,
+    salted pass spreads the repeats of a busy run over many state partitions and
+    lets at most one per salt through.
     """
-    source = ev if watermark is None else with_event_time(ev, watermark)
-    actions = source.withColumn("action", triggered_action(F.col("event_type"))).filter(
+    named = field(F.col("details"), "summarization_run_id", "long")
+    run = F.when(F.col("agent") == V.UPLOAD.name, named).otherwise(F.col("run_id"))
+    actions = with_event_time(ev, watermark).withColumns({"action": triggered_action(F.col("event_type")), "run_id": run}).filter(
         F.col("action").isNotNull() & (F.col("run_id") != V.NO_RUN)
     )
     keys = ["run_id", "agent", "action"]
 
     def once(rows: DataFrame, by: list[str]) -> DataFrame:
-        return rows.dropDuplicates(by) if watermark is None else rows.dropDuplicatesWithinWatermark(by)
+        return rows.dropDuplicatesWithinWatermark(by)
 
     salted = actions.withColumn("salt", F.pmod(F.xxhash64("event_id"), F.lit(SALTS)))
     return once(once(salted, [*keys, "salt"]), keys).select(*keys)
@@ -120,3 +123,22 @@ def stalled_sessions(ev: DataFrame, agent: V.Agent, watermark: str = "1 day") ->
     )
     silent = F.col("last_start").isNotNull() & (F.col("last_end").isNull() | (F.col("last_end") < F.col("last_start")))
     return sessions.filter(silent).select("run_id", F.col("last_start").alias("started_at"), F.col("w.end").alias("gave_up_at"))
+
+
+def stalled_since(ev: DataFrame, agent: V.Agent, watermark: str = "1 day") -> DataFrame:
+    """What ``stalled_sessions`` still holds back when its stream has read all of ``ev``:
+    sessions that closed within the watermark of the newest event, and before it.
+
+    Only runs with an event since then are grouped; their whole history is, since a
+    session may have begun long before.
+    """
+    mine = ev.filter((F.col("agent") == agent.name) & (F.col("run_id") != V.NO_RUN))
+    newest = F.max(F.col("timestamp").cast("timestamp"))
+    ends = mine.agg(newest.alias("until"), (F.date_trunc("millisecond", newest) - F.expr(f"INTERVAL {watermark}")).alias("emitted")).first()
+    if ends["until"] is None:
+        return stalled_sessions(ev, agent, watermark).limit(0)
+    since = F.lit(ends["emitted"]) - F.expr(f"INTERVAL {agent.timeout_minutes} MINUTES")
+    recent = mine.filter(F.col("timestamp").cast("timestamp") >= since).select("run_id").distinct()
+    sessions = stalled_sessions(mine.join(recent, "run_id", "left_semi"), agent, watermark)
+    at = F.col("gave_up_at").cast("timestamp")
+    return sessions.filter((at > F.lit(ends["emitted"])) & (at <= F.lit(ends["until"])))
