@@ -10,15 +10,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from vellumflow.llm.tables import Tables
 from vellumflow.operators.joins import lookup
-from vellumflow.session import scratch
 
 
-def _written(edges: DataFrame) -> tuple[DataFrame, tuple]:
-    spark = edges.sparkSession
-    path = scratch(spark, "edges")
-    edges.distinct().write.parquet(path)
-    back = spark.read.schema(edges.schema).parquet(path)
+def _written(edges: DataFrame, tables: Tables) -> tuple[DataFrame, tuple]:
+    back = tables.keep(edges.distinct(), "edges")
     sums = back.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     return back, tuple(sums)
 
@@ -40,12 +37,16 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 def components(links: DataFrame) -> DataFrame:
     """(node, label): the smallest node that each linked node can reach; ``links`` is (a, b)."""
-    edges, before = _written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v"))
+    tables = Tables(links.sparkSession)
+    edges, before = _written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v"), tables)
     while before[0]:
-        edges, now = _written(_small_star(_large_star(edges)))
+        edges, now = _written(_small_star(_large_star(edges)), tables)
         if now == before:
             break
         before = now
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
+    labels = edges.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
         edges.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct()
     )
+    labels = Tables(links.sparkSession).keep(labels, "labels")
+    tables.discard()
+    return labels

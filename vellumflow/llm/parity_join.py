@@ -44,8 +44,8 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from vellumflow.llm import textbytes as B
 from vellumflow.llm.components import components
+from vellumflow.llm.tables import Tables
 from vellumflow.operators.joins import lookup
-from vellumflow.session import scratch
 
 # Executors need not have this package: the task functions travel by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -271,24 +271,16 @@ def sets_of(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
 # --- the join ----------------------------------------------------------------------------
 
 
-def _kept(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back."""
-    spark = df.sparkSession
-    path = scratch(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
+def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rule: Rule, tables: Tables) -> DataFrame:
     """(a, b) of the class pairs that link: size and sketch first, then the sets."""
     side = lambda s: classes.select(F.col("cls").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"s_{s}"), F.col("rep").alias(f"r_{s}"))
     near = pairs.join(side("a"), "a").join(side("b"), "b")
     total = F.col("n_a") + F.col("n_b")
     near = near.where(100 * F.least("n_a", "n_b") >= rule.percent * F.greatest("n_a", "n_b"))
     hamming = F.aggregate(F.zip_with("s_a", "s_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
-    near = _kept(near.where(hamming * (100 + rule.percent) <= (100 - rule.percent) * total).select("a", "b", "r_a", "r_b"), "near")
+    near = tables.keep(near.where(hamming * (100 + rule.percent) <= (100 - rule.percent) * total).select("a", "b", "r_a", "r_b"), "near")
     reps = near.select(F.explode(F.array("r_a", "r_b")).alias("doc_id")).distinct()
-    sets = _kept(sets_of(docs, reps, rule), "sets")
+    sets = tables.keep(sets_of(docs, reps, rule), "sets")
     own = lambda s: sets.select(F.col("f1").alias(s), F.col("n").alias(f"n_{s}"), F.col("shingles").alias(f"s_{s}"))
     both = near.select("a", "b").join(own("a"), "a").join(own("b"), "b")
     common = F.size(F.array_intersect("s_a", "s_b"))
@@ -300,11 +292,14 @@ def join(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
     rule = rule or Rule()
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    signed = _kept(sign(docs, rule, buckets), "signed")
-    rows = signed.where("bucket IS NULL").select("doc_id", "n", "f1", "f2", "sketch")
-    classes = rows.where("n > 0").groupBy(F.col("f1").alias("cls"), "f2", "n").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"))
-    classes = _kept(classes.where("rep IS NOT NULL"), "classes")
-    members = _kept(shared_keys(signed, buckets), "members")
+    lasting, tables, round_ = Tables(spark), Tables(spark), Tables(spark)
+    signed = round_.keep(sign(docs, rule, buckets), "signed")
+    described = signed.where("bucket IS NULL")
+    rows = lasting.keep(described.select("doc_id", "n", "f1", "f2"), "rows")
+    classes = described.where("n > 0").groupBy(F.col("f1").alias("cls"), "f2", "n").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"))
+    classes = tables.keep(classes.where("rep IS NOT NULL"), "classes")
+    members = tables.keep(shared_keys(signed, buckets), "members")
+    round_.discard()
 
     links, labels, centres = None, None, 1
     named = members.withColumn("label", F.col("cls"))
@@ -313,21 +308,24 @@ def join(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
         now = named.where((F.col("rank") >= centres - 1) & (F.col("rank") < 2 * centres - 1))
         now = now.select("key", F.col("cls").alias("a"), F.col("rank").alias("rank_a"), F.col("label").alias("label_a"))
         pairs = lookup(named, now, ["key"], "inner").where("rank > rank_a AND label <> label_a").select("a", F.col("cls").alias("b"))
-        found = _links(pairs.distinct(), classes, docs, rule)
-        links = _kept(found if links is None else links.unionByName(found), "links")
+        found = _links(pairs.distinct(), classes, docs, rule, round_)
+        links = tables.keep(found if links is None else links.unionByName(found), "links")
+        round_.discard()
         labels = components(links)
         centres *= 2
-        members = members if centres == 2 else _kept(named.drop("label"), "open")
-        named = members.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
         # Keys go on while their classes are in several components and some have not been centres.
-        state = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("rank").alias("last"))
+        members = named.select("key", "cls", "rank")
+        told = round_.keep(members.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls")), "told")
+        state = told.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("rank").alias("last"))
         state = state.where((F.col("low") < F.col("high")) & (F.col("last") > centres - 1)).select("key")
-        named = _kept(lookup(named, state, ["key"], "inner"), "named")
+        named = tables.keep(lookup(told, state, ["key"], "inner"), "named")
+        round_.discard()
         if named.isEmpty():
             break
     named = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     smallest = named.groupBy("label").agg(F.min("rep").alias("component_id"))
-    answer = named.join(smallest, "label").select(F.col("cls").alias("f1"), "f2", "n", "component_id")
-    return rows.join(answer, ["f1", "f2", "n"], "left").select(
+    answer = lasting.keep(lookup(named, smallest, ["label"], "inner").select(F.col("cls").alias("f1"), "f2", "n", "component_id"), "answer")
+    tables.discard()
+    return lookup(rows, answer, ["f1", "f2", "n"]).select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id")
     )

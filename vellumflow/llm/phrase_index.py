@@ -35,6 +35,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from vellumflow.llm import textbytes as B
+from vellumflow.llm.tables import Tables
 
 # Executors need not have this package: the task functions travel by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -285,9 +286,16 @@ def contamination(index: DataFrame, phrases: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, folder: str, length: int = PHRASE_WORDS) -> DataFrame:
-    """Index ``docs`` under ``folder``, search all phrases of ``items``; see ``contamination``."""
+    """Index ``docs``, search all phrases of ``items``, drop the index; see ``contamination``.
+    The result is kept under ``folder``."""
     phrases = phrases_of(items, length)
     terms = phrases.select(F.explode("terms").alias("term")).distinct()
     few = terms.limit(MAX_VOCABULARY + 1).collect()
     vocabulary = np.sort(np.array([r[0] for r in few], np.int64).view(np.uint64)) if len(few) <= MAX_VOCABULARY else None
-    return contamination(build(docs, folder, vocabulary), phrases)
+    index = build(docs, f"{folder}/index", vocabulary)
+    index_only = Tables(docs.sparkSession)
+    index_only.paths.append(f"{folder}/index")
+    found = contamination(index, phrases)
+    found.write.parquet(f"{folder}/found")
+    index_only.discard()
+    return docs.sparkSession.read.schema(found.schema).parquet(f"{folder}/found")

@@ -40,10 +40,10 @@ from vellumflow.operators.joins import lookup
 # Executors need not have this package: the task functions travel by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SAMPLE_ROWS = 10_000
-MIN_RATIO = 30.0
-STEPS = 300
-PENALTY = 1e-3
+SAMPLE_ROWS = 20_000
+MIN_RATIO = 20.0
+STEPS = 800
+PENALTY = 1e-5
 MAX_LOG_ODDS = 30.0
 BROADCAST_SITES = 500_000
 U64 = np.uint64
@@ -147,7 +147,7 @@ def _logistic(row: np.ndarray, column: np.ndarray, target: np.ndarray, size: int
     for _ in range(STEPS):
         score = b + np.bincount(row, weights=w[column], minlength=n)
         miss = 1 / (1 + np.exp(-np.clip(score, -MAX_LOG_ODDS, MAX_LOG_ODDS))) - target
-        slope = np.bincount(column, weights=miss[row], minlength=size) + PENALTY * n * w / 10
+        slope = np.bincount(column, weights=miss[row], minlength=size) + PENALTY * n * w
         square += slope**2
         square_b += miss.sum() ** 2
         w -= 0.5 * slope / np.sqrt(square)

@@ -18,7 +18,8 @@ two equal strings have a sampled position at the same distance from their starts
   distance to a sample and the name of its next ``length`` bytes.
 * Compare neighbours: suffixes with equal prefixes carry equal names. Resolved runs take
   part in the finer sorts through one representative per name, and only where another
-  run of the same gram is open, so every equal pair is seen at some level.
+  run of the same gram is open, so every equal pair is seen at some level. A piece stays
+  open only if the bytes that all its windows share occur twice.
 
 All sorts are aggregations and joins by hashed names, whose hot values (a passage in a
 third of the documents) Spark adds up before the shuffle and splits in the join. Equal
@@ -41,8 +42,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from vellumflow.llm import textbytes as B
+from vellumflow.llm.tables import Tables
 from vellumflow.operators.joins import lookup
-from vellumflow.session import scratch
 
 # Executors need not have this package: the task functions travel by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -143,8 +144,10 @@ def pieces(texts: DataFrame, length: int, size: int) -> DataFrame:
                 which = np.repeat(np.arange(len(at)), count)
                 number = from_[which] + np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count)
                 low, high = np.maximum(low[which], number * size), np.minimum(high[which], number * size + size - 1)
-                g = gram[which].view(U64)
-                coord = B.mix(g ^ B.mix((number * (1 << 31) + size).astype(U64)))
+                g, latest = gram[which].view(U64), at[which] - number * size
+                # What all windows of a piece share: pieces without it in common share no window.
+                core = B.span_hash(prefix, latest, latest - size + 1 + length)
+                coord = B.mix(g ^ core ^ B.mix((number * (1 << 31) + size).astype(U64)))
                 names = named(prefix, at[which], low, high, length, size)
                 h1, h2 = (np.full(len(which), batch.column(c)[k].as_py()) for c in (0, 1))
                 yield _batch(g, coord, names, h1, h2, at[which], low, high)
@@ -152,13 +155,6 @@ def pieces(texts: DataFrame, length: int, size: int) -> DataFrame:
     return texts.select("h1", "h2", "text", "runs").mapInArrow(task, RUN)
 
 
-def _kept(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def resolve(level: DataFrame) -> DataFrame:
     """Runs of a level that are repeated (``repeated``) or to be cut finer (``open``)."""
     occurrence = F.xxhash64("h1", "h2", "at", "low")
@@ -185,7 +181,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, doc_
     long = F.octet_length("text") >= length
     # One row per class fetches its text again; a null id is no key, so a class prefers others.
     classes = rows.select(*CLASS, F.coalesce("doc_id", F.lit(-(1 << 62))).alias("doc_id"), long.alias("long")).where("long")
-    classes = _kept(classes.groupBy(*CLASS).agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")), "classes")
+    lasting, tables, level_ = Tables(docs.sparkSession), Tables(docs.sparkSession), Tables(docs.sparkSession)
+    classes = tables.keep(classes.groupBy(*CLASS).agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies")), "classes")
     keyed = rows.withColumn("doc_id", F.coalesce("doc_id", F.lit(-(1 << 62))))
 
     def fetched(spans: DataFrame, column: str) -> DataFrame:
@@ -193,18 +190,21 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, doc_
         wanted = spans.join(classes.drop("copies"), CLASS)
         return keyed.join(wanted, [*CLASS, "doc_id"]).select(*CLASS, "text", column)
 
-    level = _kept(runs(rows.where(long), length, gram), "runs")
+    level = level_.keep(runs(rows.where(long), length, gram), "runs")
     covered = None
     for size in (PIECE, 1, 0):
-        told = _kept(resolve(level), "told")
+        told = tables.keep(resolve(level), "told")
+        level_.discard()
         found = told.where("repeated").select(*CLASS, (F.col("at") - F.col("high")).alias("start"), (F.col("at") - F.col("low") + length).alias("end"))
         covered = found if covered is None else covered.unionByName(found)
         if size:
             per_class = told.where("open").groupBy(*CLASS).agg(F.collect_list(F.struct("gram", "at", "low", "high")).alias("runs"))
-            level = _kept(pieces(fetched(per_class, "runs"), length, size), "pieces")
+            level = level_.keep(pieces(fetched(per_class, "runs"), length, size), "pieces")
     spans = merged(covered.groupBy(*CLASS).agg(F.collect_list(F.struct("start", "end")).alias("spans")))
     both = classes.where("copies > 1").select(*CLASS, F.lit(True).alias("whole")).join(spans, CLASS, "full")
-    return _kept(both.select(*CLASS, F.coalesce("whole", F.lit(False)).alias("whole"), "spans"), "spans")
+    found = lasting.keep(both.select(*CLASS, F.coalesce("whole", F.lit(False)).alias("whole"), "spans"), "spans")
+    tables.discard()
+    return found
 
 
 SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
@@ -243,7 +243,7 @@ def digests(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     key = F.coalesce("doc_id", F.lit(-(1 << 62)))
     partly = found.where("NOT whole")
     # The text of one row of each class that is cut.
-    first = rows.select(*CLASS, key.alias("key")).join(partly.select(*CLASS), CLASS, "left_semi").groupBy(*CLASS).agg(F.min("key").alias("key"))
+    first = lookup(rows.select(*CLASS, key.alias("key")), partly.select(*CLASS), CLASS, "left_semi").groupBy(*CLASS).agg(F.min("key").alias("key"))
     texts = rows.withColumn("key", key).join(first.join(partly, CLASS), [*CLASS, "key"]).dropDuplicates(CLASS)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
