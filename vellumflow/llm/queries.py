@@ -38,6 +38,28 @@ def op1_phrase_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_index.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), scratch(spark, "index"))
 
 
+ORACLE["op1_phrase_index"] = r"""
+WITH docs AS (
+  SELECT doc_id, row_number() OVER () AS id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(13, len(words)) AS n, array_to_string(words[k : k + 12], ' ') AS phrase
+  FROM (SELECT *, unnest(range(1, greatest(1, len(words) - 12) + 1)) AS k FROM items WHERE len(words) > 0)),
+starts AS (
+  SELECT id, n, k, array_to_string(words[k : k + n - 1], ' ') AS phrase
+  FROM (SELECT id, words, n, unnest(range(1, len(words) - n + 2)) AS k FROM docs, (SELECT DISTINCT n FROM windows))),
+found AS (SELECT id, n, k, item_id FROM starts JOIN windows USING (n, phrase)),
+hit AS (SELECT id, count(DISTINCT place) AS n_hit FROM (SELECT id, unnest(range(k, k + n)) AS place FROM found) GROUP BY id),
+named AS (SELECT id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS names FROM found GROUP BY id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, CAST(coalesce(len(names), 0) AS BIGINT) AS n_items,
+       sha256(coalesce(array_to_string(names, ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM docs LEFT JOIN hit USING (id) LEFT JOIN named USING (id)"""
+
+
 @query
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
@@ -107,7 +129,7 @@ ruled AS (
   FROM named)
 SELECT page_id, host, path, rule, canonical, listed,
        CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' WHEN listed THEN 'block' ELSE 'allow' END AS verdict
-FROM ruled""".replace("\\\\", "\\")
+FROM ruled"""
 
 
 @query
@@ -129,6 +151,27 @@ def op8_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+ORACLE["op8_preference"] = """
+WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+last AS (SELECT conv_id, turn AS final, text AS reply FROM turns WHERE role = 'assistant'
+         QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, text DESC) = 1),
+pairs AS (SELECT l.conv_id, l.final, o.reply FROM last l JOIN last o ON o.conv_id = l.conv_id + 1),
+a AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k FROM turns JOIN pairs USING (conv_id)),
+b AS (SELECT conv_id, role, said AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, said) AS k
+      FROM (SELECT *, CASE WHEN turn = final THEN reply ELSE text END AS said FROM turns JOIN pairs USING (conv_id) WHERE turn <= final)),
+common AS (SELECT a.conv_id, coalesce(min(a.k) FILTER (a.role <> b.role OR a.text <> b.text) - 1, count(*)) AS n_common
+           FROM a JOIN b ON a.conv_id = b.conv_id AND a.k = b.k GROUP BY a.conv_id),
+sides AS (SELECT *, 'chosen' AS side, concat('<|', role, '|>', chr(10), text, chr(10)) AS shown FROM a
+          UNION ALL SELECT *, 'rejected', concat('<|', role, '|>', chr(10), text, chr(10)) FROM b)
+SELECT conv_id, n_common,
+       sha256(coalesce(string_agg(shown, '' ORDER BY k) FILTER (side = 'chosen' AND k <= n_common), '')) AS prompt_sha256,
+       sha256(coalesce(string_agg(shown, '' ORDER BY k) FILTER (side = 'chosen' AND k > n_common), '')) AS chosen_sha256,
+       sha256(coalesce(string_agg(shown, '' ORDER BY k) FILTER (side = 'rejected' AND k > n_common), '')) AS rejected_sha256,
+       CAST(coalesce(sum(length(text) + 1) FILTER (side = 'chosen' AND k > n_common AND role = 'assistant'), 0) AS BIGINT) AS chosen_trained,
+       CAST(coalesce(sum(length(text) + 1) FILTER (side = 'rejected' AND k > n_common AND role = 'assistant'), 0) AS BIGINT) AS rejected_trained
+FROM sides JOIN common USING (conv_id) GROUP BY conv_id, n_common"""
+
+
 @query
 def op9_site_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
@@ -140,3 +183,36 @@ def op9_site_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = line_rules.clean(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lost_chars")
+
+
+_FURNITURE = " OR ".join(f"contains(lower(line), '{p}')" for p in line_rules.BOILERPLATE)
+ORACLE["op10_line_rules"] = rf"""
+WITH docs AS (
+  SELECT doc_id, row_number() OVER () AS id, coalesce(text, '') AS text,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM documents),
+grams AS (
+  SELECT id, k, array_to_string(words[k : k + 4], ' ') AS gram FROM (SELECT id, words, unnest(range(1, len(words) - 3)) AS k FROM docs)),
+repeated AS (SELECT id, k FROM grams QUALIFY count(*) OVER (PARTITION BY id, gram) > 1),
+covered AS (SELECT id, count(DISTINCT place) AS n FROM (SELECT id, unnest(range(k, k + 5)) AS place FROM repeated) GROUP BY id),
+lines AS (
+  SELECT id, line, regexp_replace(line, '[\x20\x09-\x0D]', '', 'g') AS bare
+  FROM (SELECT id, unnest(string_split(text, chr(10))) AS line FROM docs)),
+judged AS (
+  SELECT id, line, length(bare) AS chars,
+         100 * (length(bare) - length(regexp_replace(bare, '[#*$%&|<>]', '', 'g'))) > {line_rules.MAX_SYMBOL_PERCENT} * length(bare)
+         OR (length(line) - length(regexp_replace(line, '[|>»]', '', 'g')) >= {line_rules.MIN_LINKS}
+             AND NOT regexp_matches(line, '[.!?:;"''”’)…]\s*$'))
+         OR {_FURNITURE} AS fails
+  FROM lines WHERE bare <> ''),
+by_doc AS (
+  SELECT id, count(*) - count(DISTINCT line) AS n_dup_lines, sum(CASE WHEN fails THEN chars ELSE 0 END) AS lost, sum(chars) AS chars
+  FROM judged GROUP BY id),
+counted AS (
+  SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(chars, 0) AS BIGINT) AS word_chars,
+         CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, CAST(coalesce(lost, 0) AS BIGINT) AS lost_chars
+  FROM docs LEFT JOIN covered USING (id) LEFT JOIN by_doc USING (id))
+SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 100 * lost_chars <= {line_rules.MAX_LOST_PERCENT} * word_chars AS kept
+FROM counted"""
