@@ -7,14 +7,15 @@ import re
 import pytest
 from conftest import at
 
-import __spark_entry__ as entry_point
 from vellumflow.operators import latest, status
+from vellumflow.registry import queries as registry
 from vellumflow.sources.store import TableStore
 
-QUERIES = entry_point.queries()
+QUERIES = registry.QUERIES
 PYTHON_ALLOWED = {"knowledge_topk", "knowledge_reply", "product_topk"}
 # Building these writes files or runs a stream first.
-EAGER = {"read_documents", "list_summaries", "get_summary", "synced_status", "dedup_events", "live_volume", "stage_trigger", "silent_runs"}
+EAGER = {"read_documents", "list_summaries", "get_summary", "synced_status", "dedup_events", "live_volume", "stage_trigger", "silent_runs",
+         "table_roundtrip", "named_table", "rows_to_frame", "extract_pipeline", "summarize_pipeline", "upload_pipeline"}
 
 
 def plan(df):

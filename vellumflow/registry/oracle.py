@@ -791,3 +791,18 @@ ORACLE["stage_trigger"] = with_views("linked_events", """
 SELECT DISTINCT CASE WHEN agent = 'sharepoint_agent' THEN CAST(json_extract_string(details, '$.summarization_run_id') AS BIGINT) ELSE run_id END AS run_id, agent, CASE event_type WHEN 'ExtractionJobCompleted' THEN 'start_summarization'
                                                WHEN 'SummarizationJobCompleted' THEN 'upload' ELSE 'clear' END AS action
 FROM linked_events WHERE event_type LIKE '%Completed' OR event_type LIKE '%Failed'""")
+ORACLE["table_roundtrip"] = with_views("job_events", " SELECT * FROM job_events")
+ORACLE["named_table"] = with_views("summaries", " SELECT * FROM summaries")
+ORACLE["rows_to_frame"] = """
+SELECT n_name AS prompt_id, CAST(n_nationkey AS INT) AS version, CAST(NULL AS VARCHAR) AS content, true AS active FROM nation"""
+ORACLE["extract_pipeline"] = """
+SELECT concat('extract_', doc_id * 10 + 1) AS extraction_id, doc_id * 10 + 1 AS extraction_run_id, text AS extracted_text,
+       CAST((length(text) - length(replace(text, concat(chr(10), chr(10)), ''))) // 2 + 1 AS INT) AS page_count
+FROM documents"""
+ORACLE["summarize_pipeline"] = with_views("job_events extracted_documents", f"""
+SELECT concat('summary_', extraction_run_id + 1) AS summary_id, extraction_run_id + 1 AS summarization_run_id, extraction_run_id,
+       concat(length(extracted_text), ' characters') AS summary_text
+FROM {LAST_EXTRACTION} y
+WHERE NOT contains(extracted_text, '|') AND extraction_run_id IN
+      (SELECT run_id FROM {last_event(V.EXTRACTION)} l WHERE event_type = 'ExtractionJobCompleted')""")
+ORACLE["upload_pipeline"] = ORACLE["upload_batch"]

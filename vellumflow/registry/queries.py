@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 from datetime import datetime
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vellumflow import vocabulary as V
@@ -15,8 +17,9 @@ from vellumflow.operators import (
 )
 from vellumflow.plans import extract, projection, routing, summarize, upload
 from vellumflow.session import scratch
-from vellumflow.sources import files
+from vellumflow.sources import files, store as store_of
 from vellumflow.sources.derived import Derived
+from vellumflow.sources.store import TableStore
 from vellumflow.streaming import changes, streams
 
 AS_OF = datetime(2024, 1, 31)
@@ -26,6 +29,9 @@ SITE = "https://example.test/site"
 BLOCKED = ("license", "copyright", "confidential", "the ")
 NTZ = "timestamp_ntz"
 
+# Executors need not have this package: the model function travels by value.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -673,6 +679,71 @@ def upload_batch(t: Derived) -> DataFrame:
     return upload.upload_events(upload.upload_manifest(t.job_events(), t.summaries(), SITE), AS_OF)
 
 
+# --- the table store and whole jobs, each run twice ------------------------------------------
+
+
+def _store(t: Derived, **tables: DataFrame) -> TableStore:
+    store = TableStore(t.spark, scratch(t.spark, "tables"))
+    for name, rows in tables.items():
+        store.append_new(name, rows)
+        store.append_new(name, rows)
+    return store
+
+
+@query
+def table_roundtrip(t: Derived) -> DataFrame:
+    return _store(t, job_events=t.job_events()).read("job_events").withColumn("timestamp", F.col("timestamp").cast(NTZ))
+
+
+@query
+def named_table(t: Derived) -> DataFrame:
+    _store(t, summaries=t.summaries()).register("summaries")
+    return store_of.named_table(t.spark, "summaries").withColumn("summarized_at", F.col("summarized_at").cast(NTZ))
+
+
+@query
+def rows_to_frame(t: Derived) -> DataFrame:
+    records = [
+        {"prompt_id": r["n_name"], "version": r["n_nationkey"], "active": True} for r in t.raw("nation").toLocalIterator()
+    ]  # the 25 nations
+    return store_of.rows_to_frame(t.spark, records, "prompts").select("prompt_id", "version", "content", "active")
+
+
+@query
+def extract_pipeline(t: Derived) -> DataFrame:
+    store, folder = _store(t), _text_folder(t)
+    run = F.regexp_extract("document_path", r"file_name=doc_([0-9]+)", 1).cast("long") * 10 + 1
+    for _ in range(2):
+        extract.run_extract(t.spark, store, folder, run, F.lit("batch"), AS_OF, suffix=".txt", prefix="file:")
+    return store.read("extracted_documents").select("extraction_id", "extraction_run_id", "extracted_text", "page_count")
+
+
+def _counting_model():
+    def model(text: str) -> str:
+        if "|" in text:
+            raise ValueError("not prose")
+        return f"{len(text)} characters"
+
+    return model
+
+
+@query
+def summarize_pipeline(t: Derived) -> DataFrame:
+    store = _store(t, job_events=t.job_events(), extracted_documents=t.extracted_documents())
+    for _ in range(2):
+        summarize.run_summarize(t.spark, store, F.col("extraction_run_id") + 1, F.lit("batch"), AS_OF, _counting_model, "counting")
+    return store.read("summaries").select("summary_id", "summarization_run_id", "extraction_run_id", "summary_text")
+
+
+@query
+def upload_pipeline(t: Derived) -> DataFrame:
+    store = _store(t, job_events=t.job_events(), summaries=t.summaries())
+    for _ in range(2):
+        upload.run_upload(t.spark, store, scratch(t.spark, "published"), SITE, AS_OF)
+    written = store.read("job_events").filter(F.col("run_id") == V.NO_RUN)
+    return written.withColumn("timestamp", F.col("timestamp").cast(NTZ))
+
+
 # --- streams -------------------------------------------------------------------------------
 
 
