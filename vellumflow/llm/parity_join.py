@@ -18,7 +18,7 @@ the sets. The join uses it twice:
 Equal sets are one class, and classes, not documents, are joined. Sets that share a key
 are not paired with each other: the first class of a key is its centre and is paired
 with the others. After the links found so far are closed into components, keys whose
-classes are still in several components take their next 2, 4, 8, ... classes as
+classes are still in several components take their next 8, 64, 512, ... classes as
 centres, and only pairs in different components are verified, until every class has been
 a centre. So copies and near copies, however many, cost a star, and no link between
 different components is left out.
@@ -55,6 +55,8 @@ SKETCH_BITS = 1024
 SEEDS = 4
 BAND_GROWTH = 1.5
 KEY_ROWS = 4_000_000  # keys a reducing task sorts at once
+BLOB_KEYS = 4096  # keys of a bucket that a task packs together, on average
+CENTRE_GROWTH = 8
 
 
 class Rule:
@@ -202,7 +204,7 @@ def sign(docs: DataFrame, rule: Rule, buckets: int) -> DataFrame:
                 chosen = fresh[doc]
                 owner, keys = block_keys(doc[chosen], hashes[chosen], np.where(fresh, sizes, 0), rule)
                 kept.append((keys, f1[owner]))
-                if sum(len(k) for k, _ in kept) > KEY_ROWS // 4:
+                if sum(len(k) for k, _ in kept) > min(KEY_ROWS // 4, BLOB_KEYS * buckets):
                     yield packed(np.concatenate([k for k, _ in kept]), np.concatenate([c for _, c in kept]))
                     kept.clear()
         if kept:
@@ -301,23 +303,23 @@ def join(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
     members = tables.keep(shared_keys(signed, buckets), "members")
     round_.discard()
 
-    links, labels, centres = None, None, 1
+    links, labels, low, high = None, None, 0, 1
     named = members.withColumn("label", F.col("cls"))
     while True:
-        # Ranks centres - 1 up to 2 * centres - 2 are this round's centres.
-        now = named.where((F.col("rank") >= centres - 1) & (F.col("rank") < 2 * centres - 1))
+        # Ranks from low up to high are this round's centres.
+        now = named.where((F.col("rank") >= low) & (F.col("rank") < high))
         now = now.select("key", F.col("cls").alias("a"), F.col("rank").alias("rank_a"), F.col("label").alias("label_a"))
         pairs = lookup(named, now, ["key"], "inner").where("rank > rank_a AND label <> label_a").select("a", F.col("cls").alias("b"))
         found = _links(pairs.distinct(), classes, docs, rule, round_)
         links = tables.keep(found if links is None else links.unionByName(found), "links")
         round_.discard()
         labels = components(links)
-        centres *= 2
+        low, high = high, high + CENTRE_GROWTH * (high - low)
         # Keys go on while their classes are in several components and some have not been centres.
         members = named.select("key", "cls", "rank")
         told = round_.keep(members.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls")), "told")
-        state = told.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("rank").alias("last"))
-        state = state.where((F.col("low") < F.col("high")) & (F.col("last") > centres - 1)).select("key")
+        state = told.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.max("rank").alias("last"))
+        state = state.where((F.col("least") < F.col("most")) & (F.col("last") > low)).select("key")
         named = tables.keep(lookup(told, state, ["key"], "inner"), "named")
         round_.discard()
         if named.isEmpty():

@@ -91,7 +91,8 @@ def build(docs: DataFrame, folder: str, vocabulary: np.ndarray | None = None, do
                 yield pa.RecordBatch.from_pylist([row], pa.schema([(f.name, pa.binary()) for f in schema.fields]))
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows.mapInArrow(task, schema).write.mode("errorifexists").parquet(folder)
+    # A segment is a page of its own: pages of many would be as large as all of them.
+    rows.mapInArrow(task, schema).write.option("parquet.page.row.count.limit", "1").parquet(folder)
     return docs.sparkSession.read.schema(schema).parquet(folder)
 
 

@@ -40,7 +40,7 @@ from vellumflow.operators.joins import lookup
 # Executors need not have this package: the task functions travel by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 12_000
 MIN_RATIO = 20.0
 STEPS = 800
 PENALTY = 1e-5
