@@ -18,6 +18,8 @@ from vellumflow.session import scratch
 
 #: Near duplicates: shingles of five words, a similarity of 0.8 or more.
 NEAR = Rule(words=5, percent=80)
+#: Repeated passages: over 50 words, judged by all windows of 51; samples by grams of ten words.
+PASSAGE_WORDS, PASSAGE_GRAM = 51, 10
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +37,10 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the byte strings that are repeated; documents with nothing left go."""
-    cut = suffix_dedup.clean(docs).withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text")).otherwise(F.col("n_chars")))
+    """Texts without passages of over 50 words that are repeated, however few bytes they have;
+    documents with nothing left go. Words end at blanks: a script without blanks has none to count."""
+    cut = suffix_dedup.clean(docs, PASSAGE_WORDS, PASSAGE_GRAM, words=True)
+    cut = cut.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text")).otherwise(F.col("n_chars")))
     return cut.where("size(spans) = 0 OR text <> ''").select(*docs.columns)
 
 

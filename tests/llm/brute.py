@@ -75,6 +75,22 @@ def without_repeats(docs, length=400):
     return sorted(out, key=repr)
 
 
+def without_passages(docs, length=51):
+    """(doc, what is left of the text) without the windows of ``length`` words that occur twice."""
+    texts = [(doc, (text or "").encode()) for doc, text in docs]
+    places = [[m.start() for m in NOT_SPACE.finditer(t)] for _, t in texts]
+    words = [NOT_SPACE.findall(t) for _, t in texts]
+    seen = Counter(tuple(w[i : i + length]) for w in words for i in range(len(w) - length + 1))
+    out = []
+    for (doc, t), w, at in zip(texts, words, places):
+        gone = {k for i in range(len(w) - length + 1) if seen[tuple(w[i : i + length])] > 1 for k in range(i, i + length)}
+        edges = [0, *at[1:], len(t)] if w else [0]
+        left = t[:0] if w else t
+        left += b"".join(t[edges[k] : edges[k + 1]] for k in range(len(w)) if k not in gone)
+        out.append((doc, left.decode()))
+    return sorted(out, key=repr)
+
+
 def base_counts(docs):
     out = []
     for doc, text in docs:

@@ -315,6 +315,13 @@ def test_repeats_of_odd_texts(spark, planted, length, gram):
     assert sorted((r["doc_id"], sum(s["end"] - s["start"] for s in r["spans"])) for r in cleaned if r["doc_id"]) == sorted((w[0], w[2]) for w in want if w[0])
 
 
+@pytest.mark.parametrize(("length", "gram"), [(51, 10), (24, 4)])
+def test_repeated_words_of_odd_texts(spark, planted, length, gram):
+    docs = [*planted, (801, "ab " * 600), (802, "x\ty\n" * 30 + "end"), (803, "x y " * 25), (803, "x y " * 25), (None, " \n" + "ü v  " * 30 + "\n"), (801, "ab " * 600)]
+    got = suffix_dedup.clean(frame(spark, docs), length, gram, words=True).collect()
+    assert sorted(((r["doc_id"], r["text"] or "") for r in got), key=repr) == brute.without_passages(docs, length)
+
+
 # --- 7: URL filter --------------------------------------------------------------------------
 
 
@@ -441,6 +448,29 @@ def test_pipeline(spark, small):
     assert {r["doc_id"] for r in steps[3][1]} == {r["doc_id"] for r in steps[3][0]} - dirty
 
 
+def test_pipeline_cuts_shared_passages_of_over_50_words(spark):
+    """Passages of fewer than 400 bytes, each copy in surroundings of its own."""
+    rng = random.Random(11)
+    word = lambda n: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, n)))
+    docs, want = [], []
+    for count in (50, 51, 55, 60, 70):
+        passage = " ".join(word(4) for _ in range(count))
+        assert len(passage) < 400
+        for k in range(20):
+            before, after = (" ".join([f"{k}{side}", *(word(9) for _ in range(40)), f"{k}{side}"]) for side in "ab")
+            docs.append((1000 * count + k, f"{before} {passage} {after}", 0))
+            want.append((docs[-1][0], f"{before} {after}" if count > 50 else docs[-1][1]))
+    got = corpus_pipeline.repeated_passages(spark, frame(spark, docs, "doc_id long, text string, n_chars long"), SF)
+    assert tuples(got, "doc_id", "text") == sorted(want, key=repr)
+
+
+def test_pipeline_cuts_all_repeated_windows_of_words(spark, small):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    want = [r for r in brute.without_passages(small[1]) if r[1]]
+    got = corpus_pipeline.repeated_passages(spark, docs, SF).where("text <> ''")
+    assert tuples(got, "doc_id", "text") == want
+
+
 def test_hashes_do_not_depend_on_the_place():
     texts = [b"abc def", b"", b"xx abc def", b"abc"]
     data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])

@@ -21,6 +21,11 @@ two equal strings have a sampled position at the same distance from their starts
   run of the same gram is open, so every equal pair is seen at some level. A piece stays
   open only if the bytes that all its windows share occur twice.
 
+With ``words`` the units are words between blanks instead of bytes: a passage of ``length``
+words is repeated if the same words, blanks aside, stand anywhere else. What goes is from
+the first of its words to the word after it, and blanks at the text's begin go with the
+first word. A text without blanks is one word.
+
 All sorts are aggregations and joins by hashed names, whose hot values (a passage in a
 third of the documents) Spark adds up before the shuffle and splits in the join. Equal
 texts are one class and enter once per batch; a class of two rows or more is removed whole.
@@ -39,7 +44,7 @@ from hashlib import sha256
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from vellumflow.llm import textbytes as B
 from vellumflow.llm.tables import Tables
@@ -64,16 +69,23 @@ def _batch(gram, coord, name, h1, h2, at, low, high) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*signed, pa.array(h1), pa.array(h2), *small], names=RUN_NAMES)
 
 
-def sample(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(sampled place, first start, last start, hash of its gram, prefix sums): the runs of starts
-    served by each sampled place of a block of documents; places count from the block's begin."""
-    prefix = B.prefix_hash(data)
+def unit_sums(data: np.ndarray, offsets: np.ndarray, words: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums over the units of a block of documents, and the documents' offsets in units."""
+    if not words:
+        return B.prefix_hash(data), offsets
+    start, end, first = B.word_spans(data, offsets, B.NOT_SPACE)
+    return B.prefix_sums(B.span_hash(B.prefix_hash(data), start, end)), first
+
+
+def sample(prefix: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
+    """(sampled place, first start, last start, hash of its gram): the runs of starts served by
+    each sampled place of a block of documents; places count from the block's begin."""
     window = length - gram + 1
-    n = len(data) - gram + 1
+    n = len(prefix) - gram
     starts = [np.arange(i, j - length + 1) for i, j in zip(offsets[:-1], offsets[1:]) if j - i >= length]
     if not starts:
         none = np.zeros(0, np.int64)
-        return none, none, none, none.astype(U64), prefix
+        return none, none, none, none.astype(U64)
     start = np.concatenate(starts)
     place = np.arange(n)
     grams = B.span_hash(prefix, place, place + gram)
@@ -89,7 +101,7 @@ def sample(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tup
     new = np.append(True, (best[1:] != best[:-1]) | (start[1:] != start[:-1] + 1))
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(start)) - 1
-    return best[first], start[first], start[last], grams[best[first]], prefix
+    return best[first], start[first], start[last], grams[best[first]]
 
 
 def named(prefix: np.ndarray, place: np.ndarray, low: np.ndarray, high: np.ndarray, length: int, base: int) -> np.ndarray:
@@ -98,7 +110,7 @@ def named(prefix: np.ndarray, place: np.ndarray, low: np.ndarray, high: np.ndarr
     return B.mix(B.span_hash(prefix, place - high, place - low + length) ^ B.mix(reach + U64(base)))
 
 
-def runs(docs: DataFrame, length: int, gram: int) -> DataFrame:
+def runs(docs: DataFrame, length: int, gram: int, words: bool) -> DataFrame:
     """The sampled runs of all distinct texts (h1, h2, text)."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,9 +127,8 @@ def runs(docs: DataFrame, length: int, gram: int) -> DataFrame:
                         fresh[k - i] = True
                 if not fresh.any():
                     continue
-                own = offsets[i : j + 1] - offsets[i]
-                part = data[offsets[i] : offsets[j]]
-                place, first, last, grams, prefix = sample(part, own, length, gram)
+                prefix, own = unit_sums(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], words)
+                place, first, last, grams = sample(prefix, own, length, gram)
                 doc = np.searchsorted(own, first, side="right") - 1
                 chosen = fresh[doc]
                 place, first, last, grams, doc = place[chosen], first[chosen], last[chosen], grams[chosen], doc[chosen]
@@ -128,7 +139,7 @@ def runs(docs: DataFrame, length: int, gram: int) -> DataFrame:
     return docs.select("h1", "h2", "text").mapInArrow(task, RUN)
 
 
-def pieces(texts: DataFrame, length: int, size: int) -> DataFrame:
+def pieces(texts: DataFrame, length: int, size: int, words: bool) -> DataFrame:
     """The runs of each text (h1, h2, text, runs) cut into pieces of ``size`` starts at fixed
     distances from the sampled place."""
 
@@ -136,7 +147,7 @@ def pieces(texts: DataFrame, length: int, size: int) -> DataFrame:
         for batch in batches:
             data, offsets = B.flat(batch.column(2))
             for k in range(batch.num_rows):
-                prefix = B.prefix_hash(data[offsets[k] : offsets[k + 1]])
+                prefix, _ = unit_sums(data[offsets[k] : offsets[k + 1]], offsets[k : k + 2] - offsets[k], words)
                 table = batch.column(3)[k].values
                 gram, at, low, high = (table.field(x).to_numpy().astype(np.int64) for x in ("gram", "at", "low", "high"))
                 from_, to = low // size, high // size
@@ -174,11 +185,21 @@ def with_class(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.withColumns({"h1": F.xxhash64(whole), "h2": F.xxhash64(F.lit(1), whole)})
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def has_units(text: str, length: int, words: bool) -> Column:
+    """Whether a text has ``length`` units."""
+    if not words:
+        return F.octet_length(text) >= length
+    blank, other = r"[\x20\x09-\x0D]", r"[^\x20\x09-\x0D]"
+    return (F.octet_length(text) >= 2 * length - 1) & F.col(text).rlike(rf"^{blank}*+(?:{other}++{blank}++){{{length - 1}}}{other}")
+
+
+def repeated_spans(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, doc_id: str = "doc_id", text: str = "text", words: bool = False,
+) -> DataFrame:
     """(h1, h2, whole, spans): classes with bytes to remove: the whole text, or maximal runs of
-    bytes as sorted (start, end), ends excluded."""
+    units as sorted (start, end), ends excluded."""
     rows = with_class(docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")))
-    long = F.octet_length("text") >= length
+    long = has_units("text", length, words)
     # One row per class fetches its text again; a null id is no key, so a class prefers others.
     classes = rows.select(*CLASS, F.coalesce("doc_id", F.lit(-(1 << 62))).alias("doc_id"), long.alias("long")).where("long")
     lasting, tables, level_ = Tables(docs.sparkSession), Tables(docs.sparkSession), Tables(docs.sparkSession)
@@ -190,7 +211,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, doc_
         wanted = spans.join(classes.drop("copies"), CLASS)
         return keyed.join(wanted, [*CLASS, "doc_id"]).select(*CLASS, "text", column)
 
-    level = level_.keep(runs(rows.where(long), length, gram), "runs")
+    level = level_.keep(runs(rows.where(long), length, gram, words), "runs")
     covered = None
     for size in (PIECE, 1, 0):
         told = tables.keep(resolve(level), "told")
@@ -199,7 +220,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, doc_
         covered = found if covered is None else covered.unionByName(found)
         if size:
             per_class = told.where("open").groupBy(*CLASS).agg(F.collect_list(F.struct("gram", "at", "low", "high")).alias("runs"))
-            level = level_.keep(pieces(fetched(per_class, "runs"), length, size), "pieces")
+            level = level_.keep(pieces(fetched(per_class, "runs"), length, size, words), "pieces")
     spans = merged(covered.groupBy(*CLASS).agg(F.collect_list(F.struct("start", "end")).alias("spans")))
     both = classes.where("copies > 1").select(*CLASS, F.lit(True).alias("whole")).join(spans, CLASS, "full")
     found = lasting.keep(both.select(*CLASS, F.coalesce("whole", F.lit(False)).alias("whole"), "spans"), "spans")
@@ -236,6 +257,14 @@ def cut(text: bytes, spans: list[dict[str, int]]) -> bytes:
     return b"".join(text[i:j] for i, j in zip(edges[::2], edges[1::2]))
 
 
+def byte_spans(text: bytes, spans: list[dict[str, int]]) -> list[dict[str, int]]:
+    """Spans of words as spans of bytes."""
+    start, _, _ = B.word_spans(np.frombuffer(text, np.uint8), np.array([0, len(text)]), B.NOT_SPACE)
+    edges = np.append(start, len(text))
+    edges[0] = 0
+    return [{"start": int(edges[s["start"]]), "end": int(edges[s["end"]])} for s in spans]
+
+
 def digests(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 (of the bytes left) per row."""
     found = repeated_spans(docs, length, gram)
@@ -263,10 +292,10 @@ def digests(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     return told.select("doc_id", "n_bytes", removed.alias("n_removed"), F.coalesce("spans", F.lit(0)).alias("n_spans"), F.coalesce("left", "sha").alias("kept_sha256"))
 
 
-def clean(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def clean(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, words: bool = False) -> DataFrame:
     """``docs`` with ``text`` without its repeated bytes and ``spans`` (what was removed, as bytes
     of the text before). Bytes left of a character that was cut through go too."""
-    found = repeated_spans(docs, length, gram)
+    found = repeated_spans(docs, length, gram, words=words)
     own = [c for c in docs.columns if c not in ("h1", "h2", "spans")]
     told = lookup(with_class(docs.select(*[F.col(f"`{c}`") for c in own])), found, CLASS).drop(*CLASS)
     schema = T.StructType([f for f in told.schema.fields if f.name not in ("whole", "spans")] + [T.StructField("spans", SPANS)])
@@ -277,7 +306,7 @@ def clean(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
             column = {n: batch.column(k) for k, n in enumerate(batch.schema.names)}
             texts = column["text"].cast(pa.binary()).to_pylist()
             spans = [
-                [{"start": 0, "end": len(t)}] if w else (s or [])
+                [{"start": 0, "end": len(t)}] if w else byte_spans(t, s) if s and words else (s or [])
                 for t, w, s in zip(texts, column.pop("whole").to_pylist(), column.pop("spans").to_pylist())
             ]
             left = [cut(t, s).decode("utf-8", "ignore") if s else None if t is None else t.decode("utf-8", "replace") for t, s in zip(texts, spans)]

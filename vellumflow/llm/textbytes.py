@@ -77,14 +77,19 @@ def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int,
         i = min(j, n)
 
 
-def prefix_hash(data: np.ndarray) -> np.ndarray:
+def prefix_sums(values: np.ndarray) -> np.ndarray:
     """Running polynomial sums; ``span_hash`` turns two of them into the hash of a span."""
-    up, _ = _powers(len(data))
-    out = np.zeros(len(data) + 1, U64)
-    np.cumsum(_TABLE[data] * up[: len(data)], out=out[1:])
+    up, _ = _powers(len(values))
+    out = np.zeros(len(values) + 1, U64)
+    np.cumsum(values * up[: len(values)], out=out[1:])
     return out
 
 
+def prefix_hash(data: np.ndarray) -> np.ndarray:
+    """The running sums of bytes."""
+    return prefix_sums(_TABLE[data])
+
+
 def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of the bytes of each span; equal bytes give equal hashes wherever they stand."""
     _, down = _powers(len(prefix))
