@@ -13,15 +13,23 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vellumflow.llm import byte_bpe, parity_join, phrase_index, site_bayes, suffix_dedup
 from vellumflow.llm.parity_join import Rule
+from vellumflow.llm.tables import Tables
 from vellumflow.operators.joins import lookup
 from vellumflow.session import scratch
 
 #: Near duplicates: shingles of five words, a similarity of 0.8 or more.
 NEAR = Rule(words=5, percent=80)
+#: Number of a row within a stage.
+ROW = "_row"
 #: Repeated passages: over 50 words, judged by all windows of 51; samples by grams of ten words.
 PASSAGE_WORDS, PASSAGE_GRAM = 51, 10
 
 
+def numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``docs`` written with a number per row, ``_row``: ids may be null or repeated."""
+    return Tables(spark).keep(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
@@ -29,11 +37,15 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id. Documents
-    without a word, which no set describes, all stay."""
-    groups = parity_join.join(docs.select("doc_id", "text"), NEAR)
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near copies: the one with the smallest id, null last, and of
+    rows with this id one. Documents without a word, which no set describes, all stay."""
+    rows = numbered(spark, docs)
+    groups = parity_join.join(rows.select(F.col(ROW).alias("doc_id"), "text"), NEAR)
+    ranked = groups.select(F.col("doc_id").alias(ROW), "component_id").join(rows.select(ROW, "doc_id"), ROW)
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", ROW)
+    # An aggregate, so that a group of very many rows is reduced before the shuffle.
+    first = ranked.groupBy("component_id").agg(F.min(rank).alias("first")).select(f"first.{ROW}")
+    return rows.join(first, ROW, "left_semi").select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,11 +57,12 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that no benchmark item contaminates."""
+    """Documents that no benchmark item contaminates, judged row by row."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = phrase_index.decontaminate(docs, items, scratch(spark, "index"))
-    bad = found.where("contaminated").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    rows = numbered(spark, docs)
+    found = phrase_index.decontaminate(rows.select(F.col(ROW).alias("doc_id"), "text"), items, scratch(spark, "index"))
+    bad = found.where("contaminated").select(F.col("doc_id").alias(ROW))
+    return rows.join(bad, ROW, "left_anti").select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

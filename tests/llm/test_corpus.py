@@ -471,6 +471,39 @@ def test_pipeline_cuts_all_repeated_windows_of_words(spark, small):
     assert tuples(got, "doc_id", "text") == want
 
 
+def test_stages_on_repeated_rows_and_null_ids(spark):
+    """Of equal and near rows one stays, whatever their ids; rows without an id are judged like others."""
+    rng = random.Random(4)
+    prose = lambda n: " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(n))
+    item = max((r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()), key=lambda t: len(t.split()))
+    twice, nulled, near, nulls, shared, alone = (prose(200) for _ in range(6))
+    docs = [
+        (1, twice), (1, twice), (None, nulled), (2, nulled), (None, near + " end"), (3, near), (None, nulls), (None, nulls),
+        (None, nulls + " end"), (4, shared), (4, alone), (5, None), (None, ""), (None, item), (6, item), (7, prose(60)), (7, item),
+    ]
+    table = frame(spark, [(i, t, "s", "en", len(t or "")) for i, t in docs], "doc_id long, text string, source string, lang string, n_chars long")
+    assert corpus_pipeline.quality(spark, table, SF).count() <= len(docs)
+    # What the classifier says of random letters is not at issue: all rows go on.
+    steps = [table]
+    for _, stage in corpus_pipeline.STAGES[1:]:
+        folder = scratch(spark, "stage")
+        stage(spark, steps[-1], SF).write.parquet(folder)
+        steps.append(spark.read.parquet(folder))
+    kept = [(1, twice), (2, nulled), (3, near), (4, shared), (4, alone), (5, None), (None, ""), (7, docs[15][1])]
+    found = tuples(steps[1], "doc_id", "text")
+    assert [r for r in found if r[1] not in (nulls, nulls + " end")] == sorted([*kept, (6, item)], key=repr)
+    assert sum(r[1] in (nulls, nulls + " end") for r in found) == 1
+    assert tuples(steps[2], "doc_id", "text") == found
+    assert tuples(steps[3], "doc_id", "text") == [r for r in found if r[1] != item]
+    assert tuples(steps[4], "doc_id") == tuples(steps[3], "doc_id")
+
+
+def test_decontaminated_judges_rows(spark):
+    item = max((r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()), key=lambda t: len(t.split()))
+    docs = frame(spark, [(None, item), (7, item), (7, "plain words"), (None, "plain words")])
+    assert tuples(corpus_pipeline.decontaminated(spark, docs, SF)) == sorted([(7, "plain words"), (None, "plain words")], key=repr)
+
+
 def test_hashes_do_not_depend_on_the_place():
     texts = [b"abc def", b"", b"xx abc def", b"abc"]
     data, offsets = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
