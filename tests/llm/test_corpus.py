@@ -154,6 +154,23 @@ def test_sharding(spark, small):
     assert {(r["law"], r["grown_shard"]) for r in got} == {("rows", None)}
 
 
+def test_sharding_moves_the_texts_in_buckets_of_bytes(spark, small, monkeypatch):
+    folders, shuffle = [], sharding.shuffle_into_shards
+
+    def spied(df, shards, folder, *args, **named):
+        folders.append(folder)
+        return shuffle(df, shards, folder, *args, **named, bucket_bytes=40_000)
+
+    monkeypatch.setattr(sharding, "shuffle_into_shards", spied)
+    got = queries.op2_sharding(spark, SF)
+    written = spark.read.parquet(f"{folders[0]}/shuffled")
+    assert tuples(written, f"{sharding.RECORD}.doc_id", f"{sharding.RECORD}.text") == sorted(small[1], key=repr)
+    total = sum(len((t or "").encode()) + 8 for _, t in small[1])
+    assert written.select(sharding.BUCKET).distinct().count() == -(-total // 40_000) > 5
+    want = sorted((i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t in small[1])
+    assert tuples(got, "doc_id", "size", "text_crc32") == sorted(want, key=repr)
+
+
 def test_sharding_spreads_equal_rows_over_small_buckets(spark):
     rows = [(1, "same")] * 400 + [(None, None)] * 50 + [(k, str(k)) for k in range(150)]
     df = frame(spark, rows).withColumn("shard", F.lit("old")).withColumn("extra", F.lit(3))

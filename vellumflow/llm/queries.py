@@ -63,11 +63,14 @@ FROM docs LEFT JOIN hit USING (id) LEFT JOIN named USING (id)"""
 @query
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
-    records = table(spark, sf_dir, "documents").select(
-        "doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32")
+    size = (F.octet_length(text) + 8).cast("long")
+    records = table(spark, sf_dir, "documents").select("doc_id", "text", size.alias("size"))
+    out = sharding.shuffle_into_shards(records, SHARDS, scratch(spark, "shards"), "doc_id", SEED, size="size")
+    # Digests of the texts as they stand in the written buckets.
+    return out.select(
+        "doc_id", size.alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"), "shard", "slot",
+        F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard"),
     )
-    out = sharding.shuffle_into_shards(records, SHARDS, scratch(spark, "shards"), "doc_id", SEED)
-    return out.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
 
 
 @query
