@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import itertools
 import random
 import zlib
 from collections import Counter
@@ -118,6 +119,21 @@ def test_proximity(spark):
     assert {r[0] for r in tuples(phrase_index.matches(index, phrases, slop=1))} == {1, 2, 3}
 
 
+@pytest.mark.parametrize("rarest", [0, 1, 2])
+def test_proximity_at_the_edges(spark, rarest):
+    phrase = ["red", "green", "blue"]
+    orders = [" ".join(p) for n in (3, 4, 5) for p in set(itertools.permutations([*phrase, "x", "x"], n)) if {*phrase} <= {*p}]
+    docs = list(enumerate(orders)) + [(1000 + k, w) for k, w in enumerate(phrase) if k != rarest for _ in range(9)]
+    index = phrase_index.build(frame(spark, docs), scratch(spark, "index"))
+    phrases = phrase_index.phrases_of(frame(spark, [(9, " ".join(phrase))], "item_id long, text string"))
+    for slop in (0, 1, 2):
+        want = {
+            i for i, t in docs for at, w in enumerate(t.split()) if w == phrase[rarest]
+            and all(any(v == p and abs(j - (at - rarest + k)) <= slop for j, v in enumerate(t.split())) for k, p in enumerate(phrase))
+        }
+        assert {r[0] for r in tuples(phrase_index.matches(index, phrases, slop=slop))} == want
+
+
 def test_empty_tables(spark):
     docs, items = frame(spark, []), frame(spark, [], "item_id long, text string")
     assert tuples(phrase_index.decontaminate(docs, frame(spark, [(1, "a")], "item_id long, text string"), scratch(spark, "index"))) == []

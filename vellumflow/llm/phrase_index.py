@@ -152,8 +152,8 @@ class Phrases:
 
 
 def occurrences(row: dict[str, bytes], phrases: Phrases, slop: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """(phrase, place of its first word) of every match in a segment."""
-    none = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    """(phrase, place of its first word, document) of every match in a segment."""
+    none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     terms = np.frombuffer(row["terms"], "<u8")
     ends = np.frombuffer(row["ends"], "<i4").astype(np.int64)
     places = np.frombuffer(row["places"], "<i4").astype(np.int64)
@@ -175,10 +175,10 @@ def occurrences(row: dict[str, bytes], phrases: Phrases, slop: int = 0) -> tuple
     which = np.repeat(phrase, count)
     within = np.arange(total) - np.repeat(np.cumsum(count) - count, count)
     start = places[starts[rare[which]] + within] - phrases.offsets[which, 0]
-    # The whole phrase must lie in one document.
     doc = np.searchsorted(first, start + phrases.offsets[which, 0], side="right") - 1
-    fits = (start >= first[doc]) & (start + phrases.length[which] <= first[doc + 1])
-    which, start, doc = which[fits], start[fits], doc[fits]
+    if not slop:  # the whole phrase must lie in one document; with a slop, each term found
+        fits = (start >= first[doc]) & (start + phrases.length[which] <= first[doc + 1])
+        which, start, doc = which[fits], start[fits], doc[fits]
     width = np.int64(1 << 32)
     keys = np.repeat(np.arange(len(terms)), ends - starts) * width + places  # ascending
     for k in range(1, phrases.terms.shape[1]):
@@ -192,7 +192,7 @@ def occurrences(row: dict[str, bytes], phrases: Phrases, slop: int = 0) -> tuple
         at = np.minimum(np.searchsorted(keys, term * width + low), len(keys) - 1)
         kept = ~on | ((term >= 0) & (keys[at] >= term * width + low) & (keys[at] <= term * width + high))
         which, start, doc = which[kept], start[kept], doc[kept]
-    return which, start
+    return which, start, doc
 
 
 def _blocks(phrases: DataFrame, index: DataFrame) -> list[Phrases]:
@@ -216,7 +216,8 @@ def _rows(row: dict[str, bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def matches(index: DataFrame, phrases: DataFrame, slop: int = 0) -> DataFrame:
     """(doc_id, item_id, first_word, n_words): every place where a phrase of an item occurs,
-    exactly (slop 0) or with each word at most ``slop`` words from its place."""
+    exactly (slop 0) or with each word at most ``slop`` words from its place as the rarest
+    word tells it; the first word's place may then lie outside the document."""
 
     def task_of(shipped):
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,12 +225,11 @@ def matches(index: DataFrame, phrases: DataFrame, slop: int = 0) -> DataFrame:
             for batch in batches:
                 for row in batch.to_pylist():
                     ids, missing, first = _rows(row)
-                    which, start = occurrences(row, own, slop)
+                    which, start, doc = occurrences(row, own, slop)
                     low = np.searchsorted(own.phrase, which)
                     count = np.searchsorted(own.phrase, which, side="right") - low
                     pair = np.repeat(low, count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-                    start, length = np.repeat(start, count), np.repeat(own.length[which], count)
-                    doc = np.searchsorted(first, start, side="right") - 1
+                    start, doc, length = np.repeat(start, count), np.repeat(doc, count), np.repeat(own.length[which], count)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(ids[doc], mask=missing[doc]), pa.array([own.items[p] for p in pair], LONG), pa.array(start - first[doc]), pa.array(length)],
                         names=["doc_id", "item_id", "first_word", "n_words"],
@@ -262,12 +262,11 @@ def contamination(index: DataFrame, phrases: DataFrame) -> DataFrame:
                 found: list[set[str]] = [set() for _ in ids]
                 for block in shipped:
                     own = block.value
-                    which, start = occurrences(row, own)
+                    which, start, doc = occurrences(row, own)
                     edge = np.zeros(len(covered) + 1, np.int64)
                     np.add.at(edge, start, 1)
                     np.add.at(edge, start + own.length[which], -1)
                     covered |= np.cumsum(edge)[:-1] > 0
-                    doc = np.searchsorted(first, start, side="right") - 1
                     for p, d in set(zip(which.tolist(), doc.tolist())):
                         i, j = np.searchsorted(own.phrase, [p, p + 1])
                         found[d].update(str(x) for x in own.items[i:j] if x is not None)
