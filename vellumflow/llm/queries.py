@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vellumflow.llm import (
-    byte_bpe, line_rules, parity_join, phrase_index, preference, sharding, site_bayes, suffix_dedup, token_records, url_filter,
+    byte_bpe, line_rules, mixing, parity_join, phrase_index, preference, prefix_trie, sharding, site_bayes, suffix_dedup, token_records,
+    url_filter, whitening,
 )
+from vellumflow.llm.tables import Tables
 from vellumflow.session import scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -219,3 +221,92 @@ counted AS (
 SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
        NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 100 * lost_chars <= {line_rules.MAX_LOST_PERCENT} * word_chars AS kept
 FROM counted"""
+
+
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = Tables(spark).keep(prefix_trie.sequences(table(spark, sf_dir, "conversations")), "sequences")
+    base = F.col("conv") - F.col("conv") % 5
+    heads = own.where("conv % 5 = 0").select(F.col("conv").alias("base"), F.slice("ids", 1, 8).alias("head"))
+    h = (F.crc32(F.col("conv").cast("string").cast("binary")) % 9).cast("int")
+    rebuilt = own.withColumn("base", base).join(heads, "base", "left").select(
+        "conv", F.concat(F.slice(F.coalesce("head", F.array().cast("array<string>")), F.lit(1), h), F.slice("ids", h + 1, F.greatest(F.size("ids"), F.lit(1)))).alias("ids")
+    )
+    return prefix_trie.nodes(prefix_trie.keyed(rebuilt))
+
+
+ORACLE["op11_prefix_trie"] = r"""
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+-- Unsigned CRC-32, a bit at a time: each digit is added, then eight steps.
+heads AS (
+  SELECT conv_id, conv_id - conv_id % 5 AS base,
+         xor(list_reduce(flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda d: [ascii(d)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+             lambda c, s: CASE WHEN s >= 0 THEN xor(c, s) ELSE xor(c >> 1, (c & 1) * 3988292384) END, 4294967295::BIGINT), 4294967295) % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)),
+rebuilt AS (
+  SELECT h.conv_id, t.k, t.role, t.text FROM heads h JOIN turns t ON t.conv_id = h.base AND t.k <= h.h
+  UNION ALL SELECT h.conv_id, t.k + 10, t.role, t.text FROM heads h JOIN turns t ON t.conv_id = h.conv_id AND t.k > h.h),
+steps AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY k) AS depth, octet_length(encode(text)) AS size,
+         md5(concat(length(role), ':', role, text)) AS turn
+  FROM rebuilt),
+paths AS (
+  SELECT conv_id, 0 AS depth, '' AS path, NULL AS parent, 0 AS size FROM heads
+  UNION ALL
+  SELECT conv_id, depth, string_agg(turn, '') OVER w, coalesce(string_agg(turn, '') OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), ''), size
+  FROM steps WINDOW w AS (PARTITION BY conv_id ORDER BY depth)),
+lengths AS (SELECT conv_id, max(depth) AS n FROM paths GROUP BY conv_id),
+own AS (
+  SELECT path, any_value(parent) AS parent, min(p.conv_id) AS conv_id, any_value(depth) AS depth, count(*) AS n_convs, any_value(size) AS size,
+         sha256(coalesce(string_agg(CAST(p.conv_id AS VARCHAR), ',' ORDER BY p.conv_id) FILTER (depth = n), '')) AS ends_sha256
+  FROM paths p JOIN lengths l ON p.conv_id = l.conv_id GROUP BY path),
+kids AS (SELECT parent AS path, count(*) AS n FROM own WHERE parent IS NOT NULL GROUP BY parent),
+below AS (
+  SELECT a.path, count(*) FILTER (k.n IS NULL) AS n_leaves, CAST(sum((o.n_convs - 1) * o.size) AS BIGINT) AS saved_tokens
+  FROM own o LEFT JOIN kids k ON k.path = o.path JOIN paths a ON a.conv_id = o.conv_id AND a.depth <= o.depth GROUP BY a.path)
+SELECT o.conv_id, CAST(o.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, o.n_convs, coalesce(k.n, 0) AS n_children, b.n_leaves, b.saved_tokens, o.ends_sha256
+FROM own o JOIN below b ON b.path = o.path LEFT JOIN kids k ON k.path = o.path LEFT JOIN own p ON p.path = o.parent"""
+
+
+@query
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), "vec_id", "embedding")
+    each = white.select("vec_id", "n", "deviation", "identity_error", F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "c"))
+    return each.select("vec_id", (F.col("at") + 1).cast("int").alias("component"), "n", "deviation", "c.whitened", "c.explained", "identity_error")
+
+
+@query
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return mixed.select("doc_id", "source", "size", "source_size", "target", "taken", "epochs")
+
+
+ORACLE["op13_mixing"] = rf"""
+WITH docs AS (
+  SELECT doc_id, source, len(list_filter(string_split_regex(coalesce(text, ''), '[ 	-]+'), lambda w: w <> '')) AS size,
+         CAST(concat('0x', substr(md5(concat('{mixing.SEED}:', doc_id, ':', text)), 1, {mixing.KEY_DIGITS})) AS BIGINT) AS key
+  FROM documents),
+sized AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS size, [1, 5, 2][row_number() OVER (ORDER BY source NULLS LAST) % 3 + 1] AS weight
+  FROM docs GROUP BY source),
+swept AS (
+  SELECT *, sum(size) OVER () AS total, sum(weight) OVER () AS weights,
+         coalesce(sum(size) OVER w, 0) AS size_before, coalesce(sum(weight) OVER w, 0) AS weight_before
+  FROM sized WINDOW w AS (ORDER BY size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+marked AS (SELECT *, 3 * size * (weights - weight_before) <= (total - 3 * size_before) * weight AS stops FROM swept),
+shared AS (
+  SELECT *, total - 3 * coalesce(sum(size) FILTER (stops) OVER (), 0) AS words, weights - coalesce(sum(weight) FILTER (stops) OVER (), 0) AS shares
+  FROM marked),
+goals AS (
+  SELECT source, size AS source_size, CASE WHEN stops THEN CAST(3 * size AS DOUBLE) ELSE CAST(words * weight AS DOUBLE) / CAST(shares AS DOUBLE) END AS target,
+         CAST(CASE WHEN stops THEN 3 * size ELSE words * weight // shares END AS BIGINT) AS budget
+  FROM shared),
+placed AS (
+  SELECT doc_id, d.source, size, source_size, target, budget // greatest(source_size, 1) AS epochs, budget % greatest(source_size, 1) AS further,
+         coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id NULLS FIRST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM docs d JOIN goals g ON d.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, source, CAST(size AS BIGINT) AS size, source_size, target,
+       CAST(epochs * size + least(greatest(further - start, 0), size) AS BIGINT) AS taken, CAST(epochs AS INTEGER) AS epochs
+FROM placed"""
