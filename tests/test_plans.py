@@ -12,9 +12,9 @@ from vellumflow.registry import queries as registry
 from vellumflow.sources.store import TableStore
 
 QUERIES = registry.QUERIES
-PYTHON_ALLOWED = {"knowledge_topk", "knowledge_reply", "product_topk"}
+PYTHON_ALLOWED = {"knowledge_topk", "knowledge_reply", "product_topk", "catalog_replies"}
 # Building these writes files or runs a stream first.
-EAGER = {"read_documents", "list_summaries", "get_summary", "synced_status", "dedup_events", "live_volume", "stage_trigger", "silent_runs",
+EAGER = {"route_in_order", "read_documents", "list_summaries", "get_summary", "synced_status", "dedup_events", "live_volume", "stage_trigger", "silent_runs",
          "table_roundtrip", "named_table", "rows_to_frame", "extract_pipeline", "summarize_pipeline", "upload_pipeline"}
 
 

@@ -22,7 +22,7 @@ KEYED = [
     "clear_workflow_state", "job_status_lookup", "unified_status", "tier_drift", "latest_summary", "extraction_for_run",
     "document_lineage", "summary_metadata", "upload_manifest", "stage_durations", "event_gaps", "stalled_runs",
     "latency_percentiles", "documents_processed", "key_violations", "rate_limit_violations", "active_prompt",
-    "route_messages", "summarize_batch", "knowledge_topk", "synced_status", "stage_trigger",
+    "route_messages", "route_in_order", "summarize_batch", "knowledge_topk", "synced_status", "stage_trigger",
 ]
 SKEWED = {
     "spark__sql__autoBroadcastJoinThreshold": "-1",

@@ -197,10 +197,13 @@ def product_line(name: str = "product_name", category: str = "category", price:
 
 
 def product_topk(products: DataFrame, queries: DataFrame, k: int = 3) -> DataFrame:
+    """Top products as lines; where ``products`` has a ``content``, the page's content stands below
+    its line. Pages meet the hits only, not the search."""
     hits = topk(products, queries, k)
-    return products.select("vec_id", "product_name", "category", "price").join(hits, "vec_id").select(
-        "query_id", "rank", "vec_id", product_line().alias("line")
-    )
+    shown, line = ["product_name", "category", "price"], product_line()
+    if "content" in products.columns:
+        shown, line = [*shown, "content"], F.concat(line, F.lit("\n  "), F.coalesce("content", F.lit("")))
+    return products.select("vec_id", *shown).join(hits, "vec_id").select("query_id", "rank", "vec_id", line.alias("line"))
 
 
 def product_replies(lines: DataFrame) -> DataFrame:

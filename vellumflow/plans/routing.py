@@ -31,12 +31,8 @@ def _job_message(agent: V.Agent, run: Column, at: datetime | None) -> Column:
     )
 
 
-def workflow_replies(pending: DataFrame, ev: DataFrame, site_url: str, next_run: Column, as_of: datetime | None = None) -> DataFrame:
-    """One reply per user with a pending workflow.
-
-    ``next_run`` is the run id of the summarization job that the step starts.
-    """
-    decided = decide(with_run_status(pending.withColumn("status", F.lit(V.IN_PROGRESS)), ev))
+def step_reply(site_url: str, next_run: Column, as_of: datetime | None = None) -> Column:
+    """The reply to a message that finds a workflow: what its step (columns of ``decide``) did."""
     extracting = F.col("current_stage") == V.EXTRACTING
     message = F.when(extracting, _job_message(V.EXTRACTION, F.col("extraction_run_id"), as_of)).otherwise(
         _job_message(V.SUMMARIZATION, F.col("summarization_run_id"), as_of)
@@ -46,8 +42,8 @@ def workflow_replies(pending: DataFrame, ev: DataFrame, site_url: str, next_run:
     )
     action = F.col("action")
     label = F.when(extracting, V.EXTRACTION.label).otherwise(V.SUMMARIZATION.label)
-    m = F.col("message")
-    reply = (
+    m = message
+    return (
         F.when(
             action == "start_summarization",
             fill(V.MSG_TO_SUMMARY, message=m, run_id=next_run, eta=F.lit(V.SUMMARIZATION.budget_minutes)),
@@ -59,7 +55,15 @@ def workflow_replies(pending: DataFrame, ev: DataFrame, site_url: str, next_run:
         .when(action == "wait", fill(V.MSG_SUMMARIZING, message=m))
         .otherwise(V.MSG_UNKNOWN_STATE)
     )
-    return decided.withColumn("message", message).select("user_id", "action", reply.alias("reply"))
+
+
+def workflow_replies(pending: DataFrame, ev: DataFrame, site_url: str, next_run: Column, as_of: datetime | None = None) -> DataFrame:
+    """One reply per user with a pending workflow.
+
+    ``next_run`` is the run id of the summarization job that the step starts.
+    """
+    decided = decide(with_run_status(pending.withColumn("status", F.lit(V.IN_PROGRESS)), ev))
+    return decided.select("user_id", "action", step_reply(site_url, next_run, as_of).alias("reply"))
 
 
 def route(
@@ -83,6 +87,13 @@ def route(
     else:
         asked = asked.withColumn("found", F.lit(None).cast("string"))
     joined = lookup(asked, answers, ["user_id"], spread_by="event_id")
+    return answered(joined, new_run)
+
+
+def answered(asked: DataFrame, new_run: Column) -> DataFrame:
+    """Route and reply of messages with ``intent``, ``path``, ``found`` (a search reply) and
+    ``workflow_reply``, which is null where the user has no workflow."""
+    content = F.col("content")
     empty = content.isNull() | (content == "")
     started = fill(
         V.MSG_STARTED, path=F.col("path"), run_id=new_run, eta=F.lit(V.EXTRACTION.budget_minutes),
@@ -98,7 +109,7 @@ def route(
         .otherwise(V.MSG_GENERAL)
     )
     kind = F.when(empty, "empty").when(F.col("workflow_reply").isNotNull(), "workflow").otherwise(F.col("intent"))
-    return joined.select("event_id", "user_id", kind.alias("route"), "action", "path", reply.alias("reply"))
+    return asked.select("event_id", "user_id", kind.alias("route"), "action", "path", reply.alias("reply"))
 
 
 def route_volume(messages: DataFrame, new_run: Column) -> DataFrame:

@@ -269,8 +269,8 @@ CENTROIDS = """
 """
 
 
-def topk(corpus: str) -> str:
-    return CENTROIDS + f"""
+def topk(corpus: str, queries: str = CENTROIDS) -> str:
+    return queries + f"""
 , scored AS (SELECT q.query_id, c.*, list_cosine_similarity(q.v, CAST(c.embedding AS DOUBLE[])) AS sim FROM q, {corpus} c)
 , ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY query_id ORDER BY round(sim, 9) DESC, vec_id) AS rank FROM scored)
 , hits AS (SELECT * FROM ranked WHERE rank <= 3)
@@ -344,6 +344,76 @@ ROUTED = (
 """
 )
 
+def searched(messages: str, where: str) -> str:
+    """The messages that have a vector, as queries."""
+    return f", q AS (SELECT event_id AS query_id, CAST(embedding AS DOUBLE[]) AS v FROM {messages} JOIN embeddings ON vec_id = event_id WHERE {where})"
+
+
+# Message by message and user by user; a run that starts in the batch and has no event is running since now.
+IN_ORDER = f"""
+, r AS (SELECT query_id, string_agg({filled(V.KNOWLEDGE_HIT, title='title', preview='preview', source='source')},
+                                    concat(chr(10), chr(10)) ORDER BY rank) AS results FROM shown GROUP BY query_id)
+, w AS {pending(168)}
+, asked AS (SELECT *, {INTENT} AS intent, {SOURCE_PATH} AS path, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM messages)
+, origins AS (
+    SELECT concat('u', user_id) AS key, current_stage, extraction_run_id AS e,
+           CASE WHEN current_stage = 'extracting' THEN extraction_run_id + 1 ELSE summarization_run_id END AS s, false AS fresh FROM w
+    UNION ALL
+    SELECT concat('m', event_id), 'extracting', event_id * 10 + 1, event_id * 10 + 2, true FROM asked WHERE intent = 'extract_document' AND path IS NOT NULL)
+, statuses AS (
+    SELECT o.*, CASE WHEN x.run_id IS NULL AND fresh THEN 'RUNNING' ELSE {status_case('x.event_type', V.EXTRACTION)} END AS e_status,
+           CASE WHEN x.run_id IS NULL AND fresh THEN {AS_OF} ELSE x.timestamp END AS e_at,
+           CASE WHEN y.run_id IS NULL AND current_stage = 'extracting' THEN 'RUNNING' ELSE {status_case('y.event_type', V.SUMMARIZATION)} END AS s_status,
+           CASE WHEN y.run_id IS NULL AND current_stage = 'extracting' THEN {AS_OF} ELSE y.timestamp END AS s_at
+    FROM origins o LEFT JOIN {last_event(V.EXTRACTION)} x ON x.run_id = e LEFT JOIN {last_event(V.SUMMARIZATION)} y ON y.run_id = s)
+, walk AS (
+    SELECT a.user_id, 1::BIGINT AS n, (SELECT any_value(key) FROM statuses t WHERE t.key = concat('u', a.user_id)) AS key,
+           (SELECT any_value(current_stage) FROM statuses t WHERE t.key = concat('u', a.user_id)) AS stage
+    FROM asked a WHERE a.n = 1
+    UNION ALL
+    SELECT w.user_id, w.n + 1,
+           CASE WHEN coalesce(content, '') = '' THEN w.key
+                WHEN w.key IS NULL THEN CASE WHEN a.intent = 'extract_document' AND a.path IS NOT NULL THEN concat('m', a.event_id) END
+                WHEN stage = 'completed' OR stage = 'extracting' AND t.e_status = 'FAILED' OR stage = 'summarizing' AND t.s_status = 'FAILED' THEN NULL
+                ELSE w.key END,
+           CASE WHEN coalesce(content, '') = '' THEN stage
+                WHEN w.key IS NULL THEN 'extracting'
+                WHEN stage = 'extracting' AND t.e_status = 'COMPLETED' THEN 'summarizing'
+                WHEN stage = 'summarizing' AND t.s_status = 'COMPLETED' THEN 'completed'
+                ELSE stage END
+    FROM walk w JOIN asked a ON a.user_id = w.user_id AND a.n = w.n LEFT JOIN statuses t ON t.key = w.key)
+, placed AS (
+    SELECT a.*, w.key, w.stage AS current_stage, t.e AS extraction_run_id, t.s AS summarization_run_id,
+           CASE w.stage WHEN 'extracting' THEN e_status WHEN 'summarizing' THEN s_status END AS run_status,
+           CASE w.stage WHEN 'extracting' THEN e_at WHEN 'summarizing' THEN s_at END AS event_at
+    FROM asked a JOIN walk w ON a.user_id = w.user_id AND a.n = w.n LEFT JOIN statuses t ON t.key = w.key)
+, acted AS (
+    SELECT *, CASE WHEN key IS NULL THEN NULL
+        WHEN current_stage = 'extracting' AND run_status = 'COMPLETED' THEN 'start_summarization'
+        WHEN current_stage = 'summarizing' AND run_status = 'COMPLETED' THEN 'upload'
+        WHEN current_stage IN ('extracting', 'summarizing') AND run_status = 'FAILED' THEN 'clear'
+        WHEN current_stage IN ('extracting', 'summarizing') THEN 'wait' WHEN current_stage = 'completed' THEN 'clear' ELSE 'unknown_state' END AS action,
+      CASE WHEN current_stage = 'extracting' THEN {job_message(V.EXTRACTION, 'extraction_run_id')}
+           ELSE {job_message(V.SUMMARIZATION, 'summarization_run_id')} END AS message,
+      CASE WHEN current_stage = 'extracting' THEN 'Extraction' ELSE 'Summarization' END AS label
+    FROM placed)
+SELECT event_id, user_id, CASE WHEN key IS NOT NULL THEN 'workflow' ELSE intent END AS route, action, path,
+       CASE WHEN key IS NULL THEN CASE intent
+              WHEN 'extract_document' THEN CASE WHEN path IS NULL THEN {text(V.MSG_NO_PATH)}
+                ELSE {filled(V.MSG_STARTED, path='path', run_id='event_id * 10 + 1', eta='30', next_steps=text(V.MSG_NEXT_STEPS))} END
+              WHEN 'check_status' THEN {text(V.MSG_NO_WORKFLOW)}
+              WHEN 'search_knowledge' THEN CASE WHEN results IS NULL THEN {text(V.MSG_NO_KNOWLEDGE)} ELSE {filled(V.KNOWLEDGE_REPLY, results='results')} END
+              ELSE {text(V.MSG_GENERAL)} END
+            WHEN action = 'start_summarization' THEN {filled(V.MSG_TO_SUMMARY, message='message', run_id='extraction_run_id + 1', eta='10')}
+            WHEN action = 'upload' THEN {filled(V.MSG_UPLOADED, url=f"concat('{SITE}/Documents/summary_', summarization_run_id, '.pdf')")}
+            WHEN action = 'clear' AND current_stage = 'completed' THEN {text(V.MSG_PREVIOUS_DONE)}
+            WHEN action = 'clear' THEN {filled(V.MSG_STAGE_FAILED, label='label', message='message')}
+            WHEN action = 'wait' AND current_stage = 'extracting' THEN {filled(V.MSG_EXTRACTING, message='message')}
+            WHEN action = 'wait' THEN {filled(V.MSG_SUMMARIZING, message='message')}
+            ELSE {text(V.MSG_UNKNOWN_STATE)} END AS reply
+FROM acted LEFT JOIN r ON query_id = event_id"""
+
+
 STAGE_RUNS = """
 , s AS (SELECT run_id, agent, MIN(timestamp) AS started_at FROM {log}
         WHERE run_id <> 0 AND event_type LIKE '%Started' GROUP BY run_id, agent)
@@ -716,6 +786,8 @@ SELECT event_id, left(content, 20) AS preview, replace(content, '''', '''''') AS
        concat('extract_', event_id) AS composed_id, concat('user', user_id) AS user_name,
        strftime(ts, '%Y%m%d_%H%M%S') AS stamp, ts AS parsed_ts FROM messages""")
 ORACLE["route_messages"] = with_views("messages conversation_state job_events", ROUTED + " SELECT * FROM routed")
+ORACLE["route_in_order"] = "WITH RECURSIVE " + with_views("messages conversation_state job_events knowledge", searched("messages", f"{INTENT} = 'search_knowledge'")
+    + topk("knowledge", "") + KNOWLEDGE_HITS + IN_ORDER).removeprefix("WITH ")
 ORACLE["route_volume"] = with_views("messages", f"""
 SELECT event_id, user_id, {VOLUME_PATH} AS path,
        CASE WHEN {VOLUME_PATH} IS NOT NULL THEN {filled(V.MSG_VOLUME_STARTED, path=VOLUME_PATH, run_id='event_id * 10 + 1')}
@@ -726,6 +798,13 @@ ORACLE["route_catalog"] = with_views("messages", f"""
 SELECT event_id, user_id, CASE WHEN {REFRESH} THEN 'refresh' ELSE 'search' END AS target,
        CASE WHEN {REFRESH} THEN {filled(V.MSG_REFRESH, run_id='event_id * 10 + 9')} ELSE {text(V.MSG_NO_PRODUCTS)} END AS reply
 FROM messages""")
+ORACLE["catalog_replies"] = with_views("messages products", searched("messages", f"NOT {REFRESH}") + topk("products", "") + f"""
+, r AS (SELECT query_id, concat({text(V.PRODUCT_HEADER)}, chr(10), string_agg(
+          concat('• **', product_name, '** (', category, ') - $', format('{{:,.2f}}', price), chr(10), '  ', p_brand, ', size ', p_size, ': ', p_name, chr(10)), chr(10) ORDER BY rank)) AS reply
+        FROM hits JOIN part ON p_partkey = vec_id GROUP BY query_id)
+SELECT event_id, user_id, CASE WHEN {REFRESH} THEN 'refresh' ELSE 'search' END AS target,
+       CASE WHEN {REFRESH} THEN {filled(V.MSG_REFRESH, run_id='event_id * 10 + 9')} ELSE coalesce(reply, {text(V.MSG_NO_PRODUCTS)}) END AS reply
+FROM messages LEFT JOIN r ON query_id = event_id""")
 ORACLE["chat_response"] = with_views("messages conversation_state job_events", ROUTED + """
 SELECT event_id, concat('response-', md5(concat(event_id, '|', reply))) AS id, 1 AS n_choices, 0 AS choice_index,
        'assistant' AS role, reply AS content, 'stop' AS finish_reason FROM routed""")

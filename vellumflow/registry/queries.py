@@ -15,7 +15,7 @@ from vellumflow.functions import text as X
 from vellumflow.operators import (
     events, governance, latest, lineage, metrics, search, sequences, status, tiers, workflow,
 )
-from vellumflow.plans import extract, projection, routing, summarize, upload
+from vellumflow.plans import extract, ordered, projection, routing, summarize, upload
 from vellumflow.session import scratch
 from vellumflow.sources import files, store as store_of
 from vellumflow.sources.derived import Derived
@@ -629,6 +629,24 @@ def route_messages(t: Derived) -> DataFrame:
     )
 
 
+@query
+def route_in_order(t: Derived) -> DataFrame:
+    asked = t.message_vectors().where(X.classify_intent(F.col("content")) == "search_knowledge")
+    found = search.knowledge_replies(search.knowledge_topk(t.knowledge(), asked)).withColumnRenamed("query_id", "event_id")
+    return ordered.route_in_order(
+        t.messages(), t.conversation_state(), t.job_events(), SITE,
+        new_run=F.col("event_id") * 10 + 1, next_run=F.col("extraction_run_id") + 1,
+        as_of=AS_OF, hours=WEEK_HOURS, knowledge=found,
+    )
+
+
+@query
+def catalog_replies(t: Derived) -> DataFrame:
+    asked = t.message_vectors().where(X.classify_refresh(F.col("content")) == "search")
+    found = search.product_replies(search.product_topk(t.product_pages(), asked)).withColumnRenamed("query_id", "event_id")
+    return routing.route_catalog(t.messages(), F.col("event_id") * 10 + 9, found)
+
+
 @query
 def chat_response(t: Derived) -> DataFrame:
     responses = routing.chat_response(route_messages(t))

@@ -147,6 +147,11 @@ class Derived:
             .alias("content"),
         )
 
+    def message_vectors(self) -> DataFrame:
+        """Vectors of the messages that have one, as a query set."""
+        vectors = self.raw("embeddings").select(F.col("vec_id").alias("event_id"), "embedding")
+        return self.messages().select("event_id", "content").join(vectors, "event_id").select(F.col("event_id").alias("query_id"), "content", "embedding")
+
     def job_status(self) -> DataFrame:
         """The hot tier: runs whose newest event is recent."""
         newest = F.struct("timestamp", "event_id")
@@ -226,3 +231,10 @@ class Derived:
                 "embedding",
             )
         )
+
+    def product_pages(self) -> DataFrame:
+        """Products with the content of their page."""
+        pages = self.raw("part").select(
+            F.col("p_partkey").alias("vec_id"), F.concat("p_brand", F.lit(", size "), F.col("p_size").cast("string"), F.lit(": "), "p_name").alias("content")
+        )
+        return self.products().join(pages, "vec_id")
