@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from vellumflow import vocabulary as V
 from vellumflow.functions.text import preview
 from vellumflow.functions.times import instant
+from vellumflow.operators.joins import lookup
 
 
 def newest_per(df: DataFrame, keys: list[str], by: str, tie: str, columns: list[str] | None = None) -> DataFrame:
@@ -30,6 +31,17 @@ def newest_per(df: DataFrame, keys: list[str], by: str, tie: str, columns: list[
     )
 
 
+def newest_of(df: DataFrame, wanted: DataFrame, key: str, by: str, tie: str, columns: list[str]) -> DataFrame:
+    """As ``newest_per``, for the wanted keys alone.
+
+    The newest rows are found by key, time and id; the other columns, texts among them, are
+    taken from these rows only.
+    """
+    newest = newest_per(df.select(key, by, tie), [key], by, tie, [tie])
+    chosen = wanted.join(newest, key)
+    return newest_per(lookup(df, chosen, [key, tie], "left_semi"), [key], by, tie, columns)
+
+
 def job_status_latest(ev: DataFrame) -> DataFrame:
     """One row per run: its newest event."""
     newest = newest_per(ev, ["run_id"], "timestamp", "event_id", ["agent", "sp_used", "event_type", "timestamp"])
@@ -53,18 +65,15 @@ def latest_summary(su: DataFrame) -> DataFrame:
 def summary_for_run(requested: DataFrame, su: DataFrame) -> DataFrame:
     """Newest summary text of each requested run, NULL for a miss."""
     wanted = requested.select("summarization_run_id").filter(F.col("summarization_run_id").isNotNull()).distinct()
-    return wanted.join(latest_summary(su), "summarization_run_id", "left")
+    newest = newest_of(su, wanted, "summarization_run_id", "summarized_at", "summary_id", ["summary_text"])
+    return wanted.join(newest, "summarization_run_id", "left")
 
 
 def latest_extraction(ex: DataFrame, requested: DataFrame) -> DataFrame:
-    """Newest extraction of each requested run; ``found`` is false for a miss.
-
-    The reduction comes before the join, so each task sheds superseded texts of
-    a run before anything is shuffled; the join then reuses its partitioning.
-    """
+    """Newest extraction of each requested run; ``found`` is false for a miss."""
     wanted = requested.select("extraction_run_id").distinct()
-    newest = newest_per(
-        ex, ["extraction_run_id"], "extracted_at", "extraction_id",
+    newest = newest_of(
+        ex, wanted, "extraction_run_id", "extracted_at", "extraction_id",
         ["extraction_id", "document_path", "extracted_text", "page_count", "extracted_at"],
     )
     return wanted.join(newest, "extraction_run_id", "left").select(

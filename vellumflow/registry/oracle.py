@@ -623,6 +623,8 @@ ORACLE["summary_for_run"] = with_views("summaries conversation_state", f"""
 SELECT w.summarization_run_id, x.summary_text FROM (SELECT DISTINCT summarization_run_id FROM conversation_state) w
 LEFT JOIN {LAST_SUMMARY} x ON w.summarization_run_id = x.summarization_run_id
 WHERE w.summarization_run_id IS NOT NULL""")
+ORACLE["run_status_by_run"] = ORACLE["run_status"]
+ORACLE["summary_by_run"] = with_views("summaries", f" SELECT summarization_run_id, summary_text FROM {LAST_SUMMARY} x")
 ORACLE["extraction_for_run"] = with_views("extracted_documents conversation_state", f"""
 SELECT w.extraction_run_id, x.extraction_id, x.document_path, x.extracted_text, x.page_count, x.extracted_at,
        x.extraction_id IS NOT NULL AS found
@@ -675,6 +677,11 @@ SELECT query_id, {filled(V.KNOWLEDGE_REPLY, results='results')} AS reply FROM r"
 ORACLE["product_topk"] = with_views("products", topk("products") + """
 SELECT query_id, CAST(rank AS INT) AS rank, vec_id,
        concat('• **', product_name, '** (', category, ') - $', format('{:,.2f}', price)) AS line FROM hits""")
+ORACLE["indexed_topk_exact"] = """
+WITH q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id % 50 = 0)
+, scored AS (SELECT query_id, vec_id, list_cosine_similarity(v, CAST(embedding AS DOUBLE[])) AS sim FROM q, embeddings)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(sim, 9) DESC, vec_id) AS INT) AS rank, vec_id, round(sim, 6) AS score
+FROM scored QUALIFY rank <= 3"""
 ORACLE["product_lines"] = f"SELECT p_partkey, concat('• **', p_name, '** (', p_type, ') - $', {PRICE}) AS line FROM part"
 ORACLE["request_volume"] = with_views("job_events", """
 SELECT 'hour' AS grain, date_trunc('hour', timestamp) AS bucket_start, COUNT(*) AS requests FROM job_events GROUP BY 2

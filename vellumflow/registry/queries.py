@@ -13,7 +13,7 @@ from vellumflow import vocabulary as V
 from vellumflow.functions import details as D
 from vellumflow.functions import text as X
 from vellumflow.operators import (
-    events, governance, latest, lineage, metrics, search, sequences, status, tiers, workflow,
+    events, governance, latest, lineage, metrics, search, sequences, status, tiers, vector_index, workflow,
 )
 from vellumflow.plans import extract, ordered, projection, routing, summarize, upload
 from vellumflow.session import scratch
@@ -416,6 +416,23 @@ def product_topk(t: Derived) -> DataFrame:
     return search.product_topk(t.products(), search.label_centroids(t.raw("embeddings")))
 
 
+def _every_fiftieth(t: Derived) -> DataFrame:
+    """The query set of the index: embeddings with an id divisible by 50, against all."""
+    return t.raw("embeddings").where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+
+
+@query
+def indexed_topk(t: Derived) -> DataFrame:
+    index = vector_index.build(t.raw("embeddings"), scratch(t.spark, "vectors"))
+    queries = _every_fiftieth(t)
+    return vector_index.search(index, queries, probes=vector_index.probes_for(index, queries))
+
+
+@query
+def indexed_topk_exact(t: Derived) -> DataFrame:
+    return vector_index.search_exact(vector_index.build(t.raw("embeddings"), scratch(t.spark, "vectors")), _every_fiftieth(t))
+
+
 @query
 def product_lines(t: Derived) -> DataFrame:
     return t.raw("part").select("p_partkey", search.product_line("p_name", "p_type", "p_retailprice").alias("line"))
@@ -700,8 +717,8 @@ def upload_batch(t: Derived) -> DataFrame:
 # --- the table store and whole jobs, each run twice ------------------------------------------
 
 
-def _store(t: Derived, **tables: DataFrame) -> TableStore:
-    store = TableStore(t.spark, scratch(t.spark, "tables"))
+def _store(t: Derived, by_run: bool = False, **tables: DataFrame) -> TableStore:
+    store = TableStore(t.spark, scratch(t.spark, "tables"), by_run)
     for name, rows in tables.items():
         store.append_new(name, rows)
         store.append_new(name, rows)
@@ -719,6 +736,18 @@ def named_table(t: Derived) -> DataFrame:
     return store_of.named_table(t.spark, "summaries").withColumn("summarized_at", F.col("summarized_at").cast(NTZ))
 
 
+@query
+def run_status_by_run(t: Derived) -> DataFrame:
+    requested = _extraction_runs(t)
+    return status.run_status(requested, _store(t, by_run=True, job_events=t.job_events()).read_runs("job_events", requested), as_of=AS_OF)
+
+
+@query
+def summary_by_run(t: Derived) -> DataFrame:
+    requested = _summary_runs(t).withColumnRenamed("run_id", "summarization_run_id")
+    return latest.summary_for_run(requested, _store(t, by_run=True, summaries=t.summaries()).read_runs("summaries", requested))
+
+
 @query
 def rows_to_frame(t: Derived) -> DataFrame:
     records = [
