@@ -2,14 +2,15 @@
 
 An Arrow string column is one buffer of UTF-8 bytes with offsets. The functions
 here work on blocks of whole documents of that buffer, so memory is bounded by
-``BLOCK_BYTES`` or the longest single text, whichever is larger. Hashes are 64-bit
-polynomials over a random byte table; ``mix`` spreads them over all bits.
+``BLOCK_BYTES`` or the longest single text, whichever is larger. Hashes are polynomials over
+random byte tables modulo the prime 2^31 - 1, under two bases, joined to 62 bits (modulo a power
+of two, some regular texts collide under every base); ``mix`` spreads them over all bits.
 """
 
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,10 @@ from pyspark import cloudpickle
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK_BYTES = 2 << 20
-BASE = 0x9E3779B97F4A7C15 | 1
+PRIME = (1 << 31) - 1
+#: Values that are hashed at a time.
+STEP = 1 << 14
+BASES = (1_318_914_061, 1_876_543_219)
 U64 = np.uint64
 
 LOWER = np.arange(256, dtype=np.uint8)
@@ -31,8 +35,9 @@ NOT_SPACE[[9, 10, 11, 12, 13, 32]] = False
 LETTER_DIGIT = np.zeros(256, bool)
 LETTER_DIGIT[0x30:0x3A] = LETTER_DIGIT[0x61:0x7B] = LETTER_DIGIT[0x80:] = True
 
-_TABLE = np.random.default_rng(20240101).integers(1, 1 << 63, 256, dtype=np.uint64) * U64(2) + U64(1)
-_state: dict[str, np.ndarray] = {}
+_TABLES = np.random.default_rng(20240101).integers(1, PRIME, (2, 256), dtype=np.uint64)
+#: Powers of the bases and of their inverses, as far as they were needed.
+_state: list[tuple[np.ndarray, np.ndarray]] = []
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -45,15 +50,34 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The base to the powers 0..n and their inverses, modulo 2**64."""
-    if len(_state.get("up", ())) <= n:
+def _folded(x: np.ndarray) -> np.ndarray:
+    """A value below 2^33 that is ``x`` modulo the prime."""
+    return (x & U64(PRIME)) + (x >> U64(31))
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """``x``, below 2^63, modulo the prime."""
+    x = _folded(_folded(x))
+    return np.subtract(x, U64(PRIME), out=x, where=x >= PRIME)
+
+
+def _row(base: int, size: int) -> np.ndarray:
+    """The powers of a base, by doubling."""
+    out = np.ones(size, np.uint32)
+    done, step = 1, base
+    while done < size:
+        more = min(done, size - done)
+        out[done : done + more] = _reduced(out[:more].astype(U64) * U64(step))
+        done, step = done + more, step * step % PRIME
+    return out
+
+
+def _powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each base its powers 0..n and those of its inverse."""
+    if not _state or len(_state[0][0]) <= n:
         size = max(n + 1, BLOCK_BYTES + (1 << 16))
-        for name, base in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
-            row = np.full(size, base, U64)
-            row[0] = 1
-            _state[name] = np.multiply.accumulate(row)
-    return _state["up"], _state["down"]
+        _state[:] = [(_row(base, size), _row(pow(base, -1, PRIME), size)) for base in BASES]
+    return _state
 
 
 def flat(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -77,23 +101,41 @@ def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int,
         i = min(j, n)
 
 
+def _sums(n: int, residues: Callable[[slice], Iterator[np.ndarray]]) -> np.ndarray:
+    """Running sums of residues below 2^31 times powers, one for each base, both in one value; in steps
+    that stay in the processor's cache."""
+    out, carry, powers = np.zeros(n + 1, U64), [U64(0), U64(0)], _powers(n)
+    for i in range(0, n, STEP):
+        part = slice(i, min(i + STEP, n))
+        sums = []
+        for k, r in enumerate(residues(part)):
+            sums.append(_reduced(np.cumsum(_folded(r * powers[k][0][part])) + carry[k]))
+            carry[k] = sums[-1][-1]
+        out[i + 1 : part.stop + 1] = sums[0] << U64(32) | sums[1]
+    return out
+
+
 def prefix_sums(values: np.ndarray) -> np.ndarray:
     """Running polynomial sums; ``span_hash`` turns two of them into the hash of a span."""
-    up, _ = _powers(len(values))
-    out = np.zeros(len(values) + 1, U64)
-    np.cumsum(values * up[: len(values)], out=out[1:])
-    return out
+    return _sums(len(values), lambda part: (_reduced(v >> U64(1)) for v in (values[part], mix(values[part]))))
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
     """The running sums of bytes."""
-    return prefix_sums(_TABLE[data])
+    return _sums(len(data), lambda part: (np.take(table, data[part]) for table in _TABLES))
 
 
 def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of the bytes of each span; equal bytes give equal hashes wherever they stand."""
-    _, down = _powers(len(prefix))
-    return mix((prefix[end] - prefix[start]) * down[start])
+    (_, first), (_, second) = _powers(len(prefix))
+    out, low = np.empty(len(start), U64), U64(0xFFFFFFFF)
+    for i in range(0, len(start), STEP):
+        at = start[i : i + STEP]
+        to, from_ = prefix[end[i : i + STEP]], prefix[at]
+        a = _reduced(((to >> U64(32)) + U64(PRIME) - (from_ >> U64(32))) * first[at])
+        b = _reduced(((to & low) + U64(PRIME) - (from_ & low)) * second[at])
+        out[i : i + STEP] = mix(a << U64(31) | b)
+    return out
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
