@@ -12,12 +12,16 @@ the sets. The join uses it twice:
   join keys. Sets with more empty blocks (rare, short texts) are dealt again under other
   seeds; under the last one their empty blocks are keys too. A set near its band's upper
   end also joins under the next band's scheme. No link can be missed.
-* Candidate pairs are dropped when their sizes, or the Hamming distance of their
+* Of its m keys a set needs only the d + 1 rarest (prefix filter): with the keys of all sets in
+  one order, by the number of sets that have them and empty blocks last, two sets that agree on
+  m - d blocks share one of the first d + 1 of each. A text that shares a common passage, or lies
+  far out in a cloud of near copies, has rare keys enough of its own and leaves the common ones out.
+* Pairs of a key are dropped within the join when their sizes, or the Hamming distance of their
   1024-bit sketches, exceed what a link allows; the rest are verified on the sets.
 
 Equal sets are one class, and classes, not documents, are joined. Sets that share a key
-are not paired with each other: the first class of a key is its centre and is paired
-with the others. After the links found so far are closed into components, keys whose
+are not paired with each other: the class of a key that has most keys in common with
+others is its centre and is paired with the others. After the links found so far are closed into components, keys whose
 classes are still in several components take their next 8, 64, 512, ... classes as
 centres, and only pairs in different components are verified, until every class has been
 a centre. So copies and near copies, however many, cost a star, and no link between
@@ -36,11 +40,13 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from vellumflow.llm import textbytes as B
 from vellumflow.llm.components import components
@@ -53,6 +59,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 U64 = np.uint64
 SKETCH_BITS = 1024
 SEEDS = 4
+TAGS = 2 * SEEDS  # a set's two schemes, each with its seeds
 BAND_GROWTH = 1.5
 KEY_ROWS = 4_000_000  # keys a reducing task sorts at once
 BLOB_KEYS = 4096  # keys of a bucket that a task packs together, on average
@@ -73,7 +80,7 @@ class Rule:
         self.edges = np.array(edges, np.int64)
         tops = self.edges[1:] - 1
         self.different = self.most_different(tops, tops)  # d of each band
-        self.blocks = self.different + 1 + np.maximum(2, self.different // 8)  # m of each band
+        self.blocks = 2 * self.different + 8  # m of each band
 
     def most_different(self, a, b):
         """Largest symmetric difference with which sets of these sizes link."""
@@ -125,9 +132,14 @@ def sketches(doc: np.ndarray, hashes: np.ndarray, n: int) -> np.ndarray:
     return np.packbits(parity.reshape(n, SKETCH_BITS), axis=1, bitorder="little").view("<i8")
 
 
-def block_keys(doc: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
-    """(document, join key): the sketches of the blocks of every set under its schemes."""
+def block_keys(doc: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, join key, allowances): the sketches of the blocks of every set under its schemes.
+
+    The last bits of a key tell scheme and seed apart. The allowance of a set for each of them is d + 1 less its
+    keys: with s of its keys shared, it needs the s + allowance rarest of these.
+    """
     out_doc, out_key = [], []
+    allowed = np.zeros((len(sizes), TAGS), np.int32)
     band = np.searchsorted(rule.edges, sizes, side="right") - 1
     upper = np.where((band >= 0) & (100 * sizes >= rule.percent * rule.edges[band + 1]), band + 1, -1)
     upper = np.where((band < 0) & (sizes > 0) & (100 * sizes >= rule.percent * rule.edges[0]), 0, upper)
@@ -148,32 +160,36 @@ def block_keys(doc: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, rule: Rul
             found = np.bitwise_xor.reduceat(B.mix(h ^ U64(0xA0761D6478BD642F)), start)
             owner, number = group[start] >> 34, group[start] & ((1 << 34) - 1)
             name = B.mix((scheme[owner] * SEEDS + seed).astype(U64) << U64(34) | number.astype(U64))
+            tag = ((scheme & 1) * SEEDS + seed).astype(U64)
             out_doc.append(owner)
-            out_key.append(B.mix(found ^ name))
+            out_key.append(B.mix(found ^ name) & ~U64(TAGS - 1) | tag[owner])
             filled = np.bincount(owner, minlength=len(sizes))
             need = np.where(wanted, rule.blocks[np.maximum(scheme, 0)] - rule.different[np.maximum(scheme, 0)], 0)
             empty = np.where(wanted, rule.blocks[np.maximum(scheme, 0)] - filled, -1)
+            own = np.flatnonzero(wanted)
+            allowed[own, tag[own].astype(np.int64)] = rule.different[scheme[own]] + 1 - filled[own]
             wanted = wanted & (empty >= need)
             if seed == SEEDS - 1:
                 for d in np.flatnonzero(wanted):  # next to never: empty blocks as keys
                     free = np.setdiff1d(np.arange(rule.blocks[scheme[d]]), number[owner == d])
                     name = B.mix(U64(int(scheme[d]) * SEEDS + seed) << U64(34) | free.astype(U64))
                     out_doc.append(np.full(len(free), d))
-                    out_key.append(B.mix(name ^ U64(0x5851F42D4C957F2D)))
+                    out_key.append(B.mix(name ^ U64(0x5851F42D4C957F2D)) & ~U64(TAGS - 1) | tag[d])
+                    allowed[d, int(tag[d])] = rule.blocks[scheme[d]]  # all of them
     none = np.zeros(0, np.int64)
-    return np.concatenate([none, *out_doc]), np.concatenate([none.astype(U64), *out_key])
+    return np.concatenate([none, *out_doc]), np.concatenate([none.astype(U64), *out_key]), allowed
 
 
 # --- passes over the texts ---------------------------------------------------------------
 
-SIGNED = "doc_id long, n long, f1 long, f2 long, sketch array<long>, bucket int, keys binary, classes binary"
+SIGNED = "doc_id long, n long, f1 long, f2 long, sketch array<long>, allowed array<int>, bucket int, keys binary, classes binary"
 
 
 def sign(docs: DataFrame, rule: Rule, buckets: int) -> DataFrame:
     """A row per document (doc_id, n, f1, f2, sketch), and rows of packed keys by bucket
     (``bucket`` not null) for the classes that a batch has."""
     names = [f.split()[0] for f in SIGNED.split(", ")]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.int32(), pa.binary(), pa.binary()]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.int32(), pa.binary(), pa.binary()]
 
     def packed(keys: np.ndarray, classes: np.ndarray) -> pa.RecordBatch:
         bucket = ((keys >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int32)
@@ -182,7 +198,7 @@ def sign(docs: DataFrame, rule: Rule, buckets: int) -> DataFrame:
         start = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(keys) else np.zeros(0, np.int64)
         ends = np.append(start[1:], len(keys))
         blobs = [[a[i:j].tobytes() for i, j in zip(start, ends)] for a in (keys, classes)]
-        nulls = [pa.nulls(len(start), t) for t in types[:5]]
+        nulls = [pa.nulls(len(start), t) for t in types[:6]]
         return pa.RecordBatch.from_arrays([*nulls, pa.array(bucket[start]), *[pa.array(b, pa.binary()) for b in blobs]], names=names)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,14 +211,16 @@ def sign(docs: DataFrame, rule: Rule, buckets: int) -> DataFrame:
                 f1, f2 = fingerprints(doc, hashes, sizes)
                 sketch = pa.FixedSizeListArray.from_arrays(pa.array(sketches(doc, hashes, j - i).reshape(-1)), SKETCH_BITS // 64).cast(types[4])
                 ids = batch.column(0).slice(i, j - i)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(sizes), pa.array(f1), pa.array(f2), sketch, *[pa.nulls(j - i, t) for t in types[5:]]], names=names)
                 # One set of each class is enough.
                 fresh = np.zeros(j - i, bool)
                 fresh[np.unique(f1, return_index=True)[1]] = True
                 fresh &= ~np.isin(f1, seen)
                 seen = np.concatenate([seen, f1[fresh]])
                 chosen = fresh[doc]
-                owner, keys = block_keys(doc[chosen], hashes[chosen], np.where(fresh, sizes, 0), rule)
+                owner, keys, allowed = block_keys(doc[chosen], hashes[chosen], np.where(fresh, sizes, 0), rule)
+                needs = pa.FixedSizeListArray.from_arrays(pa.array(allowed.reshape(-1)), TAGS).cast(types[5])
+                told = pa.compute.if_else(pa.array(fresh), needs, pa.nulls(j - i, types[5]))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(sizes), pa.array(f1), pa.array(f2), sketch, told, *[pa.nulls(j - i, t) for t in types[6:]]], names=names)
                 kept.append((keys, f1[owner]))
                 if sum(len(k) for k, _ in kept) > min(KEY_ROWS // 4, BLOB_KEYS * buckets):
                     yield packed(np.concatenate([k for k, _ in kept]), np.concatenate([c for _, c in kept]))
@@ -215,7 +233,7 @@ def sign(docs: DataFrame, rule: Rule, buckets: int) -> DataFrame:
 
 
 def shared_keys(signed: DataFrame, buckets: int) -> DataFrame:
-    """(key, cls, rank) of keys that at least two classes have; ranks of a key count from 0."""
+    """(key, cls, freq) of keys that at least two classes have, and how many have them."""
 
     def repeated(keys: np.ndarray, classes: np.ndarray) -> pa.RecordBatch:
         order = np.argsort(keys, kind="stable")
@@ -233,8 +251,8 @@ def shared_keys(signed: DataFrame, buckets: int) -> DataFrame:
             many = np.append(same, False) | np.append(False, same)
             keys, classes = keys[many], classes[many]
         start = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
-        rank = np.arange(len(keys)) - np.repeat(start, np.diff(np.append(start, len(keys))))
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(classes), pa.array(rank)], names=["key", "cls", "rank"])
+        size = np.diff(np.append(start, len(keys)))
+        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(classes), pa.array(np.repeat(size, size))], names=["key", "cls", "freq"])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, classes = [], []
@@ -250,7 +268,20 @@ def shared_keys(signed: DataFrame, buckets: int) -> DataFrame:
                 yield repeated(k[part == p], c[part == p])
 
     blobs = signed.where("bucket IS NOT NULL").select("bucket", "keys", "classes").repartition(buckets, "bucket")
-    return blobs.select("keys", "classes").mapInArrow(task, "key long, cls long, rank long")
+    return blobs.select("keys", "classes").mapInArrow(task, "key long, cls long, freq long")
+
+
+def rarest(shared: DataFrame, classes: DataFrame) -> DataFrame:
+    """(key, cls, rank) of the keys that the prefix filter keeps, where two classes keep them. Ranks of a key
+    count from 0, classes with most kept keys first."""
+    tagged = shared.withColumn("tag", F.col("key").bitwiseAND(TAGS - 1))
+    of_class = Window.partitionBy("cls", "tag")
+    placed = tagged.withColumns({"place": F.row_number().over(of_class.orderBy("freq", "key")), "n_shared": F.count(F.lit(1)).over(of_class)})
+    needs = placed.join(classes.select("cls", "allowed"), "cls").withColumn("kept", F.col("n_shared") + F.get("allowed", F.col("tag").cast("int")))
+    needs = needs.where("place <= kept")
+    of_key = Window.partitionBy("key")
+    ranked = needs.withColumns({"rank": F.row_number().over(of_key.orderBy(F.desc("kept"), "cls")) - 1, "n_kept": F.count(F.lit(1)).over(of_key)})
+    return ranked.where("n_kept > 1").select("key", "cls", F.col("rank").cast("long").alias("rank"))
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
@@ -273,14 +304,24 @@ def sets_of(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
 # --- the join ----------------------------------------------------------------------------
 
 
-def _links(pairs: DataFrame, classes: DataFrame, docs: DataFrame, rule: Rule, tables: Tables) -> DataFrame:
-    """(a, b) of the class pairs that link: size and sketch first, then the sets."""
-    side = lambda s: classes.select(F.col("cls").alias(s), F.col("n").alias(f"n_{s}"), F.col("sketch").alias(f"s_{s}"), F.col("rep").alias(f"r_{s}"))
-    near = pairs.join(side("a"), "a").join(side("b"), "b")
-    total = F.col("n_a") + F.col("n_b")
-    near = near.where(100 * F.least("n_a", "n_b") >= rule.percent * F.greatest("n_a", "n_b"))
-    hamming = F.aggregate(F.zip_with("s_a", "s_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
-    near = tables.keep(near.where(hamming * (100 + rule.percent) <= (100 - rule.percent) * total).select("a", "b", "r_a", "r_b"), "near")
+WORDS = [f"s{i}" for i in range(SKETCH_BITS // 64)]
+
+
+def _near(named: DataFrame, low: int, high: int, rule: Rule) -> DataFrame:
+    """(a, b, r_a, r_b): classes in different components that share a key, ``a`` one of its centres, and whose
+    sizes and sketches allow a link. Both stand beside the key, so the join itself drops the others."""
+    now = named.where((F.col("rank") >= low) & (F.col("rank") < high)).select("key", *[F.col(c).alias(f"{c}_a") for c in named.columns if c != "key"])
+    n, n_a = F.col("n"), F.col("n_a")
+    sizes = 100 * F.least(n, n_a) >= rule.percent * F.greatest(n, n_a)
+    hamming = reduce(lambda x, y: x + y, [F.bit_count(F.col(w).bitwiseXOR(F.col(f"{w}_a"))) for w in WORDS])
+    allowed = hamming * (100 + rule.percent) <= (100 - rule.percent) * (n + n_a)
+    found = lookup(named, now, ["key"], "inner").where((F.col("rank") > F.col("rank_a")) & (F.col("label") != F.col("label_a")) & sizes & allowed)
+    return found.select(F.col("cls_a").alias("a"), F.col("cls").alias("b"), F.col("rep_a").alias("r_a"), F.col("rep").alias("r_b")).distinct()
+
+
+def _links(near: DataFrame, docs: DataFrame, rule: Rule, tables: Tables) -> DataFrame:
+    """(a, b) of the pairs whose sets link."""
+    near = tables.keep(near, "near")
     reps = near.select(F.explode(F.array("r_a", "r_b")).alias("doc_id")).distinct()
     sets = tables.keep(sets_of(docs, reps, rule), "sets")
     own = lambda s: sets.select(F.col("f1").alias(s), F.col("n").alias(f"n_{s}"), F.col("shingles").alias(f"s_{s}"))
@@ -298,26 +339,26 @@ def join(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
     signed = round_.keep(sign(docs, rule, buckets), "signed")
     described = signed.where("bucket IS NULL")
     rows = lasting.keep(described.select("doc_id", "n", "f1", "f2"), "rows")
-    classes = described.where("n > 0").groupBy(F.col("f1").alias("cls"), "f2", "n").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"))
+    # A batch describes the keys of a class once.
+    told = [F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"), F.first("allowed", ignorenulls=True).alias("allowed")]
+    classes = described.where("n > 0").groupBy(F.col("f1").alias("cls"), "f2", "n").agg(*told)
     classes = tables.keep(classes.where("rep IS NOT NULL"), "classes")
-    members = tables.keep(shared_keys(signed, buckets), "members")
+    shared = round_.keep(shared_keys(signed, buckets), "shared")
+    about = classes.select("cls", "n", "rep", *[F.get("sketch", F.lit(i)).alias(w) for i, w in enumerate(WORDS)])
+    members = tables.keep(rarest(shared, classes).join(about, "cls"), "members")
     round_.discard()
 
     links, labels, low, high = None, None, 0, 1
     named = members.withColumn("label", F.col("cls"))
     while True:
         # Ranks from low up to high are this round's centres.
-        now = named.where((F.col("rank") >= low) & (F.col("rank") < high))
-        now = now.select("key", F.col("cls").alias("a"), F.col("rank").alias("rank_a"), F.col("label").alias("label_a"))
-        pairs = lookup(named, now, ["key"], "inner").where("rank > rank_a AND label <> label_a").select("a", F.col("cls").alias("b"))
-        found = _links(pairs.distinct(), classes, docs, rule, round_)
+        found = _links(_near(named, low, high, rule), docs, rule, round_)
         links = tables.keep(found if links is None else links.unionByName(found), "links")
         round_.discard()
         labels = components(links)
         low, high = high, high + CENTRE_GROWTH * (high - low)
         # Keys go on while their classes are in several components and some have not been centres.
-        members = named.select("key", "cls", "rank")
-        told = round_.keep(members.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls")), "told")
+        told = round_.keep(named.drop("label").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls")), "told")
         state = told.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.max("rank").alias("last"))
         state = state.where((F.col("least") < F.col("most")) & (F.col("last") > low)).select("key")
         named = tables.keep(lookup(told, state, ["key"], "inner"), "named")
