@@ -265,20 +265,30 @@ def byte_spans(text: bytes, spans: list[dict[str, int]]) -> list[dict[str, int]]
     return [{"start": int(edges[s["start"]]), "end": int(edges[s["end"]])} for s in spans]
 
 
-def digests(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 (of the bytes left) per row."""
-    found = repeated_spans(docs, length, gram)
-    rows = with_class(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
-    key = F.coalesce("doc_id", F.lit(-(1 << 62)))
+def united(spans: list[dict[str, int]]) -> list[dict[str, int]]:
+    """Spans of bytes sorted, and joined where they overlap or touch."""
+    out: list[dict[str, int]] = []
+    for s in sorted(spans, key=lambda s: s["start"]):
+        if out and s["start"] <= out[-1]["end"]:
+            out[-1]["end"] = max(out[-1]["end"], s["end"])
+        else:
+            out.append(dict(s))
+    return out
+
+
+def _cut_classes(rows: DataFrame, found: DataFrame, words: bool) -> DataFrame:
+    """(h1, h2, removed, spans, left): bytes and spans removed and the digest of what is left, of each class
+    in ``found``; removed is null for a class removed whole. ``rows``: (h1, h2, key, text)."""
     partly = found.where("NOT whole")
     # The text of one row of each class that is cut.
-    first = lookup(rows.select(*CLASS, key.alias("key")), partly.select(*CLASS), CLASS, "left_semi").groupBy(*CLASS).agg(F.min("key").alias("key"))
-    texts = rows.withColumn("key", key).join(first.join(partly, CLASS), [*CLASS, "key"]).dropDuplicates(CLASS)
+    first = lookup(rows.select(*CLASS, "key"), partly.select(*CLASS), CLASS, "left_semi").groupBy(*CLASS).agg(F.min("key").alias("key"))
+    texts = rows.join(first.join(partly, CLASS), [*CLASS, "key"]).dropDuplicates(CLASS)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             removed, spans, left = [], [], []
             for text, own in zip(batch.column(2).cast(pa.binary()).to_pylist(), batch.column(3).to_pylist()):
+                own = byte_spans(text, own) if words else own
                 removed.append(sum(s["end"] - s["start"] for s in own))
                 spans.append(len(own))
                 left.append(sha256(cut(text, own)).hexdigest())
@@ -286,32 +296,66 @@ def digests(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
 
     part = texts.select(*CLASS, "text", "spans").mapInArrow(task, "h1 long, h2 long, removed long, spans long, left string")
     whole = found.where("whole").select(*CLASS, F.lit(None).cast("long").alias("removed"), F.lit(1).cast("long").alias("spans"), F.sha2(F.lit(b""), 256).alias("left"))
-    base = rows.select("doc_id", *CLASS, F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha"))
-    told = lookup(base, part.unionByName(whole), CLASS)
-    removed = F.when(F.col("left").isNull(), F.lit(0)).otherwise(F.coalesce("removed", "n_bytes"))
-    return told.select("doc_id", "n_bytes", removed.alias("n_removed"), F.coalesce("spans", F.lit(0)).alias("n_spans"), F.coalesce("left", "sha").alias("kept_sha256"))
+    return part.unionByName(whole)
+
+
+def digests(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, passage: tuple[int, int] | None = None) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 (of the bytes left) per row.
+
+    With ``passage`` (words, words of a gram) also n_passage_removed and passage_kept_sha256: what the rule for
+    passages of words removes, judged on the input as well.
+    """
+    rows = with_class(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
+    keyed = rows.select(*CLASS, F.coalesce("doc_id", F.lit(-(1 << 62))).alias("key"), "text")
+    told = rows.select("doc_id", *CLASS, F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha"))
+    told = lookup(told, _cut_classes(keyed, repeated_spans(docs, length, gram), False), CLASS)
+
+    def removed() -> Column:
+        return F.when(F.col("left").isNull(), F.lit(0)).otherwise(F.coalesce("removed", "n_bytes"))
 
+    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    own = [F.coalesce("spans", F.lit(0)).alias("n_spans"), F.coalesce("left", "sha").alias("kept_sha256")]
+    told = told.select("doc_id", *CLASS, "n_bytes", "sha", removed().alias("n_removed"), *own)
+    if passage:
+        cut_words = _cut_classes(keyed, repeated_spans(docs, *passage, words=True), True)
+        told = lookup(told, cut_words, CLASS).withColumns({"n_passage_removed": removed(), "passage_kept_sha256": F.coalesce("left", "sha")})
+        columns += ["n_passage_removed", "passage_kept_sha256"]
+    return told.select(*columns)
 
-def clean(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, words: bool = False) -> DataFrame:
+
+def clean(
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, words: bool = False, also: tuple[tuple[int, int, bool], ...] = (),
+) -> DataFrame:
     """``docs`` with ``text`` without its repeated bytes and ``spans`` (what was removed, as bytes
-    of the text before). Bytes left of a character that was cut through go too."""
-    found = repeated_spans(docs, length, gram, words=words)
-    own = [c for c in docs.columns if c not in ("h1", "h2", "spans")]
-    told = lookup(with_class(docs.select(*[F.col(f"`{c}`") for c in own])), found, CLASS).drop(*CLASS)
-    schema = T.StructType([f for f in told.schema.fields if f.name not in ("whole", "spans")] + [T.StructField("spans", SPANS)])
+    of the text before). Bytes left of a character that was cut through go too.
+
+    ``also`` are further rules (length, gram, words); all are judged on the input, and what any of them finds goes.
+    """
+    rules = [(length, gram, words), *also]
+    others = [c for c in docs.columns if c not in ("text", "spans")]
+    # The other columns travel as one, whatever their names.
+    row = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.struct(F.lit(None).alias("none"))
+    told = with_class(docs.select("text", row.alias("row")))
+    for k, (n, g, w) in enumerate(rules):
+        found = repeated_spans(docs, n, g, words=w)
+        told = lookup(told, found.select(*CLASS, F.col("whole").alias(f"whole{k}"), F.col("spans").alias(f"spans{k}")), CLASS)
+    told = told.drop(*CLASS)
+    schema = T.StructType([told.schema["row"], T.StructField("text", T.StringType()), T.StructField("spans", SPANS)])
+    in_words = [w for _, _, w in rules]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         for batch in batches:
             column = {n: batch.column(k) for k, n in enumerate(batch.schema.names)}
             texts = column["text"].cast(pa.binary()).to_pylist()
-            spans = [
-                [{"start": 0, "end": len(t)}] if w else byte_spans(t, s) if s and words else (s or [])
-                for t, w, s in zip(texts, column.pop("whole").to_pylist(), column.pop("spans").to_pylist())
-            ]
+            spans: list[list[dict[str, int]]] = [[] for _ in texts]
+            for k, by_words in enumerate(in_words):
+                for i, (t, w, s) in enumerate(zip(texts, column[f"whole{k}"].to_pylist(), column[f"spans{k}"].to_pylist())):
+                    spans[i] += [{"start": 0, "end": len(t)}] if w else byte_spans(t, s) if s and by_words else (s or [])
+            spans = [united(s) for s in spans]
             left = [cut(t, s).decode("utf-8", "ignore") if s else None if t is None else t.decode("utf-8", "replace") for t, s in zip(texts, spans)]
-            column["text"] = pa.array(left, pa.string())
-            column["spans"] = pa.array(spans, kind)
-            yield pa.RecordBatch.from_arrays(list(column.values()), names=list(column))
+            yield pa.RecordBatch.from_arrays([column["row"], pa.array(left, pa.string()), pa.array(spans, kind)], names=["row", "text", "spans"])
 
-    return told.mapInArrow(task, schema)
+    out = told.mapInArrow(task, schema)
+    shown = [F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in docs.columns if c != "spans"]
+    return out.select(*shown, "spans")
