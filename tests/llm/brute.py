@@ -91,6 +91,27 @@ def without_passages(docs, length=51):
     return sorted(out, key=repr)
 
 
+def without_both(docs, words=51, length=400):
+    """(doc, what is left) without the windows of words and the strings of bytes that occur twice; bytes left
+    of a character that was cut through go too."""
+    raw = [(doc, (text or "").encode()) for doc, text in docs]
+    seen = Counter(t[i : i + length] for _, t in raw for i in range(len(t) - length + 1))
+    split = [[(m.start(), m.group()) for m in NOT_SPACE.finditer(t)] for _, t in raw]
+    passages = Counter(tuple(w for _, w in s[i : i + words]) for s in split for i in range(len(s) - words + 1))
+    out = []
+    for (doc, t), s in zip(raw, split):
+        gone = bytearray(len(t))
+        for i in range(len(t) - length + 1):
+            if seen[t[i : i + length]] > 1:
+                gone[i : i + length] = b"\1" * length
+        edges = [0, *[at for at, _ in s[1:]], len(t)]
+        for i in range(len(s) - words + 1):
+            if passages[tuple(w for _, w in s[i : i + words])] > 1:
+                gone[edges[i] : edges[i + words]] = b"\1" * (edges[i + words] - edges[i])
+        out.append((doc, bytes(b for b, g in zip(t, gone) if not g).decode("utf-8", "ignore")))
+    return sorted(out, key=repr)
+
+
 def base_counts(docs):
     out = []
     for doc, text in docs:

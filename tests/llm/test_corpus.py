@@ -315,7 +315,7 @@ def test_sketches_bound_the_difference():
             s = parity_join.sketches(doc, hashes, 2)
             hamming = int(np.unpackbits((s[0] ^ s[1]).view(np.uint8)).sum())
             assert hamming <= 2 * change
-            owner, keys = parity_join.block_keys(doc, hashes, np.array([size, size]), rule)
+            owner, keys, _ = parity_join.block_keys(doc, hashes, np.array([size, size]), rule)
             if 100 * (size - change) >= 85 * (size + change) and change:
                 assert set(keys[owner == 0]) & set(keys[owner == 1])
 
@@ -336,7 +336,8 @@ def test_components(spark):
 
 
 def test_repeats(spark, small):
-    assert tuples(queries.op6_suffix_dedup(spark, SF)) == brute.without_repeats(small[1])
+    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    assert tuples(queries.op6_suffix_dedup(spark, SF), *columns) == brute.without_repeats(small[1])
 
 
 @pytest.mark.parametrize(("length", "gram"), [(400, 64), (60, 16), (24, 8)])
@@ -474,8 +475,8 @@ def test_pipeline(spark, small):
     assert {r["doc_id"] for r in steps[-1][1]} == out and len(out) > 50
     pairs = [(r["doc_id"], r["text"]) for r in steps[1][0]]
     assert {r["doc_id"] for r in steps[1][1]} == {c for d, _, c in brute.near_components(pairs, 5, 80)}
-    left = {d: sha for d, _, _, _, sha in brute.without_repeats([(r["doc_id"], r["text"]) for r in steps[2][0]])}
-    assert all(sha256(r["text"].encode()).hexdigest() == left[r["doc_id"]] for r in steps[2][1] if r["text"].isascii())
+    left = [r for r in brute.without_both([(r["doc_id"], r["text"]) for r in steps[2][0]]) if r[1]]
+    assert sorted(((r["doc_id"], r["text"]) for r in steps[2][1]), key=repr) == left
     items = [tuple(r) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     dirty = {r[0] for r in brute.contamination([(r["doc_id"], r["text"]) for r in steps[3][0]], items) if r[5]}
     assert {r["doc_id"] for r in steps[3][1]} == {r["doc_id"] for r in steps[3][0]} - dirty
@@ -497,9 +498,10 @@ def test_pipeline_cuts_shared_passages_of_over_50_words(spark):
     assert tuples(got, "doc_id", "text") == sorted(want, key=repr)
 
 
-def test_pipeline_cuts_all_repeated_windows_of_words(spark, small):
+def test_pipeline_cuts_all_repeated_windows_of_words_and_bytes(spark, small):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    want = [r for r in brute.without_passages(small[1]) if r[1]]
+    want = [r for r in brute.without_both(small[1]) if r[1]]
+    assert want != [r for r in brute.without_passages(small[1]) if r[1]]
     got = corpus_pipeline.repeated_passages(spark, docs, SF).where("text <> ''")
     assert tuples(got, "doc_id", "text") == want
 
@@ -543,3 +545,93 @@ def test_hashes_do_not_depend_on_the_place():
     hashes, first = textbytes.words(data, offsets, textbytes.NOT_SPACE)
     assert first.tolist() == [0, 2, 2, 5, 6]
     assert hashes[0] == hashes[3] == hashes[5] and hashes[1] == hashes[4] != hashes[0]
+
+
+# --- texts that collide modulo a power of two, names that clash, packages that are missing -------------------
+
+
+def thue_morse(a, b, n):
+    bits = [0]
+    while len(bits) < n:
+        bits += [1 - x for x in bits]
+    return "".join(b if x else a for x in bits[:n])
+
+
+def test_regular_words_do_not_collide(spark):
+    for n in (512, 1024, 4096):
+        one, other = thue_morse("e", "t", n), thue_morse("t", "e", n)
+        docs = frame(spark, [(1, one), (2, other), (3, " ".join([one] * 60)), (4, " ".join([other] * 60))])
+        assert tuples(parity_join.join(docs), "doc_id", "component_id") == [(k, k) for k in (1, 2, 3, 4)]
+        found = phrase_index.decontaminate(docs, frame(spark, [(9, other)], "item_id long, text string"), scratch(spark, "index"))
+        assert tuples(found.where("contaminated"), "doc_id") == [(2,), (4,)]
+        data = np.frombuffer((one + other).encode(), np.uint8)
+        offsets = np.array([0, n, 2 * n])
+        hashes, _ = textbytes.words(data, offsets, textbytes.LETTER_DIGIT)
+        assert hashes[0] != hashes[1]  # as the classifier reads them
+        rng = random.Random(n)
+        filler = [" ".join("".join(rng.choice("xyz") for _ in range(9)) for _ in range(8)) for _ in range(2)]
+        texts = [(k, f"{f} {w} {f[:20]}") for k, (f, w) in enumerate(zip(filler, (one, other)))]
+        kept = suffix_dedup.clean(frame(spark, texts), 3, 2, words=True)
+        assert tuples(kept, "doc_id", "text") == brute.without_passages(texts, 3)
+
+
+def test_shared_passage_does_not_pair_all(spark):
+    """Many unlinked documents around one passage: few pairs come to the exact check."""
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(8))
+    passage = [word() for _ in range(60)]
+    docs = frame(spark, [(k, " ".join([word() for _ in range(12)] + passage + [word() for _ in range(12)])) for k in range(1500)]).repartition(4)
+    rule = parity_join.Rule()
+    signed = parity_join.Tables(spark).keep(parity_join.sign(docs, rule, 4), "signed")
+    classes = signed.where("bucket IS NULL").select(
+        F.col("f1").alias("cls"), "n", F.col("doc_id").alias("rep"), "allowed", *[F.get("sketch", F.lit(i)).alias(w) for i, w in enumerate(parity_join.WORDS)]
+    )
+    kept = parity_join.rarest(parity_join.shared_keys(signed, 4), classes).join(classes.drop("allowed"), "cls").withColumn("label", F.col("cls"))
+    assert parity_join._near(kept, 0, 1 << 30, rule).count() < 1500
+    assert parity_join.join(docs).where("doc_id <> component_id").count() == 0
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    rng = random.Random(8)
+    prose = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(80))
+    shared = prose()
+    rows = [(k, f"{prose()} {shared if k < 2 else ''}", "s", "en", 1, f"w{k}", k, "h", -k, [1], "r", "d", True) for k in range(4)]
+    names = "doc_id long, text string, source string, lang string, n_chars long, whole string, h1 long, h2 string, _row long, spans array<int>, row string, doc string, accepted boolean"
+    table = frame(spark, rows, names)
+    extra = [c.split()[0] for c in names.split(", ")][5:]
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, table, SF)
+        assert got.columns == table.columns
+        left = {r["doc_id"] for r in got.collect()}
+        assert tuples(got, "doc_id", *extra) == tuples(table.where(F.col("doc_id").isin(list(left))), "doc_id", *extra)
+    cut = corpus_pipeline.repeated_passages(spark, table, SF)
+    assert all(shared not in r["text"] for r in cut.collect()) and cut.count() == 4
+
+
+def test_broadcasts_name_no_class_of_the_package(spark):
+    import pickle
+
+    phrases = phrase_index.Phrases([(1, [3, 4]), (2, [4])], {3: 1, 4: 2})
+    shipped = phrase_index._shipped(spark, phrases)
+    assert b"vellumflow" not in pickle.dumps(shipped.value) and shipped.value.length.tolist() == [2, 1]
+    model = site_bayes.Model(np.zeros(1), np.zeros((1, 2)), np.zeros(2))
+    assert b"vellumflow" not in pickle.dumps(tuple(model))
+
+
+def test_preference_query_pairs_every_answered_conversation(spark, tmp_path):
+    turns = [(c, k, r, f"{c} {r}") for c in (-70, -1, 3, 4, 90, 2**61) for k, r in enumerate(["user", "assistant"])]
+    turns += [(5, 0, "user", "no answer"), (None, 0, "assistant", "nobody"), (90, 1, "assistant", "90 assistant")]
+    frame(spark, turns, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = queries.op8_preference(spark, str(tmp_path))
+    assert tuples(got, "conv_id") == sorted([(c,) for c in (-70, -1, 3, 4, 90, 2**61)], key=repr)
+    assert {r["n_common"] for r in got.where("conv_id <> 90").collect()} == {1}
+
+
+def test_passage_columns_of_the_digest(spark, small):
+    docs, texts = small
+    got = suffix_dedup.digests(docs, passage=(51, 10))
+    assert tuples(got, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.without_repeats(texts)
+    left = {d: t for d, t in brute.without_passages(texts)}
+    assert tuples(got, "doc_id", "passage_kept_sha256") == sorted(((d, sha256(t.encode()).hexdigest()) for d, t in left.items()), key=repr)
+    size = {d: len((t or "").encode()) for d, t in texts}
+    assert all(r["n_passage_removed"] == size[r["doc_id"]] - len(left[r["doc_id"]].encode()) for r in got.collect())

@@ -20,6 +20,7 @@ import struct
 import sys
 from array import array
 from collections.abc import Iterator
+from contextlib import contextmanager
 from hashlib import sha256
 
 import numpy as np
@@ -35,7 +36,7 @@ UNKNOWN = "<unk>"
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 RARE_SPACE = re.compile(f"[{SPACE}]".replace(" ", "").replace("\\t-\\r", "\\t\\v\\f\\r"))
 WIDE = re.compile(f"([{SPACE}]{{2,}}[^{SPACE}]*)")
-CACHE_CHUNKS = 600_000  # chunks of text whose ids a worker keeps
+CACHE_CHUNKS = 600_000  # chunks of text whose ids a task keeps
 LONGEST_CACHED = 64
 BATCH_ROWS = 256
 _coders: dict = {}
@@ -176,6 +177,16 @@ def coder(path: str, pattern: str) -> Coder:
     return _coders[path, pattern]
 
 
+@contextmanager
+def task_coder(path: str, pattern: str) -> Iterator[Coder]:
+    """The worker's coder; what a task cached goes when it ends, since workers live on."""
+    own = coder(path, pattern)
+    try:
+        yield own
+    finally:
+        own.cache.clear()
+
+
 def _added(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.RecordBatch:
     kept = [n for n in batch.schema.names if n not in columns]
     return pa.RecordBatch.from_arrays([batch.column(n) for n in kept] + list(columns.values()), names=[*kept, *columns])
@@ -190,14 +201,14 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text") -> DataFr
     """``df`` with ``ids``: the array of token ids of every text."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = coder(path, pattern)
-        for batch in batches:
-            for at in range(0, batch.num_rows, BATCH_ROWS):
-                part = batch.slice(at, BATCH_ROWS)
-                rows = own.encode([x or "" for x in part.column(part.schema.get_field_index(text)).to_pylist()])
-                ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
-                values = np.concatenate([*rows, np.zeros(0, own.type)]).astype(np.int32)
-                yield _added(part, {"ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(values))})
+        with task_coder(path, pattern) as own:
+            for batch in batches:
+                for at in range(0, batch.num_rows, BATCH_ROWS):
+                    part = batch.slice(at, BATCH_ROWS)
+                    rows = own.encode([x or "" for x in part.column(part.schema.get_field_index(text)).to_pylist()])
+                    ends = np.cumsum([0, *map(len, rows)]).astype(np.int32)
+                    values = np.concatenate([*rows, np.zeros(0, own.type)]).astype(np.int32)
+                    yield _added(part, {"ids": pa.ListArray.from_arrays(pa.array(ends), pa.array(values))})
 
     return df.mapInArrow(task, _with(df, [("ids", T.ArrayType(T.IntegerType()))]))
 
@@ -206,11 +217,11 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFram
     """``df`` with ``decoded``: the bytes of every row's ids."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = coder(path, pattern)
-        for batch in batches:
-            rows = batch.column(batch.schema.get_field_index(ids)).to_pylist()
-            found = [own.decode(np.array(r or [], np.int64)) for r in rows]
-            yield _added(batch, {"decoded": pa.array(found, pa.binary())})
+        with task_coder(path, pattern) as own:
+            for batch in batches:
+                rows = batch.column(batch.schema.get_field_index(ids)).to_pylist()
+                found = [own.decode(np.array(r or [], np.int64)) for r in rows]
+                yield _added(batch, {"decoded": pa.array(found, pa.binary())})
 
     return df.mapInArrow(task, _with(df, [("decoded", T.BinaryType())]))
 
@@ -221,16 +232,16 @@ def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text") -> Da
     kept = [f for f in df.schema.fields if f.name not in {text, *(n for n, _ in fields)}]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = coder(path, pattern)
-        for batch in batches:
-            for at in range(0, batch.num_rows, BATCH_ROWS):
-                part = batch.slice(at, BATCH_ROWS)
-                rows = own.encode([x or "" for x in part.column(part.schema.get_field_index(text)).to_pylist()])
-                found = {
-                    "n_tokens": pa.array(map(len, rows), pa.int64()),
-                    "ids_sha256": pa.array([own.digest(r) for r in rows], pa.string()),
-                    "decoded_sha256": pa.array([sha256(own.decode(r)).hexdigest() for r in rows], pa.string()),
-                }
-                yield _added(part.select([f.name for f in kept]), found)
+        with task_coder(path, pattern) as own:
+            for batch in batches:
+                for at in range(0, batch.num_rows, BATCH_ROWS):
+                    part = batch.slice(at, BATCH_ROWS)
+                    rows = own.encode([x or "" for x in part.column(part.schema.get_field_index(text)).to_pylist()])
+                    found = {
+                        "n_tokens": pa.array(map(len, rows), pa.int64()),
+                        "ids_sha256": pa.array([own.digest(r) for r in rows], pa.string()),
+                        "decoded_sha256": pa.array([sha256(own.decode(r)).hexdigest() for r in rows], pa.string()),
+                    }
+                    yield _added(part.select([f.name for f in kept]), found)
 
     return df.mapInArrow(task, T.StructType([*kept, *[T.StructField(n, t) for n, t in fields]]))

@@ -51,7 +51,7 @@ def _key(seed: int, id: str, text: str) -> Column:
     return F.conv(F.substring(F.md5(whole), 1, KEY_DIGITS), 16, 10).cast("long")
 
 
-def _before(rows: DataFrame, order: list[Column], values: list[str], tables: Tables) -> DataFrame:
+def before(rows: DataFrame, order: list[Column], values: list[str], tables: Tables) -> DataFrame:
     """``rows`` with the sums of ``values`` over all rows before in ``order``, as ``before_<value>``.
 
     Ranges of the order are written, summed one by one, and the sums of earlier ranges added.
@@ -74,7 +74,7 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     tables = Tables(sources.sparkSession)
     ones = sources.withColumn("one", F.lit(1).cast("long"))
     order = [F.col("source").isNull(), F.col("source"), F.col("name")]
-    ranked = _before(ones, order, ["one"], tables)
+    ranked = before(ones, order, ["one"], tables)
     at = F.pmod(F.col("before_one"), F.lit(len(weights)))
     weight = F.array(*[F.lit(w).cast("long") for w in weights])
     weighed = ranked.select("name", "source", "source_size", F.get(weight, at.cast("int")).alias("weight"))
@@ -83,7 +83,7 @@ def targets(sources: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int =
     total, heavy = sums["all"] or 0, sums["weights"] or 0
     # Sources by the level at which they stop; those that stop are the first in this order.
     stop = F.col("source_size") / F.col("weight")
-    swept = _before(weighed, [stop, F.col("name")], ["source_size", "weight"], tables)
+    swept = before(weighed, [stop, F.col("name")], ["source_size", "weight"], tables)
     wide = lambda c: c.cast("decimal(20,0)")
     left, rest = F.lit(total) - most * F.col("before_source_size"), F.lit(heavy) - F.col("before_weight")
     # A source stops if the level that it and all later ones would share is above its own.

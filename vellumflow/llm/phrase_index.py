@@ -28,11 +28,12 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 from hashlib import sha256
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark import Broadcast, cloudpickle
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from vellumflow.llm import textbytes as B
 from vellumflow.llm.tables import Tables
@@ -208,6 +209,11 @@ def _blocks(phrases: DataFrame, index: DataFrame) -> list[Phrases]:
     return [Phrases([(r[0], r[1]) for r in phrases.where(block == k).collect()], counts) for k in range(size)]
 
 
+def _shipped(spark: SparkSession, phrases: Phrases) -> Broadcast[SimpleNamespace]:
+    """A block for the tasks; as a plain object, since a broadcast names classes by their module."""
+    return spark.sparkContext.broadcast(SimpleNamespace(**vars(phrases)))
+
+
 def _rows(row: dict[str, bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ids = np.frombuffer(row["docs"], "<i8")
     missing = np.unpackbits(np.frombuffer(row["no_id"], np.uint8), count=len(ids)).astype(bool)
@@ -239,7 +245,7 @@ def matches(index: DataFrame, phrases: DataFrame, slop: int = 0) -> DataFrame:
 
     spark = index.sparkSession
     schema = "doc_id long, item_id long, first_word long, n_words long"
-    found = [index.mapInArrow(task_of(spark.sparkContext.broadcast(p)), schema) for p in _blocks(phrases, index)]
+    found = [index.mapInArrow(task_of(_shipped(spark, p)), schema) for p in _blocks(phrases, index)]
     out = found[0] if found else spark.createDataFrame([], schema)
     for more in found[1:]:
         out = out.unionByName(more)
@@ -251,7 +257,7 @@ def contamination(index: DataFrame, phrases: DataFrame) -> DataFrame:
     phrase), n_items, items_sha256 (of the ids of items that occur, sorted as strings and
     joined by commas) and contaminated (n_hit > 0 and 20 * n_hit >= n_words)."""
     spark = index.sparkSession
-    shipped = [spark.sparkContext.broadcast(p) for p in _blocks(phrases, index)]
+    shipped = [_shipped(spark, p) for p in _blocks(phrases, index)]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

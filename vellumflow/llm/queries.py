@@ -95,7 +95,8 @@ def op5_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    # The further columns judge by passages of over 50 words, however many bytes they have.
+    return suffix_dedup.digests(table(spark, sf_dir, "documents").select("doc_id", "text"), passage=(51, 10))
 
 
 @query
@@ -140,18 +141,25 @@ FROM ruled"""
 @query
 def op8_preference(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
-    # The rejected side of a conversation has the last reply of the next one in place of its own.
-    last = turns.where("role = 'assistant'").groupBy("conv_id").agg(F.max(F.struct("turn", "text")).alias("last"))
-    other = last.select((F.col("conv_id") - 1).alias("conv_id"), F.col("last.text").alias("reply"))
-    pairs = last.join(other, "conv_id").select("conv_id", F.col("last.turn").alias("at"), "reply")
-    swapped = turns.join(pairs, "conv_id").where("turn <= at").select(
-        (-1 - F.col("conv_id")).alias("conv_id"), "turn", "role", F.when(F.col("turn") == F.col("at"), F.col("reply")).otherwise(F.col("text")).alias("text")
+    # The rejected side of an answered conversation has the last reply of the next one, by id, in place of its
+    # own; the last one takes that of the first. Pairs go by the number of the conversation.
+    last = turns.where("role = 'assistant' AND conv_id IS NOT NULL").groupBy("conv_id").agg(F.max(F.struct("turn", "text")).alias("last"))
+    tables = Tables(spark)
+    answered = mixing.before(last.withColumn("one", F.lit(1).cast("long")), [F.col("conv_id")], ["one"], tables)
+    answered = tables.keep(answered.select("conv_id", F.col("before_one").alias("k"), F.col("last.turn").alias("at"), F.col("last.text").alias("own")), "answered")
+    n = answered.count()
+    replies = answered.select(F.pmod(F.col("k") - 1, F.lit(n) if n else F.lit(1)).alias("k"), F.col("own").alias("reply"))
+    pairs = answered.drop("own").join(replies, "k")
+    mine = turns.join(pairs, "conv_id")
+    chosen = mine.select((2 * F.col("k")).alias("conv_id"), "turn", "role", "text")
+    swapped = mine.where("turn <= at OR turn IS NULL").select(
+        (2 * F.col("k") + 1).alias("conv_id"), "turn", "role", F.when(F.col("turn") == F.col("at"), F.col("reply")).otherwise(F.col("text")).alias("text")
     )
-    wanted = pairs.select(F.col("conv_id").alias("chosen_id"), (-1 - F.col("conv_id")).alias("rejected_id"))
-    formatted = preference.format_pairs(turns.unionByName(swapped), wanted)
+    wanted = pairs.select((2 * F.col("k")).alias("chosen_id"), (2 * F.col("k") + 1).alias("rejected_id"), "conv_id")
+    formatted = preference.format_pairs(chosen.unionByName(swapped), wanted)
     trained = lambda c: F.aggregate(c, F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
     return formatted.select(
-        F.col("chosen_id").alias("conv_id"), "n_common", *[F.sha2(c, 256).alias(f"{c}_sha256") for c in ("prompt", "chosen", "rejected")],
+        "conv_id", "n_common", *[F.sha2(c, 256).alias(f"{c}_sha256") for c in ("prompt", "chosen", "rejected")],
         *[trained(F.col(f"{c}_mask")).alias(f"{c}_trained") for c in ("chosen", "rejected")],
     )
 
@@ -160,10 +168,11 @@ ORACLE["op8_preference"] = """
 WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
 last AS (SELECT conv_id, turn AS final, text AS reply FROM turns WHERE role = 'assistant'
          QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC, text DESC) = 1),
-pairs AS (SELECT l.conv_id, l.final, o.reply FROM last l JOIN last o ON o.conv_id = l.conv_id + 1),
+pairs AS (SELECT conv_id, final, CASE WHEN n = count(*) OVER () THEN first_value(reply) OVER w ELSE lead(reply) OVER w END AS reply
+          FROM (SELECT *, row_number() OVER (ORDER BY conv_id) AS n FROM last WHERE conv_id IS NOT NULL) WINDOW w AS (ORDER BY conv_id)),
 a AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS k FROM turns JOIN pairs USING (conv_id)),
 b AS (SELECT conv_id, role, said AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, said) AS k
-      FROM (SELECT *, CASE WHEN turn = final THEN reply ELSE text END AS said FROM turns JOIN pairs USING (conv_id) WHERE turn <= final)),
+      FROM (SELECT *, CASE WHEN turn = final THEN reply ELSE text END AS said FROM turns JOIN pairs USING (conv_id) WHERE turn <= final OR turn IS NULL)),
 common AS (SELECT a.conv_id, coalesce(min(a.k) FILTER (a.role <> b.role OR a.text <> b.text) - 1, count(*)) AS n_common
            FROM a JOIN b ON a.conv_id = b.conv_id AND a.k = b.k GROUP BY a.conv_id),
 sides AS (SELECT *, 'chosen' AS side, concat('<|', role, '|>', chr(10), text, chr(10)) AS shown FROM a
@@ -180,7 +189,7 @@ FROM sides JOIN common USING (conv_id) GROUP BY conv_id, n_common"""
 @query
 def op9_site_bayes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
-    judged = site_bayes.classify(docs, table(spark, sf_dir, "labels"), scratch(spark, "sites"))
+    judged = site_bayes.classify(docs, table(spark, sf_dir, "labels"), scratch(spark, "sites"), keep_text=False)
     return judged.select("doc_id", "junk_evidence", "toxic_evidence", "site_log_odds", "bad_log_odds", "accepted")
 
 
@@ -285,7 +294,8 @@ def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE["op13_mixing"] = rf"""
 WITH docs AS (
-  SELECT doc_id, source, len(list_filter(string_split_regex(coalesce(text, ''), '[ 	-]+'), lambda w: w <> '')) AS size,
+  SELECT doc_id, source, len(list_filter(string_split_regex(coalesce(text, ''), '[ 	-
+]+'), lambda w: w <> '')) AS size,
          CAST(concat('0x', substr(md5(concat('{mixing.SEED}:', doc_id, ':', text)), 1, {mixing.KEY_DIGITS})) AS BIGINT) AS key
   FROM documents),
 sized AS (

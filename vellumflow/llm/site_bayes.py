@@ -161,11 +161,12 @@ def _logistic(row: np.ndarray, column: np.ndarray, target: np.ndarray, size: int
 def evidence(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with junk_evidence and toxic_evidence, the log odds of each kind."""
     names = [f"{k}_evidence" for k in KINDS]
-    shipped = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
+    # Bounded by the sample; as plain arrays, since a broadcast names classes by their module.
+    shipped = docs.sparkSession.sparkContext.broadcast(tuple(model))
     schema = T.StructType([f for f in docs.schema.fields if f.name not in names] + [T.StructField(n, T.DoubleType()) for n in names])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = shipped.value
+        own = Model(*shipped.value)
         for batch in batches:
             data, offsets = B.flat(batch.column(batch.schema.get_field_index(text)))
             scores = np.tile(own.intercepts, (batch.num_rows, 1))
@@ -225,20 +226,26 @@ def site_posteriors(scored: DataFrame, folder: str) -> DataFrame:
     return rows.select(*SITE, (F.log(F.col("p") / (1 - F.col("p"))) - float(np.log(share / (1 - share)))).alias("site_log_odds"))
 
 
-def classify(docs: DataFrame, labels: DataFrame, folder: str, host: str = "source", path: str = "lang", rows: int = SAMPLE_ROWS) -> DataFrame:
-    """``docs`` with the evidences, site_log_odds, bad_log_odds and accepted; the site table
-    is written under ``folder``."""
+def classify(
+    docs: DataFrame, labels: DataFrame, folder: str, host: str = "source", path: str = "lang", rows: int = SAMPLE_ROWS, keep_text: bool = True,
+) -> DataFrame:
+    """``docs`` with the evidences, site_log_odds, bad_log_odds and accepted; without ``text`` unless it is to be
+    kept. The scored rows and the site table are written under ``folder``: every text is scored once."""
     kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in (*ADDED, *SITE)])
     model = fit(kept, labels, rows)
     site = {"_host": F.coalesce(F.col(host), F.lit("")), "_path": F.coalesce(F.col(path), F.lit(""))}
-    narrow = evidence(kept.select("text", *[c.alias(n) for n, c in site.items()]), model)
-    site_posteriors(narrow.select(*SITE, bad_log_odds().alias("bad_log_odds")), folder).write.parquet(f"{folder}/sites")
-    sites = docs.sparkSession.read.parquet(f"{folder}/sites")
     scored = evidence(kept, model).withColumns(site)
+    if not keep_text:
+        scored = scored.drop("text")
+    scored.write.parquet(f"{folder}/scored")
+    scored = docs.sparkSession.read.schema(scored.schema).parquet(f"{folder}/scored")
+    site_posteriors(scored.select(*SITE, bad_log_odds().alias("bad_log_odds")), folder).write.parquet(f"{folder}/sites")
+    sites = docs.sparkSession.read.parquet(f"{folder}/sites")
     if sites.count() <= BROADCAST_SITES:
         judged = scored.join(F.broadcast(sites), SITE, "left")
     else:
         judged = lookup(scored, sites, SITE)
     log_odds = F.coalesce("site_log_odds", F.lit(0.0)) + bad_log_odds()
     judged = judged.withColumn("site_log_odds", F.coalesce("site_log_odds", F.lit(0.0))).withColumn("bad_log_odds", log_odds)
-    return judged.withColumn("accepted", F.col("bad_log_odds") < 0).select(*kept.columns, *ADDED)
+    shown = [c for c in kept.columns if keep_text or c != "text"]
+    return judged.withColumn("accepted", F.col("bad_log_odds") < 0).select(*[F.col(f"`{c}`") for c in shown], *ADDED)
