@@ -14,55 +14,63 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from vellumflow.llm import byte_bpe, parity_join, phrase_index, site_bayes, suffix_dedup
 from vellumflow.llm.parity_join import Rule
 from vellumflow.llm.tables import Tables
-from vellumflow.operators.joins import lookup
 from vellumflow.session import scratch
 
 #: Near duplicates: shingles of five words, a similarity of 0.8 or more.
 NEAR = Rule(words=5, percent=80)
-#: Number of a row within a stage.
-ROW = "_row"
-#: Repeated passages: over 50 words, judged by all windows of 51; samples by grams of ten words.
-PASSAGE_WORDS, PASSAGE_GRAM = 51, 10
+#: Repeated passages: over 50 words, judged by all windows of 51, or 400 bytes; samples by grams.
+PASSAGE, STRING = (51, 10, True), (400, 64, False)
 
 
 def numbered(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """``docs`` written with a number per row, ``_row``: ids may be null or repeated."""
-    return Tables(spark).keep(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+    """(row, doc, doc_id, text): ``docs`` written with a number per row, since ids may be null or repeated; ``doc``
+    holds all columns, whatever their names."""
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("doc"), "doc_id", "text")
+    return Tables(spark).keep(rows, "numbered")
+
+
+def unpacked(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` from ``doc`` and ``text``."""
+    return rows.select(*[F.col("text") if c == "text" else F.col("doc").getField(c).alias(c) for c in docs.columns])
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return site_bayes.classify(docs, labels, scratch(spark, "sites")).where("accepted").select(*docs.columns)
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    rows = docs.select("doc_id", "text", "source", "lang", doc.alias("doc"))
+    return unpacked(site_bayes.classify(rows, labels, scratch(spark, "sites")).where("accepted"), docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies: the one with the smallest id, null last, and of
     rows with this id one. Documents without a word, which no set describes, all stay."""
     rows = numbered(spark, docs)
-    groups = parity_join.join(rows.select(F.col(ROW).alias("doc_id"), "text"), NEAR)
-    ranked = groups.select(F.col("doc_id").alias(ROW), "component_id").join(rows.select(ROW, "doc_id"), ROW)
-    rank = F.struct(F.col("doc_id").isNull(), "doc_id", ROW)
+    groups = parity_join.join(rows.select(F.col("row").alias("doc_id"), "text"), NEAR)
+    ranked = groups.select(F.col("doc_id").alias("row"), "component_id").join(rows.select("row", "doc_id"), "row")
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
     # An aggregate, so that a group of very many rows is reduced before the shuffle.
-    first = ranked.groupBy("component_id").agg(F.min(rank).alias("first")).select(f"first.{ROW}")
-    return rows.join(first, ROW, "left_semi").select(*docs.columns)
+    first = ranked.groupBy("component_id").agg(F.min(rank).alias("first")).select("first.row")
+    return unpacked(rows.join(first, "row", "left_semi"), docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without passages of over 50 words that are repeated, however few bytes they have;
-    documents with nothing left go. Words end at blanks: a script without blanks has none to count."""
-    cut = suffix_dedup.clean(docs, PASSAGE_WORDS, PASSAGE_GRAM, words=True)
-    cut = cut.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text")).otherwise(F.col("n_chars")))
-    return cut.where("size(spans) = 0 OR text <> ''").select(*docs.columns)
+    """Texts without passages of over 50 words and strings of 400 bytes that are repeated; documents with
+    nothing left go. Words end at blanks: in a script without blanks the bytes decide."""
+    doc = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    cut = suffix_dedup.clean(docs.select("doc_id", "text", doc.alias("doc")), *PASSAGE, also=(STRING,))
+    n_chars = F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("doc.n_chars"))
+    cut = cut.where("size(spans) = 0 OR text <> ''").withColumn("doc", F.col("doc").withField("n_chars", n_chars))
+    return unpacked(cut, docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no benchmark item contaminates, judged row by row."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     rows = numbered(spark, docs)
-    found = phrase_index.decontaminate(rows.select(F.col(ROW).alias("doc_id"), "text"), items, scratch(spark, "index"))
-    bad = found.where("contaminated").select(F.col("doc_id").alias(ROW))
-    return rows.join(bad, ROW, "left_anti").select(*docs.columns)
+    found = phrase_index.decontaminate(rows.select(F.col("row").alias("doc_id"), "text"), items, scratch(spark, "index"))
+    bad = found.where("contaminated").select(F.col("doc_id").alias("row"))
+    return unpacked(rows.join(bad, "row", "left_anti"), docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
