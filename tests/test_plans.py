@@ -17,7 +17,7 @@ from vellumflow.sources.store import TableStore
 QUERIES = registry.QUERIES
 PYTHON_ALLOWED = {"knowledge_topk", "knowledge_reply", "product_topk", "catalog_replies"}
 # Building these writes files or runs a stream first.
-EAGER = {"route_in_order", "indexed_topk", "indexed_topk_exact", "run_status_by_run", "summary_by_run", "read_documents", "list_summaries", "get_summary", "synced_status", "dedup_events", "live_volume", "stage_trigger", "silent_runs",
+EAGER = {"replayed_changes", "route_in_order", "indexed_topk", "indexed_topk_exact", "run_status_by_run", "summary_by_run", "read_documents", "list_summaries", "get_summary", "synced_status", "dedup_events", "live_volume", "stage_trigger", "silent_runs",
          "table_roundtrip", "named_table", "rows_to_frame", "extract_pipeline", "summarize_pipeline", "upload_pipeline"}
 
 

@@ -892,3 +892,38 @@ FROM {LAST_EXTRACTION} y
 WHERE NOT contains(extracted_text, '|') AND extraction_run_id IN
       (SELECT run_id FROM {last_event(V.EXTRACTION)} l WHERE event_type = 'ExtractionJobCompleted')""")
 ORACLE["upload_pipeline"] = ORACLE["upload_batch"]
+
+ORACLE["request_bursts"] = with_views("messages", """
+, m AS (SELECT *, lag(ts, 2) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS since FROM messages)
+SELECT user_id, event_id, ts, since FROM m WHERE epoch_us(ts) - epoch_us(since) < 21600000000""")
+
+
+def _over_budget(key: str, hours: int, budget: float) -> str:
+    return with_views("agent_usage", f"""
+, s AS (SELECT {key}, timestamp, invocation_id, sum(cost) OVER (
+          PARTITION BY {key} ORDER BY timestamp RANGE BETWEEN INTERVAL {hours * 3600 * 1_000_000 - 1} MICROSECONDS PRECEDING AND CURRENT ROW) AS spent
+        FROM agent_usage)
+SELECT {key}, timestamp, invocation_id, CAST(spent AS DOUBLE) AS spent FROM s WHERE spent > {budget}""")
+
+
+ORACLE["budget_by_user"] = _over_budget("user_id", 24, 0.5)
+ORACLE["budget_by_agent"] = _over_budget("agent_id", 6, 5.0)
+_STATE = ["state_id", "user_id", "document_path", "extraction_run_id", "summarization_run_id", "current_stage", "triggered_at", "status"]
+_AFTER = f"SELECT * FROM ({ORACLE['advance_state']}) x WHERE status <> 'completed' OR current_stage <> 'completed'"
+_CHANGED = "(" + " OR ".join(f"b.{c} IS DISTINCT FROM a.{c}" for c in _STATE) + ")"
+
+
+def _side(side: str, kind: str, where: str) -> str:
+    shown = ", ".join(f"{side}.{c}" for c in _STATE)
+    return (
+        f"SELECT {shown}, '{kind}' AS change_type, CAST(1 AS BIGINT) AS change_version "
+        f"FROM conversation_state b FULL JOIN after_ a ON a.state_id = b.state_id WHERE {where}"
+    )
+
+
+ORACLE["table_changes"] = with_views("conversation_state", f", after_ AS ({_AFTER}) " + " UNION ALL ".join([
+    _side("a", "insert", "b.state_id IS NULL"), _side("b", "delete", "a.state_id IS NULL"),
+    _side("b", "update_before", f"a.state_id IS NOT NULL AND b.state_id IS NOT NULL AND {_CHANGED}"),
+    _side("a", "update_after", f"a.state_id IS NOT NULL AND b.state_id IS NOT NULL AND {_CHANGED}"),
+]))
+ORACLE["replayed_changes"] = f"SELECT {', '.join(_STATE)} FROM ({_AFTER}) y"

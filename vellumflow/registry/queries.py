@@ -13,11 +13,11 @@ from vellumflow import vocabulary as V
 from vellumflow.functions import details as D
 from vellumflow.functions import text as X
 from vellumflow.operators import (
-    events, governance, latest, lineage, metrics, search, sequences, status, tiers, vector_index, workflow,
+    events, governance, latest, limits, lineage, metrics, search, sequences, status, tiers, vector_index, workflow,
 )
 from vellumflow.plans import extract, ordered, projection, routing, summarize, upload
 from vellumflow.session import scratch
-from vellumflow.sources import files, store as store_of
+from vellumflow.sources import feed, files, store as store_of
 from vellumflow.sources.derived import Derived
 from vellumflow.sources.store import TableStore
 from vellumflow.streaming import changes, streams
@@ -714,6 +714,46 @@ def upload_batch(t: Derived) -> DataFrame:
     return upload.upload_events(upload.upload_manifest(t.job_events(), t.summaries(), SITE), AS_OF)
 
 
+# --- limits over any interval, change feed -------------------------------------------------
+
+
+@query
+def request_bursts(t: Derived) -> DataFrame:
+    return limits.bursts(t.messages(), "user_id", "ts", "event_id", limit=2, seconds=6 * 3600)
+
+
+@query
+def budget_by_user(t: Derived) -> DataFrame:
+    over = limits.over_budget(t.agent_usage(), "user_id", "timestamp", "invocation_id", "cost", budget=0.5, seconds=24 * 3600)
+    return over.withColumn("spent", F.col("spent").cast("double"))
+
+
+@query
+def budget_by_agent(t: Derived) -> DataFrame:
+    over = limits.over_budget(t.agent_usage(), "agent_id", "timestamp", "invocation_id", "cost", budget=5.0, seconds=6 * 3600)
+    return over.withColumn("spent", F.col("spent").cast("double"))
+
+
+def _state_changes(t: Derived) -> DataFrame:
+    st = t.conversation_state()
+    after = workflow.advance_state(st, t.job_events(), F.col("extraction_run_id") + 1, AS_OF, WHOLE_LOG_HOURS)
+    return feed.table_changes(st, after.where("status <> 'completed' OR current_stage <> 'completed'"), ["state_id"], 1)
+
+
+@query
+def table_changes(t: Derived) -> DataFrame:
+    return _state_changes(t)
+
+
+@query
+def replayed_changes(t: Derived) -> DataFrame:
+    st = t.conversation_state()
+    log = feed.ChangeFeed(t.spark, scratch(t.spark, "feed"), st.schema)
+    for _ in range(2):  # a repeated job replaces its version
+        log.write(_state_changes(t))
+    return feed.replay(st, log.read(since=1), ["state_id"])
+
+
 # --- the table store and whole jobs, each run twice ------------------------------------------
 
 
