@@ -307,17 +307,15 @@ def sets_of(docs: DataFrame, wanted: DataFrame, rule: Rule) -> DataFrame:
 WORDS = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 
 
-def _near(named: DataFrame, about: DataFrame, low: int, high: int, rule: Rule) -> DataFrame:
+def _near(named: DataFrame, low: int, high: int, rule: Rule) -> DataFrame:
     """(a, b, r_a, r_b): classes in different components that share a key, ``a`` one of its centres, and whose
-    sizes and sketches allow a link. Both are put beside the key for this join alone, which so drops the others."""
-    centres = named.where((F.col("rank") >= low) & (F.col("rank") < high))
-    told, now = named.join(about, "cls"), centres.join(about, "cls")
-    now = now.select("key", *[F.col(c).alias(f"{c}_a") for c in now.columns if c != "key"])
+    sizes and sketches allow a link. Both stand beside the key, so the join itself drops the others."""
+    now = named.where((F.col("rank") >= low) & (F.col("rank") < high)).select("key", *[F.col(c).alias(f"{c}_a") for c in named.columns if c != "key"])
     n, n_a = F.col("n"), F.col("n_a")
     sizes = 100 * F.least(n, n_a) >= rule.percent * F.greatest(n, n_a)
     hamming = reduce(lambda x, y: x + y, [F.bit_count(F.col(w).bitwiseXOR(F.col(f"{w}_a"))) for w in WORDS])
     allowed = hamming * (100 + rule.percent) <= (100 - rule.percent) * (n + n_a)
-    found = lookup(told, now, ["key"], "inner").where((F.col("rank") > F.col("rank_a")) & (F.col("label") != F.col("label_a")) & sizes & allowed)
+    found = lookup(named, now, ["key"], "inner").where((F.col("rank") > F.col("rank_a")) & (F.col("label") != F.col("label_a")) & sizes & allowed)
     return found.select(F.col("cls_a").alias("a"), F.col("cls").alias("b"), F.col("rep_a").alias("r_a"), F.col("rep").alias("r_b")).distinct()
 
 
@@ -355,7 +353,7 @@ def join(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
     named = members.withColumn("label", F.col("cls"))
     while True:
         # Ranks from low up to high are this round's centres.
-        found = _links(_near(named, about, low, high, rule), docs, rule, round_)
+        found = _links(_near(named.join(about, "cls"), low, high, rule), docs, rule, round_)
         links = tables.keep(found if links is None else links.unionByName(found), "links")
         round_.discard()
         labels = components(links)
