@@ -927,3 +927,21 @@ ORACLE["table_changes"] = with_views("conversation_state", f", after_ AS ({_AFTE
     _side("a", "update_after", f"a.state_id IS NOT NULL AND b.state_id IS NOT NULL AND {_CHANGED}"),
 ]))
 ORACLE["replayed_changes"] = f"SELECT {', '.join(_STATE)} FROM ({_AFTER}) y"
+
+# Sketches are exact up to sketches.K values, so this holds while no agent has more in a day.
+ORACLE["latency_by_hour"] = with_views("agent_usage", """
+, g AS (SELECT 'hour' AS grain, date_trunc('hour', timestamp) AS bucket_start, agent_id, latency_ms FROM agent_usage
+        UNION ALL
+        SELECT 'day', CAST(date_trunc('day', timestamp) AS TIMESTAMP), agent_id, latency_ms FROM agent_usage)
+, r AS (SELECT *, row_number() OVER (PARTITION BY grain, bucket_start, agent_id ORDER BY latency_ms) AS rn,
+               COUNT(*) OVER (PARTITION BY grain, bucket_start, agent_id) AS n FROM g WHERE latency_ms IS NOT NULL)
+SELECT grain, bucket_start, agent_id, MAX(n) AS requests, CAST(MIN(CASE WHEN rn >= 0.5 * n THEN latency_ms END) AS DOUBLE) AS p50,
+       CAST(MIN(CASE WHEN rn >= 0.95 * n THEN latency_ms END) AS DOUBLE) AS p95,
+       CAST(MIN(CASE WHEN rn >= 0.99 * n THEN latency_ms END) AS DOUBLE) AS p99 FROM r GROUP BY 1, 2, 3""")
+ORACLE["listed_terms"] = """
+WITH RECURSIVE terms AS (SELECT DISTINCT lower(w) AS term FROM (SELECT unnest(string_split(text, ' ')) AS w FROM benchmark) x WHERE length(w) >= 6)
+, texts AS (SELECT doc_id, lower(text) AS body FROM documents)
+, hits AS (SELECT doc_id, term, body[instr(body, term) + 1:] AS rest FROM texts, terms WHERE contains(body, term)
+           UNION ALL
+           SELECT doc_id, term, rest[instr(rest, term) + 1:] FROM hits WHERE contains(rest, term))
+SELECT doc_id, term, COUNT(*) AS n FROM hits GROUP BY 1, 2"""

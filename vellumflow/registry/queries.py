@@ -13,7 +13,7 @@ from vellumflow import vocabulary as V
 from vellumflow.functions import details as D
 from vellumflow.functions import text as X
 from vellumflow.operators import (
-    events, governance, latest, limits, lineage, metrics, search, sequences, status, tiers, vector_index, workflow,
+    events, governance, latest, limits, lineage, metrics, search, sequences, sketches, status, terms, tiers, vector_index, workflow,
 )
 from vellumflow.plans import extract, ordered, projection, routing, summarize, upload
 from vellumflow.session import scratch
@@ -734,6 +734,20 @@ def budget_by_agent(t: Derived) -> DataFrame:
     return over.withColumn("spent", F.col("spent").cast("double"))
 
 
+@query
+def latency_by_hour(t: Derived) -> DataFrame:
+    target = scratch(t.spark, "latency")
+    usage = Derived.as_agent_usage(streams.event_stream(t.spark, t.root, t.raw("events").schema, "events.parquet"))
+    sketches.keep(usage, "agent_id", "timestamp", "latency_ms", target, f"{target}/checkpoint").awaitTermination()
+    return sketches.over_time(sketches.kept(t.spark, target), "agent_id")
+
+
+@query
+def listed_terms(t: Derived) -> DataFrame:
+    words = t.raw("benchmark").select(F.explode(F.split("text", " ")).alias("term"))
+    return terms.term_matches(t.raw("documents"), "doc_id", "text", words.where("char_length(term) >= 6"))
+
+
 def _state_changes(t: Derived) -> DataFrame:
     st = t.conversation_state()
     after = workflow.advance_state(st, t.job_events(), F.col("extraction_run_id") + 1, AS_OF, WHOLE_LOG_HOURS)

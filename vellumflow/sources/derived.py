@@ -183,7 +183,11 @@ class Derived:
         )
 
     def agent_usage(self) -> DataFrame:
-        return self.raw("events").select(
+        return self.as_agent_usage(self.raw("events"))
+
+    @staticmethod
+    def as_agent_usage(raw: DataFrame) -> DataFrame:
+        return raw.select(
             F.col("event_id").cast("string").alias("invocation_id"),
             _pick(_k() % 3 + 1, [x.name for x in V.AGENTS]).alias("agent_id"),
             F.col("user_id").cast("string").alias("user_id"),
