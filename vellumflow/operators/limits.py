@@ -18,7 +18,7 @@ def _micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
-def _sliced(rows: DataFrame, ts: str, seconds: int) -> DataFrame:
+def sliced(rows: DataFrame, ts: str, seconds: int) -> DataFrame:
     """``rows`` with ``_at`` (microseconds), in their own slice (``_own``) and the next one."""
     at = _micros(F.col(ts))
     slice_ = F.floor(at / F.lit(seconds * MICROS)).cast("long")
@@ -35,7 +35,7 @@ def bursts(rows: DataFrame, key: str, ts: str, event_id: str, limit: int, second
     """
     narrow = rows.select(key, ts, event_id).where(F.col(key).isNotNull())
     order = Window.partitionBy(key, "_slice").orderBy("_at", event_id)
-    seen = _sliced(narrow, ts, seconds).withColumns({"since": F.lag(ts, limit).over(order), "_since": F.lag("_at", limit).over(order)})
+    seen = sliced(narrow, ts, seconds).withColumns({"since": F.lag(ts, limit).over(order), "_since": F.lag("_at", limit).over(order)})
     over = F.col("_own") & (F.col("_at") - F.col("_since") < seconds * MICROS)
     return seen.where(over).select(key, event_id, ts, "since")
 
@@ -52,5 +52,5 @@ def over_budget(rows: DataFrame, key: str, ts: str, event_id: str, cost: str, bu
     them, the event and those of its very moment included, one exactly ``seconds`` older not; a missing cost is 0."""
     narrow = rows.select(key, ts, event_id, cost).where(F.col(key).isNotNull())
     before = Window.partitionBy(key, "_slice").orderBy("_at").rangeBetween(-(seconds * MICROS - 1), 0)
-    spent = _sliced(narrow, ts, seconds).withColumn("spent", F.sum(F.coalesce(F.col(cost), F.lit(0))).over(before))
+    spent = sliced(narrow, ts, seconds).withColumn("spent", F.sum(F.coalesce(F.col(cost), F.lit(0))).over(before))
     return spent.where(F.col("_own") & (F.col("spent") > budget)).select(key, event_id, ts, "spent")

@@ -945,3 +945,7 @@ WITH RECURSIVE terms AS (SELECT DISTINCT lower(w) AS term FROM (SELECT unnest(st
            UNION ALL
            SELECT doc_id, term, rest[instr(rest, term) + 1:] FROM hits WHERE contains(rest, term))
 SELECT doc_id, term, COUNT(*) AS n FROM hits GROUP BY 1, 2"""
+ORACLE["silent_runs_timed"] = ORACLE["silent_runs"]
+ORACLE["live_bursts"] = with_views("job_events", """
+, m AS (SELECT triggered_by, event_id, timestamp AS ts, lag(timestamp, 2) OVER (PARTITION BY triggered_by ORDER BY timestamp, event_id) AS since FROM job_events)
+SELECT triggered_by, event_id, ts, since FROM m WHERE epoch_us(ts) - epoch_us(since) < 21600000000""")

@@ -20,7 +20,7 @@ from vellumflow.session import scratch
 from vellumflow.sources import feed, files, store as store_of
 from vellumflow.sources.derived import Derived
 from vellumflow.sources.store import TableStore
-from vellumflow.streaming import changes, streams
+from vellumflow.streaming import changes, streams, timers
 
 AS_OF = datetime(2024, 1, 31)
 WHOLE_LOG_HOURS = 31 * 24
@@ -889,6 +889,23 @@ def silent_runs(t: Derived) -> DataFrame:
     return rows.select("run_id", *[F.col(c).cast(NTZ).alias(c) for c in ("started_at", "gave_up_at")])
 
 
+@query
+def silent_runs_timed(t: Derived) -> DataFrame:
+    target = scratch(t.spark, "timed")
+    streams.append_to(timers.silent_runs(_stream(t), V.EXTRACTION), f"{target}/runs", f"{target}/checkpoint").awaitTermination()
+    rows = t.spark.read.parquet(f"{target}/runs").unionByName(timers.held_silent_runs(t.spark, f"{target}/checkpoint", V.EXTRACTION))
+    return rows.select("run_id", *[F.col(c).cast(NTZ).alias(c) for c in ("started_at", "gave_up_at")])
+
+
+@query
+def live_bursts(t: Derived) -> DataFrame:
+    target, limit, seconds = scratch(t.spark, "bursts"), 2, 6 * 3600
+    found = timers.bursts(_stream(t), "triggered_by", "timestamp", "event_id", limit, seconds)
+    streams.append_to(found, f"{target}/bursts", f"{target}/checkpoint").awaitTermination()
+    rows = t.spark.read.parquet(f"{target}/bursts").unionByName(timers.held_bursts(t.spark, f"{target}/checkpoint", limit, seconds))
+    return rows.select(F.col("key").alias("triggered_by"), "event_id", F.col("at").cast(NTZ).alias("ts"), F.col("since").cast(NTZ).alias("since"))
+
+
 @query
 def paths_of_collection(t: Derived) -> DataFrame:
     return X.paths_like(t.extracted_documents(), "document_path", "%/source_pdfs/%", contains="patient_1").select(
