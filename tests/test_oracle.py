@@ -10,8 +10,12 @@ from vellumflow.registry.oracle import ORACLE
 from vellumflow.registry.queries import QUERIES
 
 
+#: An approximate search, held against the exact one in test_vector_index.py.
+WITHOUT_SQL = {"indexed_topk"}
+
+
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) - WITHOUT_SQL == set(ORACLE)
     assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLE) <= set(entry_point.oracle_sql())
 
 
@@ -19,7 +23,7 @@ def test_entry(spark):
     assert entry_point.entry(spark).count() == 695
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WITHOUT_SQL))
 def test_query(spark, sf, con, name):
     count, difference = compare(QUERIES[name](spark, sf), con, ORACLE[name])
     assert difference is None

@@ -879,8 +879,7 @@ SELECT DISTINCT CASE WHEN agent = 'sharepoint_agent' THEN CAST(json_extract_stri
 FROM linked_events WHERE event_type LIKE '%Completed' OR event_type LIKE '%Failed'""")
 ORACLE["table_roundtrip"] = with_views("job_events", " SELECT * FROM job_events")
 ORACLE["named_table"] = with_views("summaries", " SELECT * FROM summaries")
-ORACLE["rows_to_frame"] = """
-SELECT n_name AS prompt_id, CAST(n_nationkey AS INT) AS version, CAST(NULL AS VARCHAR) AS content, true AS active FROM nation"""
+ORACLE["rows_to_frame"] = with_views("prompts", " SELECT prompt_id, version, CAST(NULL AS VARCHAR) AS content, active FROM prompts")
 ORACLE["extract_pipeline"] = """
 SELECT concat('extract_', doc_id * 10 + 1) AS extraction_id, doc_id * 10 + 1 AS extraction_run_id, text AS extracted_text,
        CAST((length(text) - length(replace(text, concat(chr(10), chr(10)), ''))) // 2 + 1 AS INT) AS page_count
@@ -949,3 +948,4 @@ ORACLE["silent_runs_timed"] = ORACLE["silent_runs"]
 ORACLE["live_bursts"] = with_views("job_events", """
 , m AS (SELECT triggered_by, event_id, timestamp AS ts, lag(timestamp, 2) OVER (PARTITION BY triggered_by ORDER BY timestamp, event_id) AS since FROM job_events)
 SELECT triggered_by, event_id, ts, since FROM m WHERE epoch_us(ts) - epoch_us(since) < 21600000000""")
+ORACLE["folded_status"] = ORACLE["synced_status"]

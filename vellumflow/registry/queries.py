@@ -20,7 +20,7 @@ from vellumflow.session import scratch
 from vellumflow.sources import feed, files, store as store_of
 from vellumflow.sources.derived import Derived
 from vellumflow.sources.store import TableStore
-from vellumflow.streaming import changes, streams, timers
+from vellumflow.streaming import changes, folds, streams, timers
 
 AS_OF = datetime(2024, 1, 31)
 WHOLE_LOG_HOURS = 31 * 24
@@ -804,10 +804,8 @@ def summary_by_run(t: Derived) -> DataFrame:
 
 @query
 def rows_to_frame(t: Derived) -> DataFrame:
-    records = [
-        {"prompt_id": r["n_name"], "version": r["n_nationkey"], "active": True} for r in t.raw("nation").toLocalIterator()
-    ]  # the 25 nations
-    return store_of.rows_to_frame(t.spark, records, "prompts").select("prompt_id", "version", "content", "active")
+    records = t.prompts().select("active", F.col("version").cast("string").alias("version"), "prompt_id", F.lit(1).alias("other"))
+    return store_of.conformed(records, "prompts").select("prompt_id", "version", "content", "active")
 
 
 @query
@@ -862,6 +860,18 @@ def synced_status(t: Derived) -> DataFrame:
     )
 
 
+@query
+def folded_status(t: Derived) -> DataFrame:
+    target, key = scratch(t.spark, "folded"), ["run_id"]
+    # The log in eight files, a batch each, dealt by event so that every batch brings late rows.
+    t.job_events().repartition(8, "event_id").write.parquet(f"{target}/log")
+    log = streams.event_stream(t.spark, f"{target}/log", t.job_events().schema, files_per_batch=1)
+    folds.sync(log, key, "timestamp", target, f"{target}/checkpoint", every=3).awaitTermination()
+    return folds.replica(t.spark, target, key, "timestamp").select(
+        "run_id", "agent", "sp_used", "status", F.col("timestamp").alias("updated_at")
+    )
+
+
 @query
 def dedup_events(t: Derived) -> DataFrame:
     target = scratch(t.spark, "dedup")
