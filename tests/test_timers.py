@@ -65,6 +65,18 @@ def test_silent_runs(spark, tmp_path):
     assert emitted.count() > 10 and got.count() > emitted.count()
 
 
+def test_any_state_store(spark, tmp_path):
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider")
+    try:
+        _, stream = in_parts(spark, str(tmp_path / "in"), [(str(i), "x", 1, "a", "u", 10**15 + i) for i in range(5)], 1)
+        streams.append_to(timers.bursts(stream, "triggered_by", "timestamp", "event_id", 3, 60), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+        assert timers.held_bursts(spark, str(tmp_path / "cp"), 3, 60).count() == 2
+    finally:
+        spark.conf.set(provider, before)
+
+
 def test_an_event_at_the_end_of_the_timeout_comes_too_late(spark, tmp_path):
     agent, start, hour = V.EXTRACTION, 1_700_000_000_000_000, 3600 * 1_000_000
     rows = [("1", agent.started, 7, agent.name, None, start), ("2", agent.completed, 7, agent.name, None, start + hour)]

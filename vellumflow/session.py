@@ -35,6 +35,13 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def keep_state_in_rocksdb(spark: SparkSession) -> None:
+    """Streams with several states and timers per key run on this store alone; those started before keep their own."""
+    for key in RUNTIME_CONF:
+        if ".stateStore." in key:
+            spark.conf.set(key, RUNTIME_CONF[key])
+
+
 def local_session(app: str = "vellumflow", cores: str | int = 8, memory: str = "8g", work: str | None = None) -> SparkSession:
     """A single-JVM session for tests and the bench, with a work folder of its own unless
     one is given; clusters bring their own."""

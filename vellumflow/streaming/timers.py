@@ -2,7 +2,7 @@
 
 State is kept per key until the watermark passes its timer and then emitted and dropped. What a
 finite log leaves below the watermark is still in the state, and is read from there instead of
-from the log.
+from the log. Both streams set the session's state store to RocksDB, which timers need.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StatefulProcessor
 
 from vellumflow import vocabulary as V
 from vellumflow.operators.limits import MICROS, sliced
+from vellumflow.session import keep_state_in_rocksdb
 from vellumflow.streaming.streams import with_event_time
 
 SESSION = "begin long, end long, last_start long, last_end long"
@@ -75,6 +76,7 @@ def silent_runs(ev: DataFrame, agent: V.Agent, watermark: str = "1 day") -> Data
     """(run_id, started_at, gave_up_at): runs of one agent that started and then fell silent for the job timeout,
     each when its timer fires. An event exactly at the timeout comes too late. State per run: its sessions not older
     than the watermark."""
+    keep_state_in_rocksdb(ev.sparkSession)
     kind = F.col("event_type")
     mine = with_event_time(ev.filter((F.col("agent") == agent.name) & (F.col("run_id") != V.NO_RUN)), watermark)
     rows = mine.select(
@@ -135,6 +137,7 @@ def bursts(rows: DataFrame, key: str, ts: str, event_id: str, limit: int, second
     Events lie in slices as long as the interval, so a busy key is as many groups as it has slices, and state
     holds the slices that the watermark has not passed. Keys and ids are text.
     """
+    keep_state_in_rocksdb(rows.sparkSession)
     timed = rows.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark).where(F.col(key).isNotNull())
     placed = sliced(timed.select(ts, F.col(key).cast("string").alias("_key"), F.col(event_id).cast("string").alias("event_id")), ts, seconds)
     narrow = placed.select("_key", "_slice", ts, F.col("_at").alias("at"), "event_id", F.col("_own").alias("own"))
