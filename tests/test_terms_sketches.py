@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from vellumflow.operators import sketches, terms
 from vellumflow.streaming import streams
 
-WAYS = {"search": {}, "broadcast": {"search_bytes": 0}, "shuffle": {"search_bytes": 0, "broadcast_bytes": 0}}
+WAYS = {"search": {"search_bytes": terms.SEARCH_BYTES}, "broadcast": {}, "shuffle": {"broadcast_bytes": 0}}
 
 
 def plain(rows, listed):

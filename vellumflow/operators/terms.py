@@ -1,10 +1,10 @@
 """Listed terms in texts, for lists of any length: the list is a table, never part of the plan.
 
-A list of bounded size goes to the tasks, which search each text once for all terms together, whatever
-their number. A longer list is joined: each term is filed under its first characters, texts are cut
+The list is joined: each term is filed under its first characters, texts are cut
 into pieces that overlap by the longest term, the characters at every place of a piece are looked up
 in the file by an equi-join, and only the terms found there are compared in full. The join stays in
-the JVM, but a row per place costs about 3 microseconds a character, the search a small part of that.
+the JVM, but a row per place costs about 3 microseconds a character. With ``search_bytes`` a list of
+bounded size goes to the tasks instead, which search each text once for all terms together, in Python.
 """
 
 from __future__ import annotations
@@ -19,9 +19,9 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 PREFIXES = (8, 4, 2, 1)
 #: Characters of a piece, or the longest term's if that is longer; short, since each place is found by counting from its start.
 PIECE = 128
-#: A list up to this many bytes is searched for in the tasks (an automaton takes some forty times its bytes).
+#: A list up to this many bytes may be searched for in the tasks (an automaton takes some forty times its bytes).
 SEARCH_BYTES = 4 << 20
-#: A longer one up to this size is joined by a broadcast, beyond it by shuffles.
+#: A list up to this size is joined by a broadcast, beyond it by shuffles.
 BROADCAST_BYTES = 32 << 20
 
 
@@ -80,7 +80,7 @@ def _joined(rows: DataFrame, listed: DataFrame, longest: int, lengths: list[int]
     return found.select("_key", "_term", _starts(F.col("_piece"), F.col("_term"), size).alias("_n")).where("_n > 0")
 
 
-def term_matches(df: DataFrame, key: str, text: str, terms: DataFrame, term: str = "term", search_bytes: int = SEARCH_BYTES, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def term_matches(df: DataFrame, key: str, text: str, terms: DataFrame, term: str = "term", search_bytes: int = 0, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """(key, term, n): at how many places of the text each listed term begins, ignoring case.
 
     Every place counts, also where occurrences overlap: ``aa`` begins at two places of ``aaa``. Terms are
