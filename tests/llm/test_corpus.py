@@ -635,3 +635,19 @@ def test_passage_columns_of_the_digest(spark, small):
     assert tuples(got, "doc_id", "passage_kept_sha256") == sorted(((d, sha256(t.encode()).hexdigest()) for d, t in left.items()), key=repr)
     size = {d: len((t or "").encode()) for d, t in texts}
     assert all(r["n_passage_removed"] == size[r["doc_id"]] - len(left[r["doc_id"]].encode()) for r in got.collect())
+
+
+def test_classifier_counts_words_outside_the_driver(spark):
+    """Words that tell nothing do not come to the driver, however many the sample has."""
+    import tracemalloc
+
+    rng = np.random.default_rng(9)
+    texts = [(k, " ".join(f"w{x}" for x in rng.integers(0, 10**9, 2000)) + (" spam" if k % 3 == 0 else " ham")) for k in range(600)]
+    docs, labels = frame(spark, texts), frame(spark, [(k, int(k % 3 > 0), 0) for k in range(600)], "doc_id long, quality int, toxic int")
+    tracemalloc.start()
+    model = site_bayes.fit(docs, labels)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10e6 and 2 <= len(model.features) < 50
+    scored = site_bayes.evidence(docs, model).select((F.col("doc_id") % 3 == 0).alias("bad"), (F.col("junk_evidence") > 0).alias("told")).distinct()
+    assert tuples(scored) == [(False, False), (True, True)]

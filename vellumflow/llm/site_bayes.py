@@ -35,12 +35,14 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from vellumflow.llm import textbytes as B
+from vellumflow.llm.tables import Tables
 from vellumflow.operators.joins import lookup
 
 # Executors need not have this package: the task functions travel by value.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SAMPLE_ROWS = 12_000
+PART_ROWS = 1_000  # of the sample, whose words are counted at a time
 MIN_RATIO = 20.0
 STEPS = 800
 PENALTY = 1e-5
@@ -90,7 +92,7 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return np.concatenate([doc, np.tile(np.arange(n), SHAPES)]), np.concatenate([hashes, *shape])
 
 
-def _sampled(docs: DataFrame, labels: DataFrame, rows: int) -> list:
+def _sampled(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     """(junk, toxic, features) of a bounded number of distinct labelled texts."""
     worst = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id")
     worst = worst.agg((F.min("quality") == 0).alias("junk"), (F.max("toxic") == 1).alias("toxic"))
@@ -107,36 +109,74 @@ def _sampled(docs: DataFrame, labels: DataFrame, rows: int) -> list:
                 packed = [f.tobytes() for f in np.split(found, ends[:-1])]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(packed, pa.binary())], names=["junk", "toxic", "features"])
 
-    return texts.select("junk", "toxic", "text").mapInArrow(task, "junk boolean, toxic boolean, features binary").distinct().collect()
+    return texts.select("junk", "toxic", "text").mapInArrow(task, "junk boolean, toxic boolean, features binary").distinct()
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Some rows of the sample at a time: (rows, features of all of them, number of each row's features)."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, PART_ROWS):
+            part = batch.slice(i, PART_ROWS)
+            data, offsets = B.flat(part.column(2))
+            yield part, np.frombuffer(data[offsets[0] : offsets[-1]].tobytes(), U64), np.diff(offsets) // 8
+
+
+def _telling(sample: DataFrame, n: int, bad: dict[str, int], min_ratio: float) -> np.ndarray:
+    """The features whose count among the texts of a kind no chance explains, in ascending order."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, found, sizes in _parts(batches):
+            every, at = np.unique(found, return_inverse=True)
+            flags = [np.repeat(part.column(k).to_numpy(zero_copy_only=False).astype(float), sizes) for k in range(2)]
+            counts = [np.bincount(at, weights=w, minlength=len(every)).astype(np.int64) for w in (None, *flags)]
+            yield pa.RecordBatch.from_arrays([pa.array(every.view(np.int64)), *map(pa.array, counts)], names=["feature", "n", *KINDS])
+
+    names = ["n", *KINDS]
+    counts = sample.select(*KINDS, "features").mapInArrow(task, "feature long, n long, junk long, toxic long").groupBy("feature").agg(*[F.sum(c).alias(c) for c in names])
+    told = F.lit(False)
+    for k in KINDS:
+        if 0 < bad[k] < n:
+            ratio = F.lit(0.0)
+            for seen, share in ((F.col(k), bad[k] / n), (F.col("n") - F.col(k), (n - bad[k]) / n)):
+                ratio = ratio + F.when(seen > 0, 2 * seen * F.log(seen / (F.col("n") * share))).otherwise(0.0)
+            told = told | (ratio > min_ratio)
+    return np.sort(np.array([r["feature"] for r in counts.where(told).select("feature").collect()], np.int64).view(U64))
+
+
+def _matrix(sample: DataFrame, features: np.ndarray) -> list:
+    """(junk, toxic, columns): of each text of the sample the numbers of those of ``features`` that it has."""
+    shipped = sample.sparkSession.sparkContext.broadcast(features)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shipped.value
+        for part, found, sizes in _parts(batches):
+            at = np.minimum(np.searchsorted(own, found), max(0, len(own) - 1)).astype(np.int32)
+            known = own[at] == found if len(own) else np.zeros(len(found), bool)
+            ends = np.append(0, np.cumsum(known))[np.cumsum(sizes)]
+            packed = [x.tobytes() for x in np.split(at[known], ends[:-1])]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(packed, pa.binary())], names=[*KINDS, "columns"])
+
+    return sample.select(*KINDS, "features").mapInArrow(task, "junk boolean, toxic boolean, columns binary").collect()
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, min_ratio: float = MIN_RATIO) -> Model:
-    """The two classifiers, from at most ``rows`` labelled documents."""
-    sample = _sampled(docs, labels, rows)
-    flags = np.array([[r["junk"], r["toxic"]] for r in sample], float).reshape(-1, 2)
-    lists = [np.frombuffer(r["features"], U64) for r in sample]
-    every, at = np.unique(np.concatenate([np.zeros(0, U64), *lists]), return_inverse=True)
-    doc = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
-    total = np.bincount(at, minlength=len(every)).astype(float)
-    keep = np.zeros(len(every), bool)
-    n = max(1, len(lists))
-    for k in range(2):
-        bad = flags[:, k].sum()
-        if not 0 < bad < n:
-            continue
-        hit = np.bincount(at, weights=flags[doc, k], minlength=len(every))
-        ratio = np.zeros(len(every))
-        for seen, expected in ((hit, total * bad / n), (total - hit, total * (n - bad) / n)):
-            ratio += np.where(seen > 0, 2 * seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9)), 0)
-        keep |= ratio > min_ratio
-    number = np.cumsum(keep) - 1
-    used = keep[at]
-    column, row = number[at[used]], doc[used]
-    weights, intercepts = np.zeros((int(keep.sum()), 2)), np.zeros(2)
+    """The two classifiers, from at most ``rows`` labelled documents. Words are counted in Spark; the driver
+    gets those that tell the classes apart, and which of them each text has."""
+    tables = Tables(docs.sparkSession)
+    sample = tables.keep(_sampled(docs, labels, rows), "sample")
+    whole = sample.agg(F.count(F.lit(1)).alias("n"), *[F.count_if(k).alias(k) for k in KINDS]).first()
+    every = _telling(sample, whole["n"], whole.asDict(), min_ratio)
+    texts = _matrix(sample, every)
+    tables.discard()
+    flags = np.array([[r["junk"], r["toxic"]] for r in texts], float).reshape(-1, 2)
+    sizes = [len(r["columns"]) // 4 for r in texts]
+    column = np.frombuffer(b"".join(r["columns"] for r in texts), np.int32).astype(np.int64)
+    row = np.repeat(np.arange(len(texts)), sizes)
+    weights, intercepts = np.zeros((len(every), 2)), np.zeros(2)
     for k in range(2):
-        if 0 < flags[:, k].sum() < n:
-            weights[:, k], intercepts[k] = _logistic(row, column, flags[:, k], int(keep.sum()))
-    return Model(every[keep], weights, intercepts)
+        if 0 < flags[:, k].sum() < len(texts):
+            weights[:, k], intercepts[k] = _logistic(row, column, flags[:, k], len(every))
+    return Model(every, weights, intercepts)
 
 
 def _logistic(row: np.ndarray, column: np.ndarray, target: np.ndarray, size: int) -> tuple[np.ndarray, float]:
