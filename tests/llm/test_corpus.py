@@ -651,3 +651,21 @@ def test_classifier_counts_words_outside_the_driver(spark):
     assert peak < 10e6 and 2 <= len(model.features) < 50
     scored = site_bayes.evidence(docs, model).select((F.col("doc_id") % 3 == 0).alias("bad"), (F.col("junk_evidence") > 0).alias("told")).distinct()
     assert tuples(scored) == [(False, False), (True, True)]
+
+
+def test_rounds_without_links_close_no_components(spark, monkeypatch):
+    """Pairs that the exact check drops leave the components as they are."""
+    calls = []
+    monkeypatch.setattr(parity_join, "components", lambda links: calls.append(1) or components.components(links))
+    texts = [" ".join(f"v{k}w{j}" if j % 60 < 3 * (k > 0) else f"w{j}" for j in range(180)) for k in range(4)]
+    docs = frame(spark, [(k, t) for k, t in enumerate([*texts, "b c d e f g h", "b c d e f g h"])])
+    want = brute.near_components([tuple(r) for r in docs.collect()])
+    assert tuples(parity_join.join(docs), "doc_id", "n_shingles", "component_id") == want
+    assert len({c for _, _, c in want}) == 5 and not calls
+
+
+def test_labels_are_folded(spark):
+    schema = "node long, label long"
+    labels, merged = frame(spark, [(1, 1), (5, 1), (7, 7), (9, 7), (20, 20), (21, 20)], schema), frame(spark, [(1, 1), (7, 1), (3, 1)], schema)
+    assert tuples(components.folded(labels, merged)) == [(1, 1), (20, 20), (21, 20), (3, 1), (5, 1), (7, 1), (9, 1)]
+    assert tuples(components.folded(None, merged)) == tuples(merged)

@@ -3,7 +3,8 @@
 Large-star and small-star steps alternate until nothing changes; each step is an
 aggregation and a join, written to the shared folder, so the number of rounds grows with
 the logarithm of the graph and a lost executor costs its tasks only. A node with very
-many neighbours is an aggregate and a join key that Spark can split.
+many neighbours is an aggregate and a join key that Spark can split. Smallest neighbours
+of a small graph are broadcast, which spares the shuffles of its joins.
 """
 
 from __future__ import annotations
@@ -14,24 +15,32 @@ from vellumflow.llm.tables import Tables
 from vellumflow.operators.joins import lookup
 
 
+BROADCAST_EDGES = 100_000
+
+
+def _told(edges: DataFrame, low: DataFrame, small: bool) -> DataFrame:
+    """``edges`` with the smallest neighbour of their ``u``."""
+    return edges.join(F.broadcast(low), "u") if small else lookup(edges, low, ["u"], "inner")
+
+
 def _written(edges: DataFrame, tables: Tables) -> tuple[DataFrame, tuple]:
     back = tables.keep(edges.distinct(), "edges")
     sums = back.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
     return back, tuple(sums)
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, small: bool) -> DataFrame:
     """Every larger neighbour of a node is tied to the smallest node around it."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.min("v").alias("low"))
-    return lookup(both.where("v > u"), low, ["u"], "inner").select(F.col("v").alias("u"), F.least("u", "low").alias("v"))
+    return _told(both.where("v > u"), low, small).select(F.col("v").alias("u"), F.least("u", "low").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, small: bool) -> DataFrame:
     """A node and its smaller neighbours are tied to the smallest of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
     low = down.groupBy("u").agg(F.min("v").alias("low"))
-    tied = lookup(down, low, ["u"], "inner").select(F.col("v").alias("u"), F.col("low").alias("v"))
+    tied = _told(down, low, small).select(F.col("v").alias("u"), F.col("low").alias("v"))
     return tied.unionByName(low.select("u", F.col("low").alias("v"))).where("u <> v")
 
 
@@ -40,7 +49,8 @@ def components(links: DataFrame) -> DataFrame:
     tables = Tables(links.sparkSession)
     edges, before = _written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v"), tables)
     while before[0]:
-        edges, now = _written(_small_star(_large_star(edges)), tables)
+        small = before[0] <= BROADCAST_EDGES
+        edges, now = _written(_small_star(_large_star(edges, small), small), tables)
         if now == before:
             break
         before = now
@@ -50,3 +60,13 @@ def components(links: DataFrame) -> DataFrame:
     labels = Tables(links.sparkSession).keep(labels, "labels")
     tables.discard()
     return labels
+
+
+def folded(labels: DataFrame | None, merged: DataFrame) -> DataFrame:
+    """(node, label) after the labels themselves were linked: ``merged`` has the new label of each label, or of a
+    node that had no links before, that has one."""
+    if labels is None:
+        return merged
+    news = merged.select(F.col("node").alias("label"), F.col("label").alias("now"))
+    told = lookup(labels, news, ["label"]).select("node", F.coalesce("now", "label").alias("label"))
+    return told.unionByName(merged.join(labels.select("node"), "node", "left_anti"))

@@ -24,7 +24,8 @@ are not paired with each other: the class of a key that has most keys in common
 others is its centre and is paired with the others. After the links found so far are closed into components, keys whose
 classes are still in several components take their next 8, 64, 512, ... classes as
 centres, and only pairs in different components are verified, until every class has been
-a centre. So copies and near copies, however many, cost a star, and no link between
+a centre. What a round links are the components that there were before it; a round without
+pairs or links ends there. So copies and near copies, however many, cost a star, and no link between
 different components is left out.
 
 Keys travel in packed blobs by bucket, deduplicated per batch before the shuffle; equal
@@ -49,7 +50,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from vellumflow.llm import textbytes as B
-from vellumflow.llm.components import components
+from vellumflow.llm.components import components, folded
 from vellumflow.llm.tables import Tables
 from vellumflow.operators.joins import lookup
 
@@ -308,26 +309,34 @@ WORDS = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 
 
 def _near(named: DataFrame, low: int, high: int, rule: Rule) -> DataFrame:
-    """(a, b, r_a, r_b): classes in different components that share a key, ``a`` one of its centres, and whose
-    sizes and sketches allow a link. Both stand beside the key, so the join itself drops the others."""
+    """(a, b, r_a, r_b, l_a, l_b): classes in different components that share a key, ``a`` one of its centres, and whose
+    sizes and sketches allow a link, their representatives and labels. Both stand beside the key, so the join itself drops the others."""
     now = named.where((F.col("rank") >= low) & (F.col("rank") < high)).select("key", *[F.col(c).alias(f"{c}_a") for c in named.columns if c != "key"])
     n, n_a = F.col("n"), F.col("n_a")
     sizes = 100 * F.least(n, n_a) >= rule.percent * F.greatest(n, n_a)
     hamming = reduce(lambda x, y: x + y, [F.bit_count(F.col(w).bitwiseXOR(F.col(f"{w}_a"))) for w in WORDS])
     allowed = hamming * (100 + rule.percent) <= (100 - rule.percent) * (n + n_a)
     found = lookup(named, now, ["key"], "inner").where((F.col("rank") > F.col("rank_a")) & (F.col("label") != F.col("label_a")) & sizes & allowed)
-    return found.select(F.col("cls_a").alias("a"), F.col("cls").alias("b"), F.col("rep_a").alias("r_a"), F.col("rep").alias("r_b")).distinct()
+    ends = [F.col(f"{c}{side}").alias(f"{c[0]}_{x}") for c in ("rep", "label") for side, x in (("_a", "a"), ("", "b"))]
+    return found.select(F.col("cls_a").alias("a"), F.col("cls").alias("b"), *ends).distinct()
 
 
 def _links(near: DataFrame, docs: DataFrame, rule: Rule, tables: Tables) -> DataFrame:
-    """(a, b) of the pairs whose sets link."""
-    near = tables.keep(near, "near")
+    """(a, b): the labels of the pairs whose sets link."""
     reps = near.select(F.explode(F.array("r_a", "r_b")).alias("doc_id")).distinct()
     sets = tables.keep(sets_of(docs, reps, rule), "sets")
     own = lambda s: sets.select(F.col("f1").alias(s), F.col("n").alias(f"n_{s}"), F.col("shingles").alias(f"s_{s}"))
-    both = near.select("a", "b").join(own("a"), "a").join(own("b"), "b")
+    both = near.select("a", "b", "l_a", "l_b").join(own("a"), "a").join(own("b"), "b")
     common = F.size(F.array_intersect("s_a", "s_b"))
-    return both.where(100 * common >= rule.percent * (F.col("n_a") + F.col("n_b") - common)).select("a", "b").distinct()
+    linked = both.where(100 * common >= rule.percent * (F.col("n_a") + F.col("n_b") - common))
+    return tables.keep(linked.select(F.col("l_a").alias("a"), F.col("l_b").alias("b")).distinct(), "links")
+
+
+def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``rows`` with the label of each class: its own where it has no links."""
+    if labels is None:
+        return rows.withColumn("label", F.col("cls"))
+    return rows.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
 
 
 def join(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
@@ -349,24 +358,25 @@ def join(docs: DataFrame, rule: Rule | None = None) -> DataFrame:
     members = tables.keep(rarest(shared, classes), "members")
     round_.discard()
 
-    links, labels, low, high = None, None, 0, 1
+    labels, low, high = None, 0, 1
     named = members.withColumn("label", F.col("cls"))
     while True:
         # Ranks from low up to high are this round's centres.
-        found = _links(_near(named.join(about, "cls"), low, high, rule), docs, rule, round_)
-        links = tables.keep(found if links is None else links.unionByName(found), "links")
-        round_.discard()
-        labels = components(links)
+        near = round_.keep(_near(named.join(about, "cls"), low, high, rule), "near")
+        links = None if near.isEmpty() else _links(near, docs, rule, round_)
+        told = named
+        if links is not None and not links.isEmpty():
+            labels = tables.keep(folded(labels, components(links)), "labels")
+            told = round_.keep(_labelled(named.drop("label"), labels), "told")
         low, high = high, high + CENTRE_GROWTH * (high - low)
         # Keys go on while their classes are in several components and some have not been centres.
-        told = round_.keep(named.drop("label").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls")), "told")
         state = told.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.max("rank").alias("last"))
         state = state.where((F.col("least") < F.col("most")) & (F.col("last") > low)).select("key")
         named = tables.keep(lookup(told, state, ["key"], "inner"), "named")
         round_.discard()
         if named.isEmpty():
             break
-    named = classes.join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    named = _labelled(classes, labels)
     smallest = named.groupBy("label").agg(F.min("rep").alias("component_id"))
     answer = lasting.keep(lookup(named, smallest, ["label"], "inner").select(F.col("cls").alias("f1"), "f2", "n", "component_id"), "answer")
     tables.discard()
