@@ -669,3 +669,23 @@ def test_labels_are_folded(spark):
     labels, merged = frame(spark, [(1, 1), (5, 1), (7, 7), (9, 7), (20, 20), (21, 20)], schema), frame(spark, [(1, 1), (7, 1), (3, 1)], schema)
     assert tuples(components.folded(labels, merged)) == [(1, 1), (20, 20), (21, 20), (3, 1), (5, 1), (7, 1), (9, 1)]
     assert tuples(components.folded(None, merged)) == tuples(merged)
+
+
+def test_short_hashes_choose_the_same_places():
+    """Sampling hashes every gram once, by a short hash, and the full hash is of the sampled places alone."""
+    rng = np.random.default_rng(11)
+    text = rng.integers(97, 105, 3000).astype(np.uint8)
+    data = np.concatenate([rng.integers(97, 105, 777).astype(np.uint8), text, text])
+    prefix = textbytes.prefix_hash(data)
+    sums = [[0], [0]]
+    for i, c in enumerate(data[:500].tolist()):
+        for k in range(2):
+            sums[k].append((sums[k][-1] + int(textbytes._TABLES[k][c]) * pow(textbytes.BASES[k], i, textbytes.PRIME)) % textbytes.PRIME)
+    assert prefix[:501].tolist() == [a << 32 | b for a, b in zip(*sums)]
+    short = textbytes.span_order(prefix, 64)
+    assert np.array_equal(short[777 : 777 + 2937], short[3777 : 3777 + 2937]) and len(np.unique(short[777 : 777 + 2937])) > 2900
+    place, first, last, grams = suffix_dedup.sample(prefix, np.array([0, 777, 3777, 6777]), 400, 64)
+    one, other = (place >= 777) & (place < 3777), place >= 3777
+    assert np.array_equal(place[one] + 3000, place[other]) and np.array_equal(grams[one], grams[other])
+    assert np.array_equal(grams, textbytes.span_hash(prefix, place, place + 64))
+    assert all(np.all((place >= a) & (place <= a + 336)) for a in (first, last))

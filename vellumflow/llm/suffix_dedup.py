@@ -6,7 +6,7 @@ cover modulo 3 alone sorts two thirds of all positions as triples), so positions
 covered by content instead of by residue, which keeps the property the method rests on:
 two equal strings have a sampled position at the same distance from their starts.
 
-* Sample: in every window of ``length`` bytes the position with the smallest hash of its
+* Sample: in every window of ``length`` bytes the position with the smallest short hash of its
   next ``GRAM`` bytes, leftmost on ties, is sampled. Equal windows sample the same place,
   and each position serves a run of consecutive starts (about half a window).
 * Sort the samples as triples (hash of the gram, reach to the left and right of it, name
@@ -57,7 +57,6 @@ LENGTH = 400
 GRAM = 64
 PIECE = 16
 U64 = np.uint64
-HIGH = U64(0xFFFFFFFF00000000)
 CLASS = ["h1", "h2"]
 RUN = "gram long, coord long, name long, h1 long, h2 long, at int, low int, high int"
 RUN_NAMES = [f.split()[0] for f in RUN.split(", ")]
@@ -87,9 +86,7 @@ def sample(prefix: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> t
         none = np.zeros(0, np.int64)
         return none, none, none, none.astype(U64)
     start = np.concatenate(starts)
-    place = np.arange(n)
-    grams = B.span_hash(prefix, place, place + gram)
-    order = (grams & HIGH) | place.astype(U64)
+    order = B.span_order(prefix, gram) | np.arange(n).astype(U64)
     # Smallest of every window: from its begin to a block's end, and from there on.
     blocks = -(-n // window)
     padded = np.full(blocks * window, U64(0xFFFFFFFFFFFFFFFF))
@@ -101,7 +98,8 @@ def sample(prefix: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> t
     new = np.append(True, (best[1:] != best[:-1]) | (start[1:] != start[:-1] + 1))
     first = np.flatnonzero(new)
     last = np.append(first[1:], len(start)) - 1
-    return best[first], start[first], start[last], grams[best[first]]
+    place = best[first]
+    return place, start[first], start[last], B.span_hash(prefix, place, place + gram)
 
 
 def named(prefix: np.ndarray, place: np.ndarray, low: np.ndarray, high: np.ndarray, length: int, base: int) -> np.ndarray:

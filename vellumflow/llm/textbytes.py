@@ -35,7 +35,8 @@ NOT_SPACE[[9, 10, 11, 12, 13, 32]] = False
 LETTER_DIGIT = np.zeros(256, bool)
 LETTER_DIGIT[0x30:0x3A] = LETTER_DIGIT[0x61:0x7B] = LETTER_DIGIT[0x80:] = True
 
-_TABLES = np.random.default_rng(20240101).integers(1, PRIME, (2, 256), dtype=np.uint64)
+#: Distinct values of 18 bits, whose products with powers add up in 64 bits over a step.
+_TABLES = np.stack([r.choice(1 << 18, 256, replace=False) + 1 for r in map(np.random.default_rng, (20240101, 20240102))]).astype(np.uint64)
 #: Powers of the bases and of their inverses, as far as they were needed.
 _state: list[tuple[np.ndarray, np.ndarray]] = []
 
@@ -101,28 +102,60 @@ def blocks(offsets: np.ndarray, limit: int = BLOCK_BYTES) -> Iterator[tuple[int,
         i = min(j, n)
 
 
-def _sums(n: int, residues: Callable[[slice], Iterator[np.ndarray]]) -> np.ndarray:
-    """Running sums of residues below 2^31 times powers, one for each base, both in one value; in steps
-    that stay in the processor's cache."""
-    out, carry, powers = np.zeros(n + 1, U64), [U64(0), U64(0)], _powers(n)
+def _sums(n: int, products: Callable[[slice, int, np.ndarray], None]) -> np.ndarray:
+    """Running sums, one for each base, both in one value; ``products(part, base, out)`` gives what is added, below
+    2^49. In steps that stay in the processor's cache."""
+    out, carry = np.zeros(n + 1, U64), [U64(0), U64(0)]
+    both = np.empty((2, min(n, STEP)), U64)
     for i in range(0, n, STEP):
         part = slice(i, min(i + STEP, n))
-        sums = []
-        for k, r in enumerate(residues(part)):
-            sums.append(_reduced(np.cumsum(_folded(r * powers[k][0][part])) + carry[k]))
-            carry[k] = sums[-1][-1]
-        out[i + 1 : part.stop + 1] = sums[0] << U64(32) | sums[1]
+        x, high = both[:, : part.stop - i]
+        place = out[i + 1 : part.stop + 1]
+        for k in range(2):
+            products(part, k, x)
+            x[0] += carry[k]
+            np.cumsum(x, out=x)
+            for _ in range(2):
+                np.right_shift(x, U64(31), out=high)
+                np.bitwise_and(x, U64(PRIME), out=x)
+                np.add(x, high, out=x)
+            np.minimum(x, x - U64(PRIME), out=x)
+            carry[k] = x[-1]
+            place |= x << U64(32) if k == 0 else x
     return out
 
 
 def prefix_sums(values: np.ndarray) -> np.ndarray:
     """Running polynomial sums; ``span_hash`` turns two of them into the hash of a span."""
-    return _sums(len(values), lambda part: (_reduced(v >> U64(1)) for v in (values[part], mix(values[part]))))
+    powers = _powers(len(values))
+
+    def products(part: slice, k: int, out: np.ndarray) -> None:
+        v = mix(values[part]) if k else values[part]
+        out[:] = _folded(_reduced(v >> U64(1)) * powers[k][0][part])
+
+    return _sums(len(values), products)
 
 
 def prefix_hash(data: np.ndarray) -> np.ndarray:
     """The running sums of bytes."""
-    return _sums(len(data), lambda part: (np.take(table, data[part]) for table in _TABLES))
+    powers = _powers(len(data))
+
+    def products(part: slice, k: int, out: np.ndarray) -> None:
+        np.take(_TABLES[k], data[part], out=out, mode="clip")
+        np.multiply(out, powers[k][0][part], out=out)
+
+    return _sums(len(data), products)
+
+
+def span_order(prefix: np.ndarray, size: int) -> np.ndarray:
+    """A short hash of every span of ``size`` units, in the upper 32 bits; equal bytes give equal values."""
+    inverse, low = _powers(len(prefix))[1][1], U64(0xFFFFFFFF)
+    out = np.empty(max(0, len(prefix) - size), U64)
+    for i in range(0, len(out), STEP):
+        j = min(i + STEP, len(out))
+        x = _reduced(((prefix[i + size : j + size] & low) + U64(PRIME) - (prefix[i:j] & low)) * inverse[i:j])
+        out[i:j] = x * U64(0x9E3779B97F4A7C15) & U64(0xFFFFFFFF00000000)
+    return out
 
 
 def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
