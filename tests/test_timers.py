@@ -92,3 +92,24 @@ def test_nothing(spark, tmp_path):
     assert timers.held_silent_runs(spark, str(tmp_path / "cp"), V.EXTRACTION).count() == 0
     streams.append_to(timers.bursts(stream, "triggered_by", "timestamp", "event_id", 1, 60), str(tmp_path / "out2"), str(tmp_path / "cp2")).awaitTermination()
     assert timers.held_bursts(spark, str(tmp_path / "cp2"), 1, 60).count() == 0
+
+
+def test_bursts_of_many_keys_are_held_in_few_groups(spark, tmp_path):
+    """State holds an element per group of keys, slice and batch, not one per key; odd keys and missing ids stay as they are."""
+    odd = ['a"b', "a,b]", "é\n\U0001F600\\", ""]
+    rows = [(None if i % 5 == 0 else str(i), "x", 1, "a", odd[i % 4] if i < 40 else f"u{i % 200}", 10**15 + i // 4 * 1_000_000) for i in range(840)]
+    log, stream = in_parts(spark, str(tmp_path / "in"), rows, 2)
+    streams.append_to(timers.bursts(stream, "triggered_by", "timestamp", "event_id", 2, 3600), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    held = timers.held_bursts(spark, str(tmp_path / "cp"), 2, 3600)
+    want = limits.bursts(log, "triggered_by", "timestamp", "event_id", 2, 3600)
+    assert sorted(map(repr, (tuple(r) for r in held.collect()))) == sorted(repr(tuple(r)) for r in want.collect()) and held.count() > 400
+    state = spark.read.format("statestore").option("stateVarName", "events").load(str(tmp_path / "cp"))
+    assert state.count() <= 2 * 2 * 32
+
+
+def test_expired_bursts_with_missing_ids_and_equal_times(spark, tmp_path):
+    rows = [(i, "x", 1, "a", "u", 10**15) for i in (None, "1", None)] + [("9", "x", 1, "a", "z", 10**15 + 10 * 86400 * 1_000_000)]
+    log, stream = in_parts(spark, str(tmp_path / "in"), rows, 2)
+    streams.append_to(timers.bursts(stream, "triggered_by", "timestamp", "event_id", 2, 3600), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    emitted = spark.read.parquet(str(tmp_path / "out"))
+    assert [(r["key"], r["event_id"]) for r in emitted.collect()] == [("u", "1")]

@@ -16,7 +16,11 @@ from vellumflow.session import keep_state_in_rocksdb
 from vellumflow.streaming.streams import with_event_time
 
 SESSION = "begin long, end long, last_start long, last_end long"
-EVENT = "at long, event_id string, own boolean"
+EVENTS = "array<struct<key string, at long, event_id string, own boolean>>"
+#: An element of the state of bursts: the events of a group in one batch, as a JSON array.
+PACKED = "events string"
+#: Groups of keys in a slice; a key's events stay together. A call per key and slice would cost more than the events.
+GROUPS = 32
 
 
 def _session_processor(timeout_ms: int) -> StatefulProcessor:
@@ -103,27 +107,38 @@ def held_silent_runs(spark: SparkSession, checkpoint: str, agent: V.Agent) -> Da
 
 
 def _burst_processor(limit: int, seconds: int) -> StatefulProcessor:
-    schema, width = EVENT, seconds * MICROS
+    schema, width = PACKED, seconds * MICROS
 
     class Bursts(StatefulProcessor):
-        """The events of one key in one slice of time and the slice before, until the slice is over."""
+        """The events of a group of keys in one slice of time and the slice before, until the slice is over."""
 
         def init(self, handle):
             self.handle = handle
             self.events = handle.getListState("events", schema)
 
         def handleInputRows(self, key, rows, timerValues):
-            self.events.appendList([(r["at"], r["event_id"], r["own"]) for r in rows])
+            # One element for all rows of a batch: a call per event would cost far more than the event.
+            self.events.appendList([(f"[{','.join(part['event'])}]",) for part in rows])
             self.handle.registerTimer((key[1] + 1) * width // 1000)
             return iter(())
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            events = sorted((tuple(e) for e in self.events.get()), key=lambda e: e[:2])
+            import json
+
+            import pandas as pd
+
+            def place(e):
+                return e["key"], e["at"], "event_id" in e, e.get("event_id")
+
+            events = sorted((e for part in self.events.get() for e in json.loads(part[0])), key=place)
             self.events.clear()
+            found = []
             for i in range(limit, len(events)):
-                at, event_id, own = events[i]
-                if own and at - events[i - limit][0] < width:
-                    yield Row(key=key[0], event_id=event_id, at=at, since=events[i - limit][0])
+                event, before = events[i], events[i - limit]
+                if event["own"] and event["key"] == before["key"] and event["at"] - before["at"] < width:
+                    found.append((event["key"], event.get("event_id"), event["at"], before["at"]))
+            if found:
+                yield pd.DataFrame(found, columns=["key", "event_id", "at", "since"])
 
         def close(self):
             pass
@@ -131,17 +146,19 @@ def _burst_processor(limit: int, seconds: int) -> StatefulProcessor:
     return Bursts()
 
 
-def bursts(rows: DataFrame, key: str, ts: str, event_id: str, limit: int, seconds: int, watermark: str = "1 day") -> DataFrame:
+def bursts(rows: DataFrame, key: str, ts: str, event_id: str, limit: int, seconds: int, watermark: str = "1 day", groups: int = GROUPS) -> DataFrame:
     """(key, event_id, at, since): the rows of :func:`vellumflow.operators.limits.bursts`, each when its slice is over.
 
     Events lie in slices as long as the interval, so a busy key is as many groups as it has slices, and state
-    holds the slices that the watermark has not passed. Keys and ids are text.
+    holds the slices that the watermark has not passed. In a slice, keys are dealt into ``groups`` by their hash,
+    and a group is handled at once. Keys and ids are text.
     """
     keep_state_in_rocksdb(rows.sparkSession)
     timed = rows.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, watermark).where(F.col(key).isNotNull())
-    placed = sliced(timed.select(ts, F.col(key).cast("string").alias("_key"), F.col(event_id).cast("string").alias("event_id")), ts, seconds)
-    narrow = placed.select("_key", "_slice", ts, F.col("_at").alias("at"), "event_id", F.col("_own").alias("own"))
-    found = narrow.groupBy("_key", "_slice").transformWithState(
+    placed = sliced(timed.select(ts, F.col(key).cast("string").alias("key"), F.col(event_id).cast("string").alias("event_id")), ts, seconds)
+    event = F.to_json(F.struct("key", F.col("_at").alias("at"), "event_id", F.col("_own").alias("own")))
+    narrow = placed.select(F.pmod(F.xxhash64("key"), F.lit(groups)).alias("_group"), "_slice", ts, event.alias("event"))
+    found = narrow.groupBy("_group", "_slice").transformWithStateInPandas(
         _burst_processor(limit, seconds), "key string, event_id string, at long, since long", "Append", "EventTime"
     )
     return _times(found, "at", "since")
@@ -150,7 +167,8 @@ def bursts(rows: DataFrame, key: str, ts: str, event_id: str, limit: int, second
 def held_bursts(spark: SparkSession, checkpoint: str, limit: int, seconds: int) -> DataFrame:
     """The bursts in slices that :func:`bursts` still holds when its stream has ended."""
     state = spark.read.format("statestore").option("stateVarName", "events").load(checkpoint)
-    held = state.select(F.col("key._key").alias("key"), F.col("key._slice").alias("_slice"), "list_element.*")
+    parts = state.select(F.col("key._slice").alias("_slice"), F.explode(F.from_json("list_element.events", EVENTS)).alias("e"))
+    held = parts.select("_slice", "e.*")
     order = Window.partitionBy("key", "_slice").orderBy("at", "event_id")
     seen = held.withColumn("since", F.lag("at", limit).over(order))
     return _times(seen.where(F.col("own") & (F.col("at") - F.col("since") < seconds * MICROS)).select("key", "event_id", "at", "since"), "at", "since")
