@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from conftest import at, rows
 from pyspark.sql import functions as F
 
@@ -224,3 +225,66 @@ def test_appends_keep_one_row_per_key_and_prune_days(spark, tmp_path, make_log):
     for _ in range(2):
         store.append_new("prompts", prompts)
     assert store.read("prompts").count() == 2
+
+
+def test_listing_costs_no_call_and_no_task_per_file(spark, tmp_path, monkeypatch):
+    where = {n: files.write_text_files(spark.range(n).select(F.concat(F.lit("d"), "id", F.lit(".txt")).alias("file_name"), F.lit("x").alias("content")), str(tmp_path / str(n))) for n in (40, 240)}
+    client, calls = type(spark.sparkContext._gateway._gateway_client), []
+    send = client.send_command
+    monkeypatch.setattr(client, "send_command", lambda self, command, *a, **b: (calls.append(command[0]), send(self, command, *a, **b))[1])
+
+    def cost(read, n):
+        calls.clear()
+        read(spark, where[n])
+        return len(calls) - calls.count("m")  # without what the garbage collector sends
+
+    for read in (files.read_documents, files.list_summaries):
+        cost(read, 40)  # loads classes
+        assert cost(read, 240) - cost(read, 40) < 100
+    monkeypatch.undo()
+    spark.sparkContext.setJobGroup("listing", "listing")
+    got = files.read_documents(spark, where[240])
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    listing = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert listing and max(listing) <= files.TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert got.rdd.getNumPartitions() <= files.TASKS_PER_CORE * spark.sparkContext.defaultParallelism and got.count() == 240
+
+
+def tree(folder):
+    """Contents by folder, hidden files left out."""
+    found = {}
+    for p in folder.glob("*/part-*"):
+        found.setdefault(str(p.parent.relative_to(folder)), []).append(p.read_bytes())
+    return {k: sorted(v) for k, v in found.items()}
+
+
+def test_sink_lays_files_out_as_sparks_writer(spark, tmp_path):
+    signs = "".join(map(chr, [*range(1, 47), *range(48, 300), 0x2603, 0x1F600]))
+    named = [(f"n{c}.txt", f"of {c}") for c in signs] + [("twice", "a"), ("twice", "a"), ("", "no name"), (None, "null"), ("none", None), ("end", "x\r\n")]
+    rendered = spark.createDataFrame(named, "file_name string, content string").repartition(3)
+    files.write_text_files(rendered, str(tmp_path / "own"))
+    rendered.withColumnRenamed("content", "value").repartition(4, "file_name").write.partitionBy("file_name").text(str(tmp_path / "spark"))
+    assert tree(tmp_path / "own") == tree(tmp_path / "spark")
+    assert sorted(p.name for p in (tmp_path / "own").iterdir()) == sorted(p.name for p in (tmp_path / "spark").glob("file_name=*"))
+
+
+def test_a_failed_job_leaves_no_file_and_an_empty_one_a_folder(spark, tmp_path):
+    where = str(tmp_path / "out")
+    files.write_text_files(spark.createDataFrame([("a", "old")], "file_name string, content string"), where)
+    bad = F.when(F.col("id") == 40, F.raise_error(F.lit("broken")).cast("string")).otherwise("new")
+    with pytest.raises(Exception, match="broken"):
+        files.write_text_files(spark.range(80).select(F.when(F.col("id") == 0, "a").otherwise(F.col("id").cast("string")).alias("file_name"), bad.alias("content")), where)
+    assert tree(tmp_path / "out") == {"file_name=a": [b"old\n"]} and len(list((tmp_path / "out").iterdir())) == 1
+    none = files.write_text_files(spark.createDataFrame([], "file_name string, content string"), str(tmp_path / "none"))
+    assert files.read_documents(spark, none).count() == 0
+
+
+def test_a_hundred_empty_files_among_others(spark, tmp_path):
+    for i in range(100):
+        (tmp_path / f"e ü%{i}.txt").write_bytes(b"")
+    folder_of(tmp_path, full="x")
+    (tmp_path / "_hidden.txt").write_bytes(b"")
+    got = {r.document_path.rsplit("/", 1)[1]: r.extracted_text for r in files.read_documents(spark, str(tmp_path)).collect()}
+    assert got == {**{f"e ü%{i}.txt": "" for i in range(100)}, "full.txt": "x"}
+    assert files.list_summaries(spark, str(tmp_path)).where("size = 0 AND modified_at > '2020-01-01'").count() == 100
