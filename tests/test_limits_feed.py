@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -103,3 +104,14 @@ def test_feed_as_a_stream(spark):
     seen = spark.read.parquet(out)
     assert rows(seen.select("change_version").distinct(), "change_version") == [(2,), (3,)]
     assert rows(feed.replay(v[1], seen, ["id"]), "id", "n") == rows(v[3], "id", "n")
+
+
+def test_budget_sums_are_not_made_anew_for_each_row(spark):
+    """Frames begin at the first row of their slice: a sliding one costs the square of a slice's events."""
+    costs = [(0, 1e18), (30, 0.25), (59, None), (60, 0.25), (61, 0.5), (119, 0.5), (120, 0.5), (120, 0.25), (200, 1.0)]
+    log = [(k, "u", T0 + timedelta(seconds=s), c) for k, (s, c) in enumerate(costs)]
+    got = limits.over_budget(spark.createDataFrame(log, EVENTS), "user_id", "ts", "event_id", "cost", 0.9, 60)
+    assert rows(got, "event_id", "spent") == [(0, 1e18), (1, 1e18), (2, 1e18), (4, 1.0), (5, 1.25), (6, 1.75), (7, 1.75), (8, 1.0)]
+    assert "unboundedpreceding" in (plan := got._jdf.queryExecution().executedPlan().toString()) and not re.search(r"RangeFrame, -\d{3}", plan)
+    exact = spark.createDataFrame(log, EVENTS).withColumn("cost", F.when(F.col("cost") < 10, F.col("cost")).cast("decimal(10,4)"))
+    assert dict(limits.over_budget(exact, "user_id", "ts", "event_id", "cost", 0.9, 60).dtypes)["spent"] == "decimal(24,4)"

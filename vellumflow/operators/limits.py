@@ -51,6 +51,14 @@ def over_budget(rows: DataFrame, key: str, ts: str, event_id: str, cost: str, bu
     """(key, event_id, ts, spent): events whose key spent more than ``budget`` in the ``seconds`` up to
     them, the event and those of its very moment included, one exactly ``seconds`` older not; a missing cost is 0."""
     narrow = rows.select(key, ts, event_id, cost).where(F.col(key).isNotNull())
-    before = Window.partitionBy(key, "_slice").orderBy("_at").rangeBetween(-(seconds * MICROS - 1), 0)
-    spent = sliced(narrow, ts, seconds).withColumn("spent", F.sum(F.coalesce(F.col(cost), F.lit(0))).over(before))
-    return spent.where(F.col("_own") & (F.col("spent") > budget)).select(key, event_id, ts, "spent")
+    paid, width = F.coalesce(F.col(cost), F.lit(0)), seconds * MICROS
+    kind = narrow.select(F.sum(paid)).schema[0].dataType
+    # The interval is what its own slice has up to the event, and what the slice before has after the interval's
+    # start: two running sums, neither of which is taken back. A frame that slides would be summed anew for each row.
+    moved = sliced(narrow, ts, seconds).withColumn("_at", F.when(F.col("_own"), F.col("_at")).otherwise(F.col("_at") + width))
+    slice_ = Window.partitionBy(key, "_slice")
+    upto = slice_.orderBy("_at").rangeBetween(Window.unboundedPreceding, 0)
+    after = slice_.orderBy(F.col("_at").desc()).rangeBetween(Window.unboundedPreceding, -1)
+    sums = moved.withColumns({"_upto": F.sum(F.when(F.col("_own"), paid)).over(upto), "_after": F.sum(F.when(~F.col("_own"), paid)).over(after)})
+    spent = sums.where("_own").withColumn("spent", F.coalesce(F.col("_upto") + F.col("_after"), F.col("_upto")).cast(kind))
+    return spent.where(F.col("spent") > budget).select(key, event_id, ts, "spent")
