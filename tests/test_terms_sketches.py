@@ -91,3 +91,27 @@ def test_sketches_of_a_stream_in_parts(spark, tmp_path):
     kept = sketches.over_time(sketches.kept(spark, target), "agent")
     batch = sketches.over_time(sketches.hourly(rows, "agent", "ts", "ms"), "agent")
     assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, batch.collect())) and kept.count() == 12
+
+
+@pytest.mark.parametrize("options", [{}, {"scan_bytes": 0}])
+def test_terms_of_any_signs_in_cut_texts(spark, monkeypatch, options):
+    monkeypatch.setattr(terms, "SCAN_PIECE", 40)
+    rng = random.Random(8)
+    signs = [*map(chr, range(32, 127)), "\n", "\t", "\r", "\x00", "ß", "é", "é", " ", "\U0001F600", "\U0001F601", "￿"]
+    listed = ["".join(rng.choice(signs) for _ in range(rng.choice([1, 2, 2, 3]))) for _ in range(400)] + ["ab" * n for n in range(1, 15)]
+    rows = [(i, "".join(rng.choice([*signs, "ab", "abab"]) for _ in range(rng.choice([39, 40, 41, 80, 700])))) for i in range(30)] + [(99, "ab" * 500)]
+    docs, table = spark.createDataFrame(rows, "id int, body string"), spark.createDataFrame([(t,) for t in listed], "term string")
+    got = {(r["id"], r["term"]): r["n"] for r in terms.term_matches(docs, "id", "body", table, **options).collect()}
+    assert got == plain(rows, listed)
+
+
+def test_a_small_list_makes_no_row_per_place(spark):
+    docs, one = spark.createDataFrame([(1, "a")], "id int, body string"), spark.createDataFrame([("needle",)], "term string")
+    assert "sequence(" not in terms.term_matches(docs, "id", "body", one)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_very_many_terms_that_begin_each_other(spark):
+    rows, listed = [(1, "a" * 1500 + "b"), (2, "ab")], ["a" * n for n in range(1, 1200)] + ["b"]
+    assert terms._tree(sorted(listed)) is None
+    docs, table = spark.createDataFrame(rows, "id int, body string"), spark.createDataFrame([(t,) for t in listed[::100] + ["b"]], "term string")
+    assert {(r["id"], r["term"]): r["n"] for r in terms.term_matches(docs, "id", "body", table).collect()} == plain(rows, listed[::100] + ["b"])

@@ -3,12 +3,15 @@
 The list is joined: each term is filed under its first characters, texts are cut
 into pieces that overlap by the longest term, the characters at every place of a piece are looked up
 in the file by an equi-join, and only the terms found there are compared in full. The join stays in
-the JVM, but a row per place costs about 3 microseconds a character. With ``search_bytes`` a list of
-bounded size goes to the tasks instead, which search each text once for all terms together, in Python.
+the JVM, but a row per place costs about 3 microseconds a character. A list of bounded size becomes one
+regular expression instead, a tree of the terms by their characters that finds the longest term at each
+place; the value of a subquery, it is no part of the plan either. With ``search_bytes`` such a list goes
+to the tasks, which search each text once for all terms together, in Python.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
@@ -21,6 +24,8 @@ PREFIXES = (8, 4, 2, 1)
 PIECE = 128
 #: A list up to this many bytes may be searched for in the tasks (an automaton takes some forty times its bytes).
 SEARCH_BYTES = 4 << 20
+#: A list up to this many bytes, with no more terms that begin each other than this, is one expression, in texts cut into pieces of this many characters.
+SCAN_BYTES, SCAN_DEPTH, SCAN_PIECE = 1 << 20, 100, 1 << 16
 #: A list up to this size is joined by a broadcast, beyond it by shuffles.
 BROADCAST_BYTES = 32 << 20
 
@@ -70,6 +75,63 @@ def _searched(rows: DataFrame, listed: list[str]) -> DataFrame:
     return rows.where("_text IS NOT NULL AND _key IS NOT NULL").mapInPandas(search, schema)
 
 
+def _tree(listed: list[str]) -> str | None:
+    """An expression for the longest of the sorted ``listed`` terms at a place; None if too many of them begin each other."""
+    def literal(text: str) -> str:
+        return "".join(c if c.isascii() and c.isalnum() else f"\\x{{{ord(c):x}}}" for c in text)
+
+    def halved(found: list[tuple[int, str]]) -> str:
+        """Alternatives by their first character; many are not tried one by one, but halved by it."""
+        if len(found) <= 4:
+            return "|".join(text for _, text in found)
+        halves = found[: len(found) // 2], found[len(found) // 2 :]
+        return "|".join(f"(?=[\\x{{{h[0][0]:x}}}-\\x{{{h[-1][0]:x}}}])(?:{halved(h)})" for h in halves)
+
+    def branches(low: int, high: int, at: int, depth: int) -> str:
+        """Of the terms from ``low`` to ``high``, which agree in their first ``at`` characters, what follows these."""
+        if depth > SCAN_DEPTH:
+            raise RecursionError
+        ends = len(listed[low]) == at
+        low += ends
+        found = []
+        while low < high:
+            first = listed[low][at]
+            until = bisect_left(listed, True, low, high, key=lambda t: t[at] != first)
+            a, b = listed[low], listed[until - 1]
+            same = next((i for i in range(at, min(len(a), len(b))) if a[i] != b[i]), min(len(a), len(b)))
+            found.append((ord(first), literal(a[at:same]) + branches(low, until, same, depth + 1)))
+            low = until
+        if not found:
+            return ""
+        either = halved(found)
+        return f"(?:{either}){'?' if ends else ''}" if ends or len(found) > 1 else either
+
+    try:
+        return branches(0, len(listed), 0, 0)
+    except RecursionError:
+        return None
+
+
+def _scanned(rows: DataFrame, listed: list[str], tree: str, longest: int) -> DataFrame:
+    """(_key, _term, _n) of lower-cased ``_text``, one row per place and term that begins there."""
+    spark, size = rows.sparkSession, max(SCAN_PIECE, longest)
+    pattern = spark.createDataFrame([(f"(?=({tree}))",)], "pattern string").scalar()
+    text = F.col("_text")
+    cut = F.when(F.char_length(text) <= size, F.array(text)).otherwise(_pieces(text, size, longest))
+    # What follows the places of a piece is the beginning of the next; it is taken off again.
+    after = F.transform(cut, lambda p: F.struct(F.substring(p, size + 1, longest).alias("text"), F.lit(-1).alias("n")))
+    parts = F.concat(F.transform(cut, lambda p: F.struct(p.alias("text"), F.lit(1).alias("n"))), F.filter(after, lambda p: p["text"] != ""))
+    pieces = rows.where("_key IS NOT NULL").select("_key", F.explode(parts).alias("_piece"))
+    found = pieces.select("_key", F.col("_piece.n").cast("long").alias("_n"), F.explode(F.regexp_extract_all("_piece.text", pattern, 1)).alias("_term"))
+    # Whatever else begins at a place begins the longest term there.
+    known = set(listed)
+    begun = [(t, t[:n]) for t in listed for n in range(1, len(t) + 1) if t[:n] in known]
+    if len(begun) > len(listed):
+        pairs = spark.createDataFrame(begun, "_term string, _begun string")
+        found = found.join(F.broadcast(pairs), "_term").select("_key", F.col("_begun").alias("_term"), "_n")
+    return found
+
+
 def _joined(rows: DataFrame, listed: DataFrame, longest: int, lengths: list[int], small: bool) -> DataFrame:
     """(_key, _term, _n) of lower-cased ``_text``, one row per piece with the term, by an equi-join."""
     size = max(PIECE, longest)
@@ -80,7 +142,7 @@ def _joined(rows: DataFrame, listed: DataFrame, longest: int, lengths: list[int]
     return found.select("_key", "_term", _starts(F.col("_piece"), F.col("_term"), size).alias("_n")).where("_n > 0")
 
 
-def term_matches(df: DataFrame, key: str, text: str, terms: DataFrame, term: str = "term", search_bytes: int = 0, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def term_matches(df: DataFrame, key: str, text: str, terms: DataFrame, term: str = "term", search_bytes: int = 0, broadcast_bytes: int = BROADCAST_BYTES, scan_bytes: int = SCAN_BYTES) -> DataFrame:
     """(key, term, n): at how many places of the text each listed term begins, ignoring case.
 
     Every place counts, also where occurrences overlap: ``aa`` begins at two places of ``aaa``. Terms are
@@ -93,10 +155,14 @@ def term_matches(df: DataFrame, key: str, text: str, terms: DataFrame, term: str
         F.sort_array(F.collect_set(_filed_under("_term"))).alias("lengths"),
     ).first()
     rows = df.select(F.col(key).alias("_key"), F.lower(text).alias("_text"))
+    few = sorted(r[0] for r in listed.collect()) if search_bytes < (facts["bytes"] or 0) <= min(scan_bytes, broadcast_bytes) else []
+    tree = _tree(few) if few else None
     if not facts["bytes"]:
         found = rows.select("_key", F.col("_text").alias("_term"), F.lit(0).cast("long").alias("_n")).limit(0)
     elif facts["bytes"] <= search_bytes:
         found = _searched(rows, [r[0] for r in listed.collect()])
+    elif tree:
+        found = _scanned(rows, few, tree, facts["longest"])
     else:
         found = _joined(rows, listed, facts["longest"], facts["lengths"], facts["bytes"] <= broadcast_bytes)
     counts = found.groupBy("_key", "_term").agg(F.sum("_n").alias("n"))
